@@ -1,0 +1,32 @@
+"""Joins to a warehouse lookup, where one warehouse may hold a third of all rows."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+SALTS = 16
+
+
+def salted_join(
+    rows: DataFrame,
+    lookup: DataFrame,
+    key: str,
+    spread: str,
+    how: str,
+    condition: str = "true",
+    salts: int = SALTS,
+) -> DataFrame:
+    """Equi join on ``key`` with the rows of each key spread over ``salts`` partitions.
+
+    The lookup side is repeated once per salt, which is cheap because it holds warehouse
+    versions, not facts. ``spread`` is a column of ``rows`` that varies within a key. If the
+    lookup is small enough Spark broadcasts it and the salt costs one comparison.
+    """
+    others = [c for c in lookup.columns if c != key]
+    left = rows.selectExpr("*", f"int(pmod(xxhash64({spread}), {salts})) AS _salt")
+    right = lookup.selectExpr(
+        f"{key} AS _key", *others, f"explode(sequence(0, {salts - 1})) AS _copy"
+    )
+    on = F.expr(f"{key} = _key AND _salt = _copy AND {condition}")
+    return left.join(right, on, how).drop("_salt", "_copy", "_key")
