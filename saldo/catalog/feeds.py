@@ -17,7 +17,9 @@ from ..functions.dates import SERIAL_ZERO
 from ..operators import facts, material
 from ..operators import warehouse as wh
 from ..operators.calendar import dim_date
+from ..plans import marts
 from ..schemas import MONEY, QTY, feed_columns
+from ..session import scratch_path
 
 CALENDAR = (date(1995, 1, 1), date(2001, 12, 31))
 # Ends early, so that some rows of the feeds lie outside.
@@ -255,6 +257,16 @@ class Feeds:
 
     # --- layers above the clean feeds ----------------------------------------------------------
 
+    def store(self, name: str, rows: DataFrame) -> DataFrame:
+        """Write a layer and read it back, as the nightly load does between its steps.
+
+        What several later steps need is then computed once, and Spark knows its size when it
+        chooses a join.
+        """
+        folder = scratch_path(self.spark, name)
+        rows.write.parquet(folder)
+        return self.spark.read.schema(rows.schema).parquet(folder)
+
     @cached_property
     def calendar(self) -> DataFrame:
         return dim_date(self.spark, *CALENDAR)
@@ -264,12 +276,17 @@ class Feeds:
         return dim_date(self.spark, *SHORT_CALENDAR)
 
     @cached_property
-    def material_master(self) -> DataFrame:
-        return material.material_master(self.turnover, self.prices)
+    def ods_turnover(self) -> DataFrame:
+        return self.store("ods-turnover", self.turnover)
+
+    @cached_property
+    def ods_prices(self) -> DataFrame:
+        return self.store("ods-prices", self.prices)
 
     @cached_property
     def materials(self) -> DataFrame:
-        return self.material_master.selectExpr(material.MATERIAL_SK, "material_id", "unit")
+        master = material.material_master(self.ods_turnover, self.ods_prices)
+        return master.selectExpr(material.MATERIAL_SK, "material_id", "unit")
 
     @cached_property
     def registered(self) -> DataFrame:
@@ -277,15 +294,21 @@ class Feeds:
 
     @cached_property
     def versions(self) -> DataFrame:
-        return wh.with_unknown(self.registered, self.turnover)
+        return self.store("dim-warehouse", wh.with_unknown(self.registered, self.ods_turnover))
 
     @cached_property
     def inventory(self) -> DataFrame:
-        return facts.inventory_rows(self.turnover, self.calendar, self.versions)
+        return facts.inventory_rows(self.ods_turnover, self.calendar, self.versions)
 
     @cached_property
     def price_facts(self) -> DataFrame:
-        return facts.price_rows(self.prices, self.calendar)
+        return facts.price_rows(self.ods_prices, self.calendar)
+
+    @cached_property
+    def monthly(self) -> DataFrame:
+        return marts.inventory_monthly(
+            self.inventory, self.price_facts, self.calendar, self.materials, self.versions
+        )
 
     @cached_property
     def daily_changes(self) -> DataFrame:

@@ -11,6 +11,8 @@ import re
 from .feeds import CALENDAR, LOADED_UNTIL, SHORT_CALENDAR, SNAPSHOT_DAYS
 
 BLOCKS: dict[str, str] = {}
+# Computed once and stored; inlined, this one makes DuckDB 2.0 stop with an internal error.
+MATERIALIZED = {"ods_warehouses"}
 ORACLE: dict[str, str] = {}
 
 
@@ -23,7 +25,10 @@ def _needed(sql: str, found: list[str]) -> list[str]:
 
 
 def oracle(name: str, sql: str) -> None:
-    blocks = ", ".join(f"{b} AS ({BLOCKS[b]})" for b in _needed(sql, []))
+    blocks = ", ".join(
+        f"{b} AS {'MATERIALIZED ' if b in MATERIALIZED else ''}({BLOCKS[b]})"
+        for b in _needed(sql, [])
+    )
     ORACLE[name] = f"WITH {blocks} {sql}" if blocks else sql
 
 

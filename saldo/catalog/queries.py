@@ -196,9 +196,7 @@ def _reasoned(f: Feeds, feed: str) -> DataFrame:
 
 def _checked(f: Feeds, feed: str) -> DataFrame:
     """Parsed once, written and read back, as the nightly load does before it routes rows."""
-    folder = scratch_path(f.spark, f"checked-{feed}")
-    _reasoned(f, feed).write.parquet(folder)
-    return f.spark.read.parquet(folder)
+    return f.store(f"checked-{feed}", _reasoned(f, feed))
 
 
 def _flagged(f: Feeds, feed: str = "turnover") -> DataFrame:
@@ -278,9 +276,11 @@ def ods_new(f):
 # --- dimensions --------------------------------------------------------------------------------
 
 
-@query("material_master")
-def material_master(f):
-    return f.material_master
+def _master(f: Feeds) -> DataFrame:
+    return material.material_master(f.turnover, f.prices)
+
+
+query("material_master")(_master)
 
 
 @query("scd1_material")
@@ -290,7 +290,7 @@ def scd1_material(f):
         "int(p_partkey + 1) AS material_id",
         "CASE p_partkey % 5 WHEN 1 THEN 'т' WHEN 2 THEN 'шт' END AS unit",
     )
-    return material.merge_materials(stored, f.material_master).select("material_id", "unit")
+    return material.merge_materials(stored, _master(f)).select("material_id", "unit")
 
 
 @query("warehouse_snapshots")
@@ -382,7 +382,7 @@ def scd2_asof(f):
 
 @query("scd2_fallback")
 def scd2_fallback(f):
-    return _with_first_day(wh.resolve_version(f.turnover, f.versions), f.versions)
+    return _with_first_day(wh.resolve_version(f.ods_turnover, f.versions), f.versions)
 
 
 # Exports an earlier load saw: first exports only, nothing from 2001 on.
@@ -390,7 +390,7 @@ SEEN_EARLIER = "date = date_add(end_date, 1) AND year(start_date) < 2001"
 
 
 def _upserted(f: Feeds) -> DataFrame:
-    stored = facts.inventory_rows(f.turnover.filter(SEEN_EARLIER), f.calendar, f.versions)
+    stored = facts.inventory_rows(f.ods_turnover.filter(SEEN_EARLIER), f.calendar, f.versions)
     return facts.upsert_inventory(stored, f.inventory)
 
 
@@ -414,7 +414,7 @@ def upsert_inventory(f):
 
 @query("upsert_prices")
 def upsert_prices(f):
-    stored = facts.price_rows(f.prices.filter(SEEN_EARLIER), f.calendar)
+    stored = facts.price_rows(f.ods_prices.filter(SEEN_EARLIER), f.calendar)
     return _with_material_id(f, facts.upsert_prices(stored, f.price_facts))
 
 
@@ -435,17 +435,15 @@ def star_join(f):
 # --- marts and views ---------------------------------------------------------------------------
 
 
-def _monthly(f: Feeds) -> DataFrame:
-    return marts.inventory_monthly(
-        f.inventory, f.price_facts, f.calendar, f.materials, f.versions
-    )
+@query("inventory_monthly")
+def inventory_monthly(f):
+    return f.monthly
 
 
 def _metrics(f: Feeds, levels: list[str] | None = None) -> DataFrame:
-    return marts.turnover_metrics(_monthly(f), f.calendar, levels)
+    return marts.turnover_metrics(f.monthly, f.calendar, levels)
 
 
-query("inventory_monthly")(_monthly)
 query("turnover_metrics")(_metrics)
 
 
@@ -470,7 +468,7 @@ def vw_turnover_metrics(f):
 
 @query("vw_inventory_monthly")
 def vw_inventory_monthly(f):
-    return marts.vw_inventory_monthly(_monthly(f))
+    return marts.vw_inventory_monthly(f.monthly)
 
 
 @query("vw_warehouse_hierarchy")
@@ -556,14 +554,14 @@ def quarantine_reasons(f):
 
 @query("unknown_share")
 def unknown_share(f):
-    return reports.unknown_share(f.turnover, f.versions)
+    return reports.unknown_share(f.ods_turnover, f.versions)
 
 
 @query("lost_rows")
 def lost_rows(f):
     """Rows lost to a calendar that ends early, and to materials without a price."""
     known = f.prices.select("material_id").distinct()
-    return reports.lost_rows(f.turnover, f.short_calendar, known)
+    return reports.lost_rows(f.ods_turnover, f.short_calendar, known)
 
 
 @query("version_overlap")
