@@ -4,9 +4,10 @@ from datetime import date
 from decimal import Decimal
 
 import pytest
-from pyspark.errors import AnalysisException
 
+from saldo.plans import nightly
 from saldo.plans.nightly import Options, run_nightly
+from saldo.sources.delimited import scan
 from saldo.sources.layers import Layers
 
 HEADERS = {
@@ -18,6 +19,16 @@ APRIL = "01.04.2024;30.04.2024"
 MAY = "01.05.2024;31.05.2024"
 
 
+@pytest.fixture(autouse=True, scope="module")
+def light_plans(spark):
+    """Handfuls of rows: compiling a class per stage would cost more than running it."""
+    spark.conf.set("spark.sql.codegen.wholeStage", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    yield
+    spark.conf.unset("spark.sql.codegen.wholeStage")
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
 class Landing:
     def __init__(self, root):
         self.root = root
@@ -66,9 +77,7 @@ def first_delivery(landing):
     )
 
 
-def test_first_load_reaches_the_marts(spark, landing, state):
-    first_delivery(landing)
-    layers = load(spark, landing, state)
+def check_first_load(layers):
     assert layers.batch == 1
     assert layers.read("staging/turnover").count() == 5
     assert layers.read("ods/turnover").count() == 3
@@ -87,89 +96,86 @@ def test_first_load_reaches_the_marts(spark, landing, state):
     ]
     unknown = metrics.filter("agg_level = 'shop' AND directorate = 'Не определена'")
     assert rows(unknown, "agg_key") == [("Не определена | —",)]
-    registry = layers.read("elt/file_registry")
-    assert rows(registry, "source_type", "status", "rows_loaded") == [
-        ("prices", "loaded", 2), ("turnover", "loaded", 5), ("warehouses", "loaded", 2),
+    # Text files and nested folders were there too.
+    assert rows(layers.read("elt/file_registry"), "source_type", "file_name", "status", "rows_loaded") == [
+        ("prices", "p.csv", "loaded", 2), ("turnover", "t.csv", "loaded", 5),
+        ("warehouses", "registry.csv", "loaded", 2),
     ]
 
 
-def test_rerun_without_new_files_changes_nothing(spark, landing, state):
-    first_delivery(landing)
-    load(spark, landing, state)
-    again = load(spark, landing, state)
-    assert again.batch == 1
-    assert again.read("staging/turnover").count() == 5
+def check_failed_load(spark, state):
+    layers = Layers(spark, state)
+    assert layers.read("staging/turnover").count() == 5
+    failed = layers.read("elt/file_registry").filter("status = 'failed'")
+    assert rows(failed, "file_name", "error_message") == [("t2.csv", "unreadable")]
 
 
-def test_later_duplicate_and_later_export(spark, landing, state):
-    first_delivery(landing)
-    load(spark, landing, state)
-    landing.put(
-        "turnover", "t2.csv",
-        f"01.05.2024;{APRIL};0101;90;кг;99;0;0;99",  # same key again: quarantined
-        f"17.05.2024;{APRIL};0101;90;кг;20;0;-5;15",  # later export of the period: wins
-        f"01.06.2024;{MAY};0101;90;кг;15;0;0;15",
-    )
-    layers = load(spark, landing, state)
+def check_second_load(layers):
+    assert layers.read("elt/file_registry").filter("status <> 'loaded'").count() == 0
     repeated = layers.read("quarantine/turnover").filter("file_name LIKE '%t2.csv'")
     assert rows(repeated, "error_reason", "balance_start") == [("Дубликат строки в staging", "99")]
+    versions = layers.read("dwh/dim_warehouse")
+    assert rows(versions.filter("warehouse_code = '115H'"), "date_from", "date_to", "shop_code", "is_current") == [
+        (date(1900, 1, 1), date(2024, 4, 30), "—", False),
+        (date(2024, 5, 1), date(9999, 12, 31), "B", True),
+    ]
+    # A code that is new to registry and turnover alike only has its placeholder so far.
+    assert rows(versions.filter("warehouse_code = '0200'"), "warehouse_type") == [("UNKNOWN",)]
     facts = layers.read("dwh/fact_inventory")
-    assert facts.count() == 4
-    assert rows(facts.filter("balance_start = 20"), "date_key_start", "expense_qty") == [
-        (20240401, Decimal("-5.00"))
+    # The later export of 0101 replaced its fact; the export of 115H on 1 May now resolves to the
+    # new version, and its old fact stays.
+    assert rows(facts.join(versions, "warehouse_sk"), "warehouse_code", "date_from", "balance_start") == [
+        ("0101", date(2024, 1, 1), Decimal("20.00")),
+        ("0102", date(2024, 1, 1), Decimal("1.00")),
+        ("0200", date(1900, 1, 1), Decimal("15.00")),
+        ("115H", date(1900, 1, 1), Decimal("2.00")),
+        ("115H", date(2024, 5, 1), Decimal("2.00")),
     ]
     company = layers.read("datamart/turnover_metrics").filter("agg_level = 'company'")
     # No price for May: the measures are null and so is the change.
-    assert rows(company.filter("month_key = 202405"), "stock_value", "mom_stock_value") == [
-        (None, None)
-    ]
-    # A changed file is read again in full, but none of its old keys come in twice.
-    before = layers.read("ods/turnover").count()
+    assert rows(company.filter("month_key = 202405"), "stock_value", "mom_stock_value") == [(None, None)]
+
+
+def test_story_of_several_nights(spark, landing, state, monkeypatch):
+    empty = Layers(spark, state)
+    assert (empty.batch, empty.folders) == (0, {})
+    first_delivery(landing)
+    (landing.root / "turnover" / "note.txt").write_text("x")
+    (landing.root / "turnover" / "old").mkdir()
+    (landing.root / "turnover" / "old" / "t9.csv").write_bytes("h\n".encode("utf-16"))
+    check_first_load(load(spark, landing, state))
+
+    assert load(spark, landing, state).batch == 1  # nothing new, nothing done
+
     landing.put(
         "turnover", "t2.csv",
-        f"17.05.2024;{APRIL};0101;90;кг;20;0;-5;15",
-        f"01.06.2024;{MAY};0102;91;шт;1;0;0;1",
+        f"01.05.2024;{APRIL};0101;90;кг;99;0;0;99",  # same key again: quarantined
+        f"17.05.2024;{APRIL};0101;90;кг;20;0;-5;15",  # later export of the period: wins
+        f"01.06.2024;{MAY};0200;91;шт;15;0;0;15",
     )
-    assert load(spark, landing, state).read("ods/turnover").count() == before + 1
-
+    landing.put(
+        "warehouses", "r2.csv",
+        "01.05.2024;01.05.2024;31.05.2024;115H;B;MAIN;South;7;",
+        "01.05.2024;01.05.2024;31.05.2024;0200;B;MAIN;South;7;",
+    )
+    with monkeypatch.context() as patch:
+        def broken(_spark, feed, *_args, **_options):
+            if feed == "turnover":
+                raise RuntimeError("unreadable")
+            return scan(_spark, feed, *_args, **_options)
 
-def test_placeholder_gives_way_one_run_later(spark, landing, state):
-    first_delivery(landing)
-    load(spark, landing, state)
-    landing.put("warehouses", "r2.csv", "01.05.2024;01.05.2024;31.05.2024;115H;B;MAIN;South;7;")
-    layers = load(spark, landing, state)
-    versions = layers.read("dwh/dim_warehouse").filter("warehouse_code = '115H'")
-    assert rows(versions, "date_from", "date_to", "shop_code", "is_current") == [
-        (date(1900, 1, 1), date(2024, 4, 30), "—", False),
-        (date(2024, 5, 1), date(9999, 12, 31), "B", True),
-    ]
-    # The April export of 1 May now resolves to the new version; the old fact stays.
-    facts = layers.read("dwh/fact_inventory").join(versions, "warehouse_sk")
-    assert facts.count() == 2
+        patch.setattr(nightly, "scan", broken)
+        with pytest.raises(RuntimeError):
+            load(spark, landing, state)
+    check_failed_load(spark, state)
 
+    check_second_load(load(spark, landing, state))
 
-def test_new_code_is_left_out_if_strict_until_it_has_a_placeholder(spark, landing, state):
-    first_delivery(landing)
-    load(spark, landing, state)
-    landing.put("warehouses", "r2.csv", "01.05.2024;01.05.2024;31.05.2024;0200;B;MAIN;South;7;")
-    landing.put("turnover", "t2.csv", f"01.06.2024;{MAY};0200;90;кг;15;0;0;15")
-    layers = load(spark, landing, state)
-    mine = layers.read("dwh/dim_warehouse").filter("warehouse_code = '0200'")
-    assert rows(mine, "warehouse_type", "is_current") == [("UNKNOWN", True)]
-    # Without any new file the next run upgrades the placeholder.
+    # Without any new file the next run upgrades the placeholder, and then there is nothing left.
     layers = load(spark, landing, state)
-    assert layers.batch == 3
     mine = layers.read("dwh/dim_warehouse").filter("warehouse_code = '0200'")
     assert rows(mine, "warehouse_type", "is_current") == [("MAIN", True), ("UNKNOWN", False)]
-    assert load(spark, landing, state).batch == 3
-
-
-def test_new_code_enters_at_once_if_not_strict(spark, landing, state):
-    first_delivery(landing)
-    load(spark, landing, state)
-    landing.put("warehouses", "r2.csv", "01.05.2024;01.05.2024;31.05.2024;0200;B;MAIN;South;7;")
-    mine = load(spark, landing, state, strict=False).read("dwh/dim_warehouse")
-    assert rows(mine.filter("warehouse_code = '0200'"), "shop_code", "is_current") == [("B", True)]
+    assert load(spark, landing, state).batch == layers.batch
 
 
 def test_two_loads_equal_one(spark, landing, state, tmp_path):
@@ -182,50 +188,8 @@ def test_two_loads_equal_one(spark, landing, state, tmp_path):
     for table in ("datamart/turnover_metrics", "datamart/inventory_monthly", "dwh/fact_prices",
                   "dwh/fact_inventory", "dwh/dim_material", "dwh/dim_warehouse"):
         columns = one.read(table).columns
-        assert rows_text(two.read(table), columns) == rows_text(one.read(table), columns), table
+        assert as_text(two.read(table), columns) == as_text(one.read(table), columns), table
 
 
-def rows_text(frame, columns):
+def as_text(frame, columns):
     return sorted(str(tuple(r)) for r in frame.select(*columns).collect())
-
-
-def test_unfinished_load_is_invisible_and_failure_is_recorded(spark, landing, state, monkeypatch):
-    first_delivery(landing)
-    load(spark, landing, state)
-    landing.put("turnover", "t2.csv", f"01.06.2024;{MAY};0101;90;кг;15;0;0;15")
-    import saldo.plans.nightly as nightly
-
-    def broken(*_args, **_options):
-        raise RuntimeError("unreadable")
-
-    with monkeypatch.context() as patch:
-        patch.setattr(nightly, "scan", broken)
-        with pytest.raises(RuntimeError):
-            load(spark, landing, state)
-    layers = Layers(spark, state)
-    assert layers.read("staging/turnover").count() == 5
-    registry = layers.read("elt/file_registry")
-    assert rows(registry.filter("status = 'failed'"), "file_name", "error_message") == [
-        ("t2.csv", "unreadable")
-    ]
-    layers = load(spark, landing, state)
-    assert layers.read("ods/turnover").count() == 4
-    assert layers.read("elt/file_registry").filter("status <> 'loaded'").count() == 0
-
-
-def test_other_files_and_nested_folders_are_not_read(spark, landing, state):
-    first_delivery(landing)
-    (landing.root / "turnover" / "note.txt").write_text("x")
-    nested = landing.root / "turnover" / "old"
-    nested.mkdir()
-    (nested / "t9.csv").write_bytes((HEADERS["turnover"] + "\n").encode("utf-16"))
-    layers = load(spark, landing, state)
-    names = layers.read("elt/file_registry").filter("source_type = 'turnover'")
-    assert rows(names, "file_name") == [("t.csv",)]
-
-
-def test_empty_state_has_no_tables(spark, state):
-    layers = Layers(spark, state)
-    assert (layers.batch, layers.folders) == (0, {})
-    with pytest.raises((KeyError, AnalysisException)):
-        layers.read("ods/turnover")
