@@ -3,6 +3,10 @@
 The given tables hold no stock data. Suppliers stand for warehouses, parts for materials, shipped
 lines for stock movements, event users for warehouses with a long history. Raw feeds are text with
 planted defects; clean feeds have the shape of the clean layer.
+
+All rows of the given tables take part. Remainders of ids only decide what is planted: bad cells,
+later exports, codes the registry does not know, parts without a price, rows that count as stored
+by an earlier load. They never thin out the input of a query.
 """
 
 from __future__ import annotations
