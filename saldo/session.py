@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -28,10 +27,14 @@ def build_session(app: str = "saldo", master: str | None = None, **conf: str) ->
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the folder every executor can reach.
 
-    The cluster names that folder in ``spark.checkpoint.dir``. Only where it is unset, as in a
-    plain local test, is a folder made for it.
+    The cluster names that folder in ``spark.checkpoint.dir``. A job with a remote master fails
+    without it: a folder of one machine would hide each executor's part from the others. Only a
+    local master, as in tests, falls back to the warehouse folder.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = tempfile.mkdtemp(prefix="saldo-")
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
     return f"{root.rstrip('/')}/saldo-{name}-{uuid.uuid4().hex}"

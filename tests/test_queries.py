@@ -12,10 +12,12 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.abspath(__file__)), ".."
 
 import __spark_entry__ as contract
 from compare import database, difference
+from saldo.catalog.oracle import ORACLE
+from saldo.catalog.queries import QUERIES
 
 SOME = ["scan_warehouses", "file_decision", "validate_turnover", "dedup_prices", "ods_new",
         "scd2_close", "scd2_fallback", "upsert_prices", "turnover_metrics", "check_scd2"]
-CHOSEN = list(contract.queries()) if os.environ.get("ALL_QUERIES") else SOME
+CHOSEN = list(QUERIES) if os.environ.get("ALL_QUERIES") else SOME
 
 
 @pytest.mark.parametrize("name", CHOSEN)
@@ -24,7 +26,7 @@ def test_same_as_duckdb(spark, tables, name):
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
 
 
 @pytest.mark.parametrize("name", ["scd2_fallback", "ods_new", "turnover_metrics", "role_slice"])
