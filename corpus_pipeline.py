@@ -8,9 +8,13 @@ from pyspark.sql import functions as F
 
 from saldo.llm.bpe import round_trip
 from saldo.llm.common import documents, stored
+from saldo.llm.mixing import mixed
+from saldo.llm.pii import pseudonymise
 from saldo.llm.quality import NAMES, quality
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+#: Stands in for the secret key of a real run.
+DEMO_KEY = "saldo demonstration key"
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -18,6 +22,16 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality(docs).where("kept").drop(*NAMES)
 
 
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, personal numbers replaced by pseudonyms."""
+    return pseudonymise(docs, DEMO_KEY).drop("n_replaced")
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as their source's budget takes them."""
+    return mixed(docs)
+
+
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents with their token ids; decoded tells that the ids spell the text again."""
     coded = round_trip(docs, BYTE_BPE)
@@ -27,6 +41,8 @@ def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("quality rules", quality_rules),
+    ("PII", personal_data),
+    ("mixing sources to target weights", mixing),
     ("BPE encoding and decoding", encoding),
 ]
 

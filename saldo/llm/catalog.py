@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from saldo.llm.bpe import round_trip
 from saldo.llm.common import documents
+from saldo.llm.mihash import top_k, with_code
+from saldo.llm.mixing import mix
+from saldo.llm.pii import pseudonymise
 from saldo.llm.quality import quality
 from saldo.llm.tokencount import token_counts
 from saldo.session import scratch_path
@@ -30,6 +33,33 @@ def op1_compression_bands(spark: SparkSession, folder: str) -> DataFrame:
     return quality(documents(spark, folder).select("doc_id", "text")).drop("text")
 
 
+@query
+def op2_multi_index_hashing(spark: SparkSession, folder: str) -> DataFrame:
+    """The 10 nearest sign codes of every hundredth vector among all vectors."""
+    vectors = with_code(spark.read.parquet(f"{folder}/embeddings.parquet"), "embedding")
+    base = vectors.select(F.col("vec_id").alias("id"), "code")
+    return top_k(base, base.where("id % 100 = 0"), k=10)
+
+
+ORACLE["op2_multi_index_hashing"] = """
+WITH bits AS (
+  SELECT vec_id, generate_subscripts(embedding, 1) - 1 AS i, unnest(embedding) AS x FROM embeddings
+), codes AS (
+  SELECT vec_id,
+         CAST(sum(CASE WHEN x > 0 AND i < 32 THEN 1::BIGINT << i ELSE 0 END) AS BIGINT) AS low,
+         CAST(sum(CASE WHEN x > 0 AND i >= 32 THEN 1::BIGINT << (i - 32) ELSE 0 END) AS BIGINT) AS high
+  FROM bits GROUP BY vec_id
+), pairs AS (
+  SELECT q.vec_id AS query_id, b.vec_id AS neighbour_id,
+         CAST(bit_count(xor(q.low, b.low)) + bit_count(xor(q.high, b.high)) AS BIGINT) AS distance
+  FROM codes q, codes b WHERE q.vec_id % 100 = 0
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, neighbour_id) AS rank FROM pairs
+)
+SELECT query_id, rank, neighbour_id, distance FROM ranked WHERE rank <= 10
+"""
+
+
 @query
 def op3_digest_cache(spark: SparkSession, folder: str) -> DataFrame:
     """The cache starts empty, so that every distinct text is encoded."""
@@ -37,6 +67,51 @@ def op3_digest_cache(spark: SparkSession, folder: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > 1024)
 
 
+@query
+def op5_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    plan = mix(documents(spark, folder).select("doc_id", "source", "text"))
+    taken = F.aggregate("parts", F.lit(0).cast("long"), lambda total, part: total + part)
+    return plan.select("doc_id", "size", "source_size", "target", taken.alias("taken"))
+
+
+ORACLE["op5_source_mixing"] = r"""
+WITH sized AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size,
+         CAST('0x' || substr(md5('mix|' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT) AS key
+  FROM documents
+), sources AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+         row_number() OVER (ORDER BY source NULLS LAST) AS place
+  FROM sized GROUP BY source
+), weighted AS (
+  SELECT *, 2 * source_size AS cap, [5.0::DOUBLE, 2.0::DOUBLE, 1.0::DOUBLE][(place - 1) % 3 + 1] AS weight
+  FROM sources
+), levels AS (
+  SELECT *, (1.5::DOUBLE * sum(source_size) OVER () - coalesce(sum(cap) OVER before, 0)::DOUBLE)
+            / (sum(weight) OVER () - coalesce(sum(weight) OVER before, 0)) AS level
+  FROM weighted
+  WINDOW before AS (ORDER BY cap / weight, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), targets AS (
+  SELECT source, source_size, least(cap::DOUBLE, (max(level) OVER ()) * weight) AS target FROM levels
+), starts AS (
+  SELECT s.doc_id, s.size, t.source_size, t.target, CAST(round(t.target) AS BIGINT) AS budget,
+         CAST(sum(s.size) OVER (PARTITION BY s.source ORDER BY s.key, s.doc_id, s.size
+                                ROWS UNBOUNDED PRECEDING) AS BIGINT) - s.size AS start
+  FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source
+)
+SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
+       CAST(least(size, greatest(0, budget - start))
+            + least(size, greatest(0, budget - source_size - start)) AS BIGINT) AS taken
+FROM starts
+"""
+
+
+@query
+def op7_feistel_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
+    """The key is a stand-in; a real run takes its key from the keeper of secrets."""
+    return pseudonymise(documents(spark, folder).select("doc_id", "text"), key=corpus_pipeline.DEMO_KEY)
+
+
 @query
 def op10_backtracking_bpe(spark: SparkSession, folder: str) -> DataFrame:
     coded = round_trip(documents(spark, folder).select("doc_id", "text"), BYTE_BPE)
