@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from saldo.llm.bpe import round_trip
 from saldo.llm.common import documents, stored
+from saldo.llm.jaccard import without_near_duplicates
 from saldo.llm.mixing import mixed
 from saldo.llm.pii import pseudonymise
 from saldo.llm.quality import NAMES, quality
@@ -22,9 +23,15 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality(docs).where("kept").drop(*NAMES)
 
 
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near copies, the one with the smallest id."""
+    return without_near_duplicates(docs)
+
+
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, personal numbers replaced by pseudonyms."""
-    return pseudonymise(docs, DEMO_KEY).drop("n_replaced")
+    masked = pseudonymise(docs, DEMO_KEY).drop("n_replaced")
+    return masked.withColumn("n_chars", F.length("text").cast("long"))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,6 +48,7 @@ def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("quality rules", quality_rules),
+    ("n-gram Jaccard join", near_copies),
     ("PII", personal_data),
     ("mixing sources to target weights", mixing),
     ("BPE encoding and decoding", encoding),

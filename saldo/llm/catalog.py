@@ -9,12 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from saldo.llm import langid, lmscore
 from saldo.llm.bpe import round_trip
 from saldo.llm.common import documents
+from saldo.llm.jaccard import near_duplicates
 from saldo.llm.mihash import top_k, with_code
 from saldo.llm.mixing import mix
 from saldo.llm.pii import pseudonymise
 from saldo.llm.quality import quality
+from saldo.llm.repeats import without_repeats
 from saldo.llm.tokencount import token_counts
 from saldo.session import scratch_path
 
@@ -67,6 +70,11 @@ def op3_digest_cache(spark: SparkSession, folder: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > 1024)
 
 
+@query
+def op4_lsh_forest(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(documents(spark, folder)).select("doc_id", "class_id", "n_links")
+
+
 @query
 def op5_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     plan = mix(documents(spark, folder).select("doc_id", "source", "text"))
@@ -106,12 +114,38 @@ FROM starts
 """
 
 
+@query
+def op6_prefix_free_parsing(spark: SparkSession, folder: str) -> DataFrame:
+    return without_repeats(documents(spark, folder)).select(
+        "doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 @query
 def op7_feistel_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
     """The key is a stand-in; a real run takes its key from the keeper of secrets."""
     return pseudonymise(documents(spark, folder).select("doc_id", "text"), key=corpus_pipeline.DEMO_KEY)
 
 
+@query
+def op8_cross_entropy_difference(spark: SparkSession, folder: str) -> DataFrame:
+    """Target: the documents labelled as good; background: all documents."""
+    docs = documents(spark, folder).select("doc_id", "text")
+    good = spark.read.parquet(f"{folder}/labels.parquet").where("quality = 1").select("doc_id")
+    target = docs.join(good.distinct().hint("shuffle_hash"), "doc_id", "left_semi")
+    return lmscore.score(docs, lmscore.losses(docs, target)).drop("text")
+
+
+@query
+def op9_language_mixture(spark: SparkSession, folder: str) -> DataFrame:
+    """Learns from the documents that are not held out; a null id counts as the empty text."""
+    remainder = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 4
+    docs = documents(spark, folder).withColumn("held_out", remainder == 2)
+    model = langid.fit(docs.where(~F.col("held_out")).select("lang", "text"))
+    return langid.predict(docs.select("doc_id", "held_out", "text"), model).drop("text")
+
+
 @query
 def op10_backtracking_bpe(spark: SparkSession, folder: str) -> DataFrame:
     coded = round_trip(documents(spark, folder).select("doc_id", "text"), BYTE_BPE)

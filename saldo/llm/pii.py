@@ -173,10 +173,11 @@ def pseudonymise(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     """docs with the values of the text replaced, and n_replaced, how many there were.
 
     All rows and columns stay. A null text stays null with 0. Values that fail their check, such as
-    16 digits with a wrong last one, are left as they are and not counted. The lengths of texts do not change, but letters
-    of addresses become lower case, so that spellings of one address stay linked. Rows are
-    handled one by one, so ties, order and repeated rows do not matter; a column of docs named like
-    a result is replaced by it.
+    16 digits with a wrong last one, are left as they are and not counted. Letters of addresses
+    become lower case, so that spellings of one address stay linked. Texts keep their length, but
+    for network addresses, whose numbers have one to three digits. Rows are handled one by one,
+    so ties, order and repeated rows do not matter; a column of docs named like a result is
+    replaced by it.
     """
     docs = docs.drop(*[c for c in docs.columns if c.lower() == "n_replaced"])
     found, moved = free_name(docs, "pii_found"), free_name(docs, "pii_moved")
