@@ -30,7 +30,7 @@ PATTERNS = {
 }
 ANY = "|".join(PATTERNS.values())
 #: Documents without this need no search.
-HINT = r"\d\d|@|[=:] ?[\"']?[0-9A-Fa-f]{16}"
+HINT = r"\d\d|\d\.\d|@|[=:] ?[\"']?[0-9A-Fa-f]{16}"
 
 
 class Pseudonyms:
