@@ -20,7 +20,7 @@ import regex
 from pyspark.sql import DataFrame
 from tokenizers import pre_tokenizers
 
-from saldo.llm.common import map_columns
+from saldo.llm.common import held, map_columns
 
 #: Fixed value: the pattern by which byte-level tokenizers cut a text into pieces.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -28,7 +28,7 @@ PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S
 #: other characters are cut by the library itself.
 UNSETTLED = r"[^\x00-ԯḀ-ỿ -⁤₠-₿぀-ゖ゠-ヿ一-龥가-힣]"
 #: Pieces remembered per Python worker before the memory is emptied, and compatible pairs.
-REMEMBERED, REMEMBERED_PAIRS = 600_000, 600_000
+REMEMBERED, REMEMBERED_PAIRS = 400_000, 400_000
 
 
 class Splitter:
@@ -182,14 +182,9 @@ class Bpe(dict):
         return self.table[places].tobytes().decode("utf-8", errors="replace")
 
 
-_LOADED: dict[str, Bpe] = {}
-
-
 def loaded(path: str) -> Bpe:
     """One codec per Python worker and file; the file must lie at this path on every machine."""
-    if path not in _LOADED:
-        _LOADED[path] = Bpe(path)
-    return _LOADED[path]
+    return held(f"codec {path}", lambda: Bpe(path))
 
 
 def encode_array(codec: Bpe, texts: pa.Array) -> pa.ListArray:
@@ -200,7 +195,7 @@ def encode_array(codec: Bpe, texts: pa.Array) -> pa.ListArray:
 
 def decode_array(codec: Bpe, ids: pa.ListArray) -> pa.Array:
     offsets = ids.offsets.to_numpy()
-    flat = ids.values.to_numpy(zero_copy_only=False)
+    flat = ids.values.to_numpy(zero_copy_only=False)  # of a slice, offsets count from the whole
     texts = [codec.decode(flat[a:b]) for a, b in zip(offsets[:-1], offsets[1:])]
     return pa.array(texts, pa.string())
 

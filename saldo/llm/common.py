@@ -61,7 +61,7 @@ def map_columns(
         target = target.add(field)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             made = make(*[batch.column(batch.schema.get_field_index(n)) for n in names])
             arrays = [batch.column(i) for i in range(len(kept))] + [made[a] for a in added]
             yield pa.RecordBatch.from_arrays(arrays, names=kept + added)
@@ -69,6 +69,31 @@ def map_columns(
     return work.mapInArrow(run, target)
 
 
+#: What a Python worker remembers for the operator it works for.
+_HELD: dict[str, object] = {}
+
+
+def held(name: str, make: Callable[[], object]):
+    """Made once per Python worker. Workers serve one operator after the other; taking up the next
+    one frees what was held for the last."""
+    if name not in _HELD:
+        _HELD.clear()
+        _HELD[name] = make()
+    return _HELD[name]
+
+
+#: Bytes handed to Python code at once.
+PORTION_BYTES = 4 << 20
+
+
+def small_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of bounded size, so that what is made of one stays small."""
+    for batch in batches:
+        rows = max(1, int(batch.num_rows * PORTION_BYTES / max(1, batch.nbytes)))
+        for begin in range(0, batch.num_rows, rows):
+            yield batch.slice(begin, rows)
+
+
 def _fields(text: str):
     from pyspark.sql.types import _parse_datatype_string
 

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from saldo.llm.common import WORD, stored
+from saldo.llm.common import WORD, held, small_batches, stored
 
 GRAM = 5
 SIMILARITY = 0.8
@@ -31,7 +31,7 @@ TREES, DEPTH = 16, 6
 #: Nodes of a subtree that are verified against each other at once, and rows of one task's portion.
 BLOCK, PORTION = 512, 1_024
 #: Words whose hash is remembered per Python worker before the memory is emptied.
-REMEMBERED = 500_000
+REMEMBERED = 250_000
 
 _WORD = re.compile(WORD)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -46,15 +46,13 @@ class _Words(dict):
         return made
 
 
-_HASHES = _Words()
-
-
 def shingles(text: str | None, gram: int = GRAM) -> np.ndarray:
     """The sorted hashes of a text's word n-grams, in lower case; of all words if there are fewer."""
     words = _WORD.findall(text.lower()) if text else []
     if not words:
         return np.zeros(0, np.uint64)
-    hashes = np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
+    known = held("word hashes", _Words)
+    hashes = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
     size = min(gram, len(words))
     count = len(words) - size + 1
     value = np.full(count, size, np.uint64)
@@ -93,7 +91,7 @@ def _signed(docs: DataFrame, gram: int) -> DataFrame:
     """docs (doc_id, text) -> doc_id, text_hash, digest, signature; both null without words."""
 
     def run(batches):
-        for batch in batches:
+        for batch in small_batches(batches):
             digests, signatures = [], []
             for text in batch.column(2).to_pylist():
                 grams = shingles(text, gram)
@@ -138,8 +136,10 @@ def verify(rows: list[tuple[int, int, bytes, np.ndarray]], tree: int, level: int
         near &= sides[:, None] != sides[None, :]
     left, right = np.nonzero(np.triu(near))
     if len(left):
-        values = np.frombuffer(b"".join(r[2] for r in rows), ">u4").reshape(len(rows), TREES, DEPTH)[:, :tree, :level]
-        met = (values[left] == values[right]).all(axis=2).any(axis=1)
+        values = np.frombuffer(b"".join(r[2] for r in rows), ">u4").reshape(len(rows), TREES, DEPTH)
+        met = np.zeros(len(left), bool)
+        for earlier in range(tree):
+            met |= (values[left, earlier, :level] == values[right, earlier, :level]).all(axis=1)
         left, right = left[~met], right[~met]
     weights = np.array([r[1] for r in rows], np.int64)
     links = np.zeros(len(rows), np.int64)

@@ -16,10 +16,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from saldo.llm.bpe import Splitter
-from saldo.llm.common import map_columns
+from saldo.llm.common import held, map_columns
 
 #: Pieces of text remembered per Python worker before the memory is emptied.
-REMEMBERED = 600_000
+REMEMBERED = 400_000
 SCHEMA = "tokenizer_digest string, content_digest binary, n_tokens bigint"
 
 
@@ -69,13 +69,8 @@ class LibraryCounts(dict):
         return sum(map(self.__getitem__, self.splitter.pieces(text)))
 
 
-_LOADED: dict[str, LibraryCounts] = {}
-
-
 def _loaded(path: str) -> LibraryCounts:
-    if path not in _LOADED:
-        _LOADED[path] = LibraryCounts(path)
-    return _LOADED[path]
+    return held(f"counts {path}", lambda: LibraryCounts(path))
 
 
 def encode_counts(texts: DataFrame, path: str, text: str = "text") -> DataFrame:
