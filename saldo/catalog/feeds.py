@@ -4,14 +4,16 @@ The given tables hold no stock data. Suppliers stand for warehouses, parts for m
 lines for stock movements, event users for warehouses with a long history. Raw feeds are text with
 planted defects; clean feeds have the shape of the clean layer.
 
-All rows of the given tables take part. Remainders of ids only decide what is planted: bad cells,
-later exports, codes the registry does not know, parts without a price, rows that count as stored
-by an earlier load. They never thin out the input of a query.
+All rows of the given tables take part; each order line is a row of the raw turnover feed. Remainders
+of ids only decide what is planted: bad cells, later exports, rows that count as stored by an earlier
+load. Where a missing price or code is what an operator is about (price lookup, unknown members,
+losses, the marts above them), it reads ``known_prices`` or ``known_warehouses``; the feeds
+themselves hold every part and every supplier.
 """
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,9 +27,8 @@ from ..plans import marts
 from ..schemas import MONEY, QTY, feed_columns
 from ..session import scratch_path
 
-CALENDAR = (date(1995, 1, 1), date(2001, 12, 31))
-# Ends early, so that some rows of the feeds lie outside.
-SHORT_CALENDAR = (date(1995, 1, 1), date(2001, 6, 30))
+# The calendar of lost_rows ends so many days early, so that some rows lie outside.
+CUT_DAYS = 184
 SNAPSHOT_DAYS = ["1995-01-10", "1997-01-10", "1999-01-10", "2001-01-10"]
 # Event days up to this one count as loaded earlier.
 LOADED_UNTIL = "2024-01-20"
@@ -35,6 +36,12 @@ LOADED_UNTIL = "2024-01-20"
 MONTH_START = "cast(trunc(cast(l_shipdate AS date), 'month') AS date)"
 MONTH = [f"{MONTH_START} AS start_date", f"last_day({MONTH_START}) AS end_date"]
 UNITS = "array('шт', 'кг', 'м')"
+LINE_COLUMNS = [
+    "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount",
+    "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
+]
+# Numbers of lines within an order stay below this.
+LINES_PER_ORDER = 100_000
 EXPORT_DAY = "date_add(end_date, if(copy = 1, 17, 1))"
 
 
@@ -110,11 +117,9 @@ class Feeds:
 
     @cached_property
     def priced_months(self) -> DataFrame:
-        """Part and month that occurs, with a price that moves by month; each 13th has none."""
+        """Part and month that occurs, with a price that moves by month."""
         months = self.table("lineitem").selectExpr("l_partkey", *MONTH).distinct()
-        parts = self.table("part").filter("p_partkey % 13 <> 5").selectExpr(
-            "p_partkey AS l_partkey", "p_retailprice"
-        )
+        parts = self.table("part").selectExpr("p_partkey AS l_partkey", "p_retailprice")
         return months.join(parts, "l_partkey").selectExpr(
             "l_partkey", "start_date", "end_date",
             f"cast(cast(p_retailprice AS {MONEY}) + month(start_date) * 0.25 AS {MONEY}) AS price",
@@ -133,18 +138,20 @@ class Feeds:
             f"cast(price + copy * 2 AS {MONEY}) AS price",
         )
 
+    @cached_property
+    def known_prices(self) -> DataFrame:
+        """Prices as the lookups meet them: of every 13th part none was delivered."""
+        return self.prices.filter("(material_id - 1) % 13 <> 5")
+
     @cached_property
     def warehouses(self) -> DataFrame:
-        """Registry snapshots on four days; every 11th supplier is missing, some start later."""
+        """Registry snapshots of every supplier on four days."""
         nations = self.table("nation").selectExpr(
             "n_nationkey AS s_nationkey", "n_name", "n_regionkey AS r_regionkey"
         )
-        suppliers = self.table("supplier").filter("s_suppkey % 11 <> 3")
-        placed = suppliers.join(nations, "s_nationkey").join(self.table("region"), "r_regionkey")
+        placed = self.table("supplier").join(nations, "s_nationkey").join(self.table("region"), "r_regionkey")
         days = ", ".join(f"DATE'{d}'" for d in SNAPSHOT_DAYS)
-        rows = placed.selectExpr("*", f"posexplode(array({days})) AS (step, day)").filter(
-            "s_suppkey % 4 <> 1 OR step > 0"
-        )
+        rows = placed.selectExpr("*", f"posexplode(array({days})) AS (step, day)")
         return rows.selectExpr(
             "s_suppkey * 4 + step AS load_id",
             "day AS date",
@@ -159,6 +166,14 @@ class Feeds:
             "if(s_suppkey % 5 = 0, 'keeper', NULL) AS mol_position",
         )
 
+    @cached_property
+    def known_warehouses(self) -> DataFrame:
+        """The registry as the lookups meet it: every 11th code is missing, some start later."""
+        code = "int(warehouse_code)"
+        return self.warehouses.filter(
+            f"{code} % 11 <> 3 AND ({code} % 4 <> 1 OR date > DATE'{SNAPSHOT_DAYS[0]}')"
+        )
+
     @cached_property
     def daily_states(self) -> DataFrame:
         """Event users as registry codes: one clean registry row per event, so days repeat."""
@@ -184,14 +199,15 @@ class Feeds:
     @cached_property
     def raw_turnover(self) -> DataFrame:
         """One text row per order line, plus later exports and plain repeats of some."""
-        lines = self.table("lineitem").groupBy("l_orderkey", "l_linenumber").agg(*_exprs(
-            "min(l_suppkey) AS s", "min(l_partkey) AS p", f"sum(cast(l_quantity AS {QTY})) AS q",
-            "min(l_returnflag) AS f", "min(l_shipdate) AS l_shipdate",
-        ))
+        lines = self.table("lineitem")
+        # Line numbers repeat within an order, so lines are counted; equal lines are interchangeable.
         copied = lines.selectExpr(
-            "l_orderkey AS mark", "s", "p", "f", *MONTH,
-            "l_orderkey * 10 + l_linenumber AS number",
-            f"cast(q + (l_orderkey % 1000) * 0.001BD AS {QTY}) AS exact",
+            "l_orderkey AS mark", "l_suppkey AS s", "l_partkey AS p", "l_returnflag AS f", *MONTH,
+            f"l_orderkey * {LINES_PER_ORDER} + row_number() OVER (PARTITION BY l_orderkey "
+            f"ORDER BY {', '.join(LINE_COLUMNS)}) AS number", "l_orderkey", "l_quantity",
+        ).selectExpr(
+            "mark", "s", "p", "f", "start_date", "end_date", "number",
+            f"cast(cast(l_quantity AS {QTY}) + (l_orderkey % 1000) * 0.001BD AS {QTY}) AS exact",
             _copies(_1="l_orderkey % 5 = 0", _2="l_orderkey % 7 = 0"),
         )
         moved = copied.selectExpr(
@@ -271,13 +287,24 @@ class Feeds:
         rows.write.parquet(folder)
         return self.spark.read.schema(rows.schema).parquet(folder)
 
+    @cached_property
+    def bounds(self) -> tuple[date, date]:
+        """First and last day of the years in which orders or shipments fall."""
+        days = self.table("lineitem").selectExpr("l_shipdate AS day").union(
+            self.table("orders").selectExpr("o_orderdate AS day")
+        )
+        first, last = days.selectExpr("year(min(day))", "year(max(day))").first()
+        # Without a single row any calendar serves.
+        return date(first or 1995, 1, 1), date(last or 1995, 12, 31)
+
     @cached_property
     def calendar(self) -> DataFrame:
-        return dim_date(self.spark, *CALENDAR)
+        return dim_date(self.spark, *self.bounds)
 
     @cached_property
     def short_calendar(self) -> DataFrame:
-        return dim_date(self.spark, *SHORT_CALENDAR)
+        first, last = self.bounds
+        return dim_date(self.spark, first, last - timedelta(days=CUT_DAYS))
 
     @cached_property
     def ods_turnover(self) -> DataFrame:
@@ -287,14 +314,21 @@ class Feeds:
     def ods_prices(self) -> DataFrame:
         return self.store("ods-prices", self.prices)
 
+    @cached_property
+    def ods_known_prices(self) -> DataFrame:
+        return self.store("ods-known-prices", self.known_prices)
+
     @cached_property
     def materials(self) -> DataFrame:
         master = material.material_master(self.ods_turnover, self.ods_prices)
-        return master.selectExpr(material.MATERIAL_SK, "material_id", "unit")
+        rows = master.selectExpr(material.MATERIAL_SK, "material_id", "unit")
+        return self.store("dim-material", rows)
 
     @cached_property
     def registered(self) -> DataFrame:
-        return wh.build_versions(wh.changes(wh.snapshots(self.warehouses)))
+        """Versions of the codes that the registry knows."""
+        built = wh.build_versions(wh.changes(wh.snapshots(self.known_warehouses)))
+        return self.store("registered", built)
 
     @cached_property
     def versions(self) -> DataFrame:
@@ -308,18 +342,23 @@ class Feeds:
     def price_facts(self) -> DataFrame:
         return facts.price_rows(self.ods_prices, self.calendar)
 
+    @cached_property
+    def known_price_facts(self) -> DataFrame:
+        return facts.price_rows(self.ods_known_prices, self.calendar)
+
     @cached_property
     def monthly(self) -> DataFrame:
         return marts.inventory_monthly(
-            self.inventory, self.price_facts, self.calendar, self.materials, self.versions
+            self.inventory, self.known_price_facts, self.calendar, self.materials, self.versions
         )
 
     @cached_property
     def daily_changes(self) -> DataFrame:
-        return wh.changes(wh.snapshots(self.daily_states))
+        return self.store("daily-changes", wh.changes(wh.snapshots(self.daily_states)))
 
     @cached_property
     def stored_versions(self) -> DataFrame:
         """Versions as a load on LOADED_UNTIL left them."""
         early = self.daily_states.filter(f"date <= DATE'{LOADED_UNTIL}'")
-        return wh.build_versions(wh.changes(wh.snapshots(early)))
+        built = wh.build_versions(wh.changes(wh.snapshots(early)))
+        return self.store("stored-versions", built)

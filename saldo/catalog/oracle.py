@@ -8,11 +8,16 @@ from __future__ import annotations
 
 import re
 
-from .feeds import CALENDAR, LOADED_UNTIL, SHORT_CALENDAR, SNAPSHOT_DAYS
+from ..operators.calendar import MONTH_NAMES
+from .feeds import CUT_DAYS, LINE_COLUMNS, LINES_PER_ORDER, LOADED_UNTIL, SNAPSHOT_DAYS
 
 BLOCKS: dict[str, str] = {}
-# Computed once and stored; inlined, this one makes DuckDB 2.0 stop with an internal error.
-MATERIALIZED = {"ods_warehouses"}
+# Blocks that several others read: computed once and stored.
+MATERIALIZED = {
+    "bounds", "calendar_days", "ods_turnover", "ods_prices", "known_prices", "ods_warehouses",
+    "known_warehouses", "registered", "versions", "checked_turnover", "last_turnover",
+    "fact_inventory", "upserted", "monthly", "metrics_now", "event_days", "early_versions",
+}
 ORACLE: dict[str, str] = {}
 
 
@@ -95,17 +100,19 @@ def unit_of(part: str) -> str:
 EXPORT_DAY = "end_date + CASE WHEN copy = 1 THEN 17 ELSE 1 END"
 COPY_NUMBERS = "(VALUES (0), (1), (2)) AS c(copy)"
 
+BLOCKS["bounds"] = """
+  SELECT make_date(min(year(day)), 1, 1) AS first_day, make_date(max(year(day)), 12, 31) AS last_day
+  FROM (SELECT l_shipdate AS day FROM lineitem UNION ALL SELECT o_orderdate FROM orders) AS d
+"""
+_MONTH_LIST = ", ".join(f"'{n}'" for n in MONTH_NAMES)
 BLOCKS["calendar_days"] = f"""
-  SELECT cast(d AS date) AS full_date,
-         year(d) * 10000 + month(d) * 100 + day(d) AS date_key,
+  SELECT d AS full_date, year(d) * 10000 + month(d) * 100 + day(d) AS date_key,
          year(d) AS year_num, quarter(d) AS quarter_num, month(d) AS month_num,
-         CASE month(d) WHEN 1 THEN 'Январь' WHEN 2 THEN 'Февраль' WHEN 3 THEN 'Март'
-              WHEN 4 THEN 'Апрель' WHEN 5 THEN 'Май' WHEN 6 THEN 'Июнь' WHEN 7 THEN 'Июль'
-              WHEN 8 THEN 'Август' WHEN 9 THEN 'Сентябрь' WHEN 10 THEN 'Октябрь'
-              WHEN 11 THEN 'Ноябрь' ELSE 'Декабрь' END AS month_name,
+         [{_MONTH_LIST}][month(d)] AS month_name,
          day(d) AS day_of_month, isodow(d) AS day_of_week,
          CASE WHEN isodow(d) IN (6, 7) THEN 1 ELSE 0 END AS is_weekend
-  FROM generate_series(TIMESTAMP '{CALENDAR[0]}', TIMESTAMP '{CALENDAR[1]}', INTERVAL 1 DAY) AS s(d)
+  FROM (SELECT cast(unnest(generate_series(first_day, last_day, INTERVAL 1 DAY)) AS date) AS d
+        FROM bounds) AS s
 """
 BLOCKS["moved"] = f"""
   SELECT l_suppkey, l_partkey, start_date, end_date, sum(q) AS opening,
@@ -131,13 +138,13 @@ BLOCKS["priced_months"] = f"""
          l_partkey * 1000 + (year(start_date) - 1990) * 12 + month(start_date) AS mark
   FROM (SELECT DISTINCT l_partkey, {month_of('l_shipdate')} FROM lineitem) AS m
   JOIN part ON p_partkey = l_partkey
-  WHERE p_partkey % 13 <> 5
 """
 BLOCKS["ods_prices"] = f"""
   SELECT {EXPORT_DAY} AS date, start_date, end_date, cast(l_partkey + 1 AS integer) AS material_id,
          cast(price + copy * 2 AS decimal(18,2)) AS price
   FROM priced_months, {COPY_NUMBERS} WHERE copy = 0 OR (copy = 1 AND l_partkey % 7 = 0)
 """
+BLOCKS["known_prices"] = "SELECT * FROM ods_prices WHERE (material_id - 1) % 13 <> 5"
 _STEPS = ", ".join(f"({i}, DATE '{d}')" for i, d in enumerate(SNAPSHOT_DAYS))
 BLOCKS["ods_warehouses"] = f"""
   SELECT s_suppkey * 4 + step AS load_id, snapshot_day AS date, snapshot_day AS start_date,
@@ -150,7 +157,10 @@ BLOCKS["ods_warehouses"] = f"""
          CASE WHEN s_suppkey % 5 = 0 THEN 'keeper' END AS mol_position
   FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey,
        (VALUES {_STEPS}) AS d(step, snapshot_day)
-  WHERE s_suppkey % 11 <> 3 AND (s_suppkey % 4 <> 1 OR step > 0)
+"""
+BLOCKS["known_warehouses"] = f"""
+  SELECT * FROM ods_warehouses WHERE cast(warehouse_code AS integer) % 11 <> 3
+     AND (cast(warehouse_code AS integer) % 4 <> 1 OR date > DATE '{SNAPSHOT_DAYS[0]}')
 """
 
 # --- raw feeds ---------------------------------------------------------------------------------
@@ -158,15 +168,16 @@ BLOCKS["ods_warehouses"] = f"""
 BLOCKS["lines_moved"] = f"""
   SELECT *, opening + income + expense AS closing, number % 7 AS form
   FROM (SELECT l_orderkey AS mark, s, p, copy, {month_of('d')},
-               l_orderkey * 10 + l_linenumber AS number,
+               number,
                cast(exact * 2 + CASE WHEN copy = 1 THEN 1 ELSE 0 END AS decimal(18,3)) AS opening,
                cast(CASE WHEN f = 'R' THEN exact ELSE 0 END AS decimal(18,3)) AS income,
                cast(CASE WHEN f = 'R' THEN 0 ELSE -exact END AS decimal(18,3)) AS expense
-        FROM (SELECT l_orderkey, l_linenumber, min(l_suppkey) AS s, min(l_partkey) AS p,
-                     min(l_returnflag) AS f, min(l_shipdate) AS d,
-                     cast(sum(cast(l_quantity AS decimal(18,3))) + (l_orderkey % 1000) * 0.001
+        FROM (SELECT l_orderkey, l_suppkey AS s, l_partkey AS p, l_returnflag AS f, l_shipdate AS d,
+                     l_orderkey * {LINES_PER_ORDER} + row_number() OVER (
+                       PARTITION BY l_orderkey ORDER BY {", ".join(LINE_COLUMNS)}) AS number,
+                     cast(cast(l_quantity AS decimal(18,3)) + (l_orderkey % 1000) * 0.001
                           AS decimal(18,3)) AS exact
-              FROM lineitem GROUP BY l_orderkey, l_linenumber) AS l, {COPY_NUMBERS}
+              FROM lineitem) AS l, {COPY_NUMBERS}
         WHERE copy = 0 OR (copy = 1 AND l_orderkey % 5 = 0) OR (copy = 2 AND l_orderkey % 7 = 0)
        ) AS m
 """
@@ -316,15 +327,15 @@ oracle("export_delimited", f"""
   SELECT {_PRICE_LINE} AS line, count(*) AS n FROM raw_prices GROUP BY ALL
 """)
 oracle("staging_append", """
-  SELECT count(*) AS n_rows, count(DISTINCT load_id) AS n_load_ids, 1 AS is_above_previous,
-         0 AS n_without_file FROM raw_turnover
-""")
-_TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
-           "benchmark labels conversations").split()
-oracle("file_listing", "SELECT * FROM (VALUES {}) AS t(file_name)".format(
-    ", ".join(f"('{t}.parquet')" for t in _TABLES)))
-oracle("stale_outputs", "SELECT * FROM (VALUES {}) AS t(stem)".format(
-    ", ".join(f"('{t}')" for t in _TABLES if t != "region")))
+  SELECT count(*) AS n_rows, count(DISTINCT load_id) AS highest, 0 AS n_without_file,
+         1 AS is_in_order FROM raw_turnover
+""")
+oracle("file_listing", """
+  SELECT DISTINCT strftime(o_orderdate, '%Y-%m') || '.csv' AS file_name FROM orders
+""")
+oracle("stale_outputs", """
+  SELECT DISTINCT strftime(o_orderdate, '%Y-%m') AS stem FROM orders WHERE month(o_orderdate) % 5 = 0
+""")
 BLOCKS["document_prints"] = """
   SELECT doc_id, '/import/' || doc_id || '.csv' AS file_path, sha256(text) AS file_hash,
          octet_length(encode(text)) AS file_size_bytes FROM documents
@@ -335,7 +346,7 @@ BLOCKS["document_registry"] = """
          file_size_bytes,
          CASE doc_id % 5 WHEN 2 THEN 'failed' WHEN 3 THEN 'pending' ELSE 'loaded' END AS status,
          1 AS rows_loaded, CASE WHEN doc_id % 5 = 2 THEN 'unreadable' END AS error_message
-  FROM document_prints WHERE doc_id % 5 <> 0
+  FROM document_prints
 """
 oracle("file_fingerprint", "SELECT file_path, file_hash, file_size_bytes FROM document_prints")
 oracle("file_decision", """
@@ -389,9 +400,10 @@ oracle("ods_new", f"""
 # --- dimensions --------------------------------------------------------------------------------
 
 BLOCKS["master"] = """
-  SELECT material_id, max(unit) AS unit
-  FROM (SELECT material_id, unit FROM ods_turnover
-        UNION ALL SELECT material_id, NULL FROM ods_prices) AS u GROUP BY material_id
+  SELECT material_id, t.unit
+  FROM (SELECT DISTINCT ON (material_id) material_id, unit FROM ods_turnover
+        ORDER BY material_id, unit DESC NULLS LAST) AS t
+  FULL JOIN (SELECT DISTINCT material_id FROM ods_prices) AS p USING (material_id)
 """
 oracle("material_master", "SELECT * FROM master")
 oracle("scd1_material", """
@@ -427,14 +439,21 @@ def _versions(changed: str) -> str:
     """
 
 
-BLOCKS["registry_days"] = """
-  SELECT * EXCLUDE (place, date, load_id, start_date, end_date), date AS snapshot_date
-  FROM (SELECT *, row_number() OVER (PARTITION BY warehouse_code, date ORDER BY load_id) AS place
-        FROM ods_warehouses) AS r WHERE place = 1
-"""
+def _days(rows: str) -> str:
+    return f"""
+      SELECT * EXCLUDE (place, date, load_id, start_date, end_date), date AS snapshot_date
+      FROM (SELECT *, row_number() OVER (PARTITION BY warehouse_code, date ORDER BY load_id) AS place
+            FROM {rows}) AS r WHERE place = 1
+    """
+
+
+BLOCKS["registry_days"] = _days("known_warehouses")
 BLOCKS["registry_changes"] = _changes("registry_days")
 BLOCKS["registered"] = _versions("registry_changes")
-oracle("scd2_build", "SELECT * FROM registered")
+BLOCKS["full_registry_days"] = _days("ods_warehouses")
+BLOCKS["full_registry_changes"] = _changes("full_registry_days")
+BLOCKS["full_registered"] = _versions("full_registry_changes")
+oracle("scd2_build", "SELECT * FROM full_registered")
 BLOCKS["unknown"] = """
   SELECT DISTINCT warehouse_code, '—' AS shop_code, 'UNKNOWN' AS warehouse_type,
          'Не определена' AS directorate, cast(NULL AS integer) AS mol_id,
@@ -499,16 +518,15 @@ oracle("latest_turnover", """
          expense_qty, balance_end FROM last_turnover
 """)
 oracle("latest_prices", "SELECT start_date, end_date, material_id, date, price FROM last_prices")
-oracle("date_keys", f"""
+oracle("date_keys", """
   SELECT t.warehouse_code, t.material_id, t.date, s.date_key AS date_key_start,
          e.date_key AS date_key_end
   FROM ods_turnover AS t JOIN calendar_days AS s ON s.full_date = t.start_date
   JOIN calendar_days AS e ON e.full_date = t.end_date
-  WHERE s.full_date <= DATE '{SHORT_CALENDAR[1]}' AND e.full_date <= DATE '{SHORT_CALENDAR[1]}'
 """)
 oracle("material_key", """
   SELECT material_id, count(*) AS n_rows, 1 AS n_keys FROM ods_turnover
-  WHERE material_id IN (SELECT material_id FROM ods_prices) GROUP BY material_id
+  WHERE material_id IN (SELECT material_id FROM known_prices) GROUP BY material_id
 """)
 oracle("scd2_asof", """
   SELECT t.warehouse_code, t.material_id, t.start_date, t.date, v.date_from
@@ -550,7 +568,10 @@ BLOCKS["fact_prices"] = """
   FROM last_prices AS p JOIN calendar_days AS s ON s.full_date = p.start_date
   JOIN calendar_days AS e ON e.full_date = p.end_date
 """
-_SEEN = "date = end_date + 1 AND year(start_date) < 2001"
+BLOCKS["fact_known_prices"] = """
+  SELECT p.* FROM fact_prices AS p SEMI JOIN known_prices AS k ON k.material_id = p.material_id
+"""
+_SEEN = "date = end_date + 1 AND year(start_date) < (SELECT year(last_day) FROM bounds)"
 BLOCKS["seen_turnover"] = f"SELECT * FROM ods_turnover WHERE {_SEEN}"
 BLOCKS["resolved_seen"] = _resolved("seen_turnover")
 BLOCKS["stored_inventory"] = _facts("resolved_seen")
@@ -577,7 +598,7 @@ oracle("upsert_prices", f"""
 """)
 oracle("price_lookup", f"""
   SELECT {_INVENTORY_KEY}, balance_end, price
-  FROM fact_inventory LEFT JOIN fact_prices USING (date_key_start, date_key_end, material_id)
+  FROM fact_inventory LEFT JOIN fact_known_prices USING (date_key_start, date_key_end, material_id)
 """)
 BLOCKS["star"] = """
   SELECT f.date_key_start, f.date_key_end, d.year_num, d.month_num, f.warehouse_code,
@@ -602,7 +623,7 @@ BLOCKS["monthly_sums"] = """
          cast(sum(expense_qty) AS decimal(18,2)) AS expense_qty,
          cast(sum(balance_end) AS decimal(18,2)) AS balance_end,
          cast(sum(abs(expense_qty)) AS decimal(18,2)) AS consumed, max(price) AS price
-  FROM star LEFT JOIN fact_prices USING (date_key_start, date_key_end, material_id)
+  FROM star LEFT JOIN fact_known_prices USING (date_key_start, date_key_end, material_id)
   GROUP BY year_num, month_num, warehouse_code, material_id, unit
 """
 BLOCKS["monthly"] = """
@@ -619,22 +640,22 @@ _SUMS = ", ".join(
     f"cast(sum({m}) AS decimal(18,2)) AS {m}"
     for m in ("stock_value", "avg_stock_value", "expense_value")
 )
-_MONTH = "month_key, year_num, month_num"
+# Every row of the mart offers itself to all slices it belongs to; slices are then summed at once.
+BLOCKS["offered"] = """
+  SELECT *, unnest([{'lv': 'company', 'k': 'ALL'}, {'lv': 'directorate', 'k': directorate},
+                    {'lv': 'shop', 'k': directorate || ' | ' || shop_code},
+                    {'lv': 'warehouse', 'k': warehouse_code}]) AS slice
+  FROM monthly
+"""
 BLOCKS["level_sums"] = f"""
-  SELECT {_MONTH}, 'company' AS agg_level, 'ALL' AS agg_key, NULL AS directorate,
-         NULL AS shop_code, NULL AS warehouse_code, NULL AS warehouse_type, {_SUMS}
-  FROM monthly GROUP BY {_MONTH}
-  UNION ALL
-  SELECT {_MONTH}, 'directorate', directorate, directorate, NULL, NULL, NULL, {_SUMS}
-  FROM monthly WHERE directorate <> '' GROUP BY {_MONTH}, directorate
-  UNION ALL
-  SELECT {_MONTH}, 'shop', directorate || ' | ' || shop_code, directorate, shop_code, NULL, NULL,
-         {_SUMS}
-  FROM monthly WHERE shop_code <> '' GROUP BY {_MONTH}, directorate, shop_code
-  UNION ALL
-  SELECT {_MONTH}, 'warehouse', warehouse_code, max(directorate), max(shop_code), warehouse_code,
-         max(warehouse_type), {_SUMS}
-  FROM monthly GROUP BY {_MONTH}, warehouse_code
+  SELECT month_key, year_num, month_num, slice.lv AS agg_level, slice.k AS agg_key,
+         max(directorate) FILTER (WHERE slice.lv <> 'company') AS directorate,
+         max(shop_code) FILTER (WHERE slice.lv IN ('shop', 'warehouse')) AS shop_code,
+         max(warehouse_code) FILTER (WHERE slice.lv = 'warehouse') AS warehouse_code,
+         max(warehouse_type) FILTER (WHERE slice.lv = 'warehouse') AS warehouse_type, {_SUMS}
+  FROM offered
+  WHERE NOT (slice.lv = 'directorate' AND directorate = '') AND NOT (slice.lv = 'shop' AND shop_code = '')
+  GROUP BY ALL
 """
 BLOCKS["metrics_now"] = f"""
   SELECT l.*, d.month_name,
@@ -655,8 +676,7 @@ BLOCKS["metrics"] = f"""
          {_mom('turnover_days', 2)}
   FROM metrics_now AS m LEFT JOIN metrics_now AS b
     ON b.agg_level = m.agg_level AND b.agg_key = m.agg_key
-   AND b.month_key = CASE WHEN m.month_num = 1 THEN (m.year_num - 1) * 100 + 12
-                          ELSE m.month_key - 1 END
+   AND make_date(b.year_num, b.month_num, 1) = make_date(m.year_num, m.month_num, 1) - INTERVAL 1 MONTH
 """
 oracle("turnover_metrics", "SELECT * FROM metrics")
 oracle("vw_turnover_metrics", "SELECT * FROM metrics")
@@ -685,6 +705,18 @@ oracle("role_slice", """
        ELSE m.warehouse_code END)
 """)
 
+oracle("role_views", """
+  SELECT role, month_key, agg_level, agg_key, stock_value, mom_stock_value
+  FROM metrics JOIN (VALUES ('general_director', 'company', NULL),
+    ('production_director', 'directorate', ['ASIA', 'EUROPE']),
+    ('purchasing_director', 'directorate', ['AFRICA']),
+    ('purchasing_manager', 'directorate', ['AMERICA', 'MIDDLE EAST']),
+    ('shop_head', 'shop', ['FRANCE', 'CHINA']),
+    ('warehouse_head', 'warehouse', ['1', '2', '3'])) AS r(role, lv, zones)
+  ON agg_level = lv AND (zones IS NULL OR list_contains(zones, CASE lv
+     WHEN 'directorate' THEN directorate WHEN 'shop' THEN shop_code ELSE warehouse_code END))
+""")
+
 # --- checks and reports ------------------------------------------------------------------------
 
 oracle("check_unique", f"""
@@ -695,22 +727,46 @@ oracle("check_fk", """
   SELECT warehouse_code, count(*) AS n_rows FROM ods_turnover
   WHERE warehouse_code NOT IN (SELECT warehouse_code FROM registered) GROUP BY warehouse_code
 """)
+BLOCKS["faulty"] = """
+  SELECT warehouse_code, date_from,
+         CASE WHEN code % 7 = 0 AND is_current = 0 THEN date_to + 1
+              WHEN code % 11 = 0 AND is_current = 0 THEN date_from - 1 ELSE date_to END AS date_to,
+         CASE WHEN code % 13 = 0 THEN 1 ELSE is_current END AS is_current
+  FROM (SELECT *, cast(warehouse_code AS integer) AS code FROM early_versions) AS e
+"""
+_INV = "date_key_start, date_key_end, warehouse_code, date_from, material_id"
+BLOCKS["short_days"] = f"SELECT date_key FROM calendar_days, bounds WHERE full_date <= last_day - {CUT_DAYS}"
+BLOCKS["facts_twice"] = """
+  SELECT * FROM fact_inventory UNION ALL SELECT * FROM fact_inventory WHERE material_id % 7 = 0
+"""
+oracle("check_constraints", f"""
+  SELECT 'unique inventory' AS check_name, cast(coalesce(sum(n), 0) AS bigint) AS n_rows
+  FROM (SELECT count(*) AS n FROM facts_twice GROUP BY {_INV} HAVING count(*) > 1) AS t
+  UNION ALL SELECT 'unique ' || unnest(['prices', 'materials', 'days', 'versions']), 0
+  UNION ALL SELECT 'inventory date_key_start', count(*) FROM facts_twice
+            WHERE date_key_start NOT IN (SELECT date_key FROM short_days)
+  UNION ALL SELECT 'inventory date_key_end', count(*) FROM facts_twice
+            WHERE date_key_end NOT IN (SELECT date_key FROM short_days)
+  UNION ALL SELECT 'inventory warehouse_sk', count(*) FROM facts_twice ANTI JOIN registered
+            USING (warehouse_code, date_from)
+  UNION ALL SELECT 'inventory material_sk', count(*) FROM facts_twice WHERE material_id % 13 = 6
+  UNION ALL SELECT 'prices date_key_start', count(*) FROM fact_prices
+            WHERE date_key_start NOT IN (SELECT date_key FROM short_days)
+  UNION ALL SELECT 'prices date_key_end', count(*) FROM fact_prices
+            WHERE date_key_end NOT IN (SELECT date_key FROM short_days)
+  UNION ALL SELECT 'prices material_sk', count(*) FROM fact_prices WHERE material_id % 13 = 6
+""")
 oracle("check_scd2", """
   SELECT warehouse_code, date_from, date_to, is_current, problem
   FROM (SELECT *, concat_ws('; ', CASE WHEN date_from > date_to THEN 'reversed' END,
                  CASE WHEN (is_current = 1) <> (date_to = DATE '9999-12-31') THEN 'current flag' END,
                  CASE WHEN sum(is_current) OVER (PARTITION BY warehouse_code) > 1
                       THEN 'several current' END,
-                 CASE WHEN lead(date_from) OVER (PARTITION BY warehouse_code
-                                                 ORDER BY date_from, date_to) <= date_to
+                 CASE WHEN EXISTS (SELECT 1 FROM faulty AS o WHERE o.warehouse_code = b.warehouse_code
+                                   AND (o.date_from, o.date_to) < (b.date_from, b.date_to)
+                                   AND o.date_to >= b.date_from)
                       THEN 'overlap' END) AS problem
-        FROM (SELECT warehouse_code, date_from,
-                     CASE WHEN code % 7 = 0 AND is_current = 0 THEN date_to + 1
-                          WHEN code % 11 = 0 AND is_current = 0 THEN date_from - 1
-                          ELSE date_to END AS date_to,
-                     CASE WHEN code % 13 = 0 THEN 1 ELSE is_current END AS is_current
-              FROM (SELECT *, cast(warehouse_code AS integer) AS code FROM early_versions) AS e
-             ) AS b) AS p
+        FROM faulty AS b) AS p
   WHERE problem <> ''
 """)
 oracle("layer_counts", " UNION ALL ".join(
@@ -720,7 +776,12 @@ oracle("layer_counts", " UNION ALL ".join(
         ("staging", "raw", ""), ("ods", "flagged", "WHERE error_reason IS NULL"),
         ("quarantine", "flagged", "WHERE error_reason IS NOT NULL"),
     )
-))
+) + """
+  UNION ALL SELECT 'dwh', 'inventory', count(*) FROM fact_inventory
+  UNION ALL SELECT 'dwh', 'prices', count(*) FROM fact_prices
+  UNION ALL SELECT 'datamart', 'monthly', count(*) FROM monthly
+  UNION ALL SELECT 'skipped', 'documents', count(*) FROM document_prints WHERE doc_id % 5 = 4
+""")
 oracle("quarantine_reasons", """
   SELECT reason, count(*) AS n_rows
   FROM (SELECT unnest(string_split(error_reason, '; ')) AS reason FROM quarantine_turnover) AS r
@@ -733,11 +794,11 @@ oracle("unknown_share", f"""
                  AS unknown_rows, count(*) AS all_rows FROM ods_turnover) AS t
 """)
 oracle("lost_rows", f"""
-  SELECT 'calendar' AS lookup, count(*) AS n_rows FROM ods_turnover
-  WHERE start_date > DATE '{SHORT_CALENDAR[1]}' OR end_date > DATE '{SHORT_CALENDAR[1]}'
+  SELECT 'calendar' AS lookup, count(*) AS n_rows FROM ods_turnover, bounds
+  WHERE greatest(start_date, end_date) > last_day - {CUT_DAYS}
   UNION ALL
   SELECT 'material', count(*) FROM ods_turnover
-  WHERE material_id NOT IN (SELECT material_id FROM ods_prices)
+  WHERE material_id NOT IN (SELECT material_id FROM known_prices)
 """)
 oracle("version_overlap", """
   SELECT date_key_start, date_key_end, warehouse_code, material_id,

@@ -45,7 +45,7 @@ def _export(f: Feeds, feed: str) -> str:
 
 def _scan(feed: str):
     def run(f: Feeds) -> DataFrame:
-        rows = delimited.scan(f.spark, feed, _export(f, feed), encoding="UTF-16LE")
+        rows = delimited.scan(f.spark, feed, _export(f, feed))
         return rows.drop("file_name")
 
     return run
@@ -67,33 +67,50 @@ def export_delimited(f):
 
 @query("staging_append")
 def staging_append(f):
-    """Load numbers of a second load: unique, and above those of the first."""
+    """Load numbers of a second load: above those of the first, without gaps, file after file."""
     previous = 10**12
-    rows = delimited.scan(f.spark, "turnover", _export(f, "turnover"), encoding="UTF-16LE")
-    return delimited.with_load_id(rows, previous).selectExpr(
-        "count(*) AS n_rows",
-        "count(DISTINCT load_id) AS n_load_ids",
-        f"int(min(load_id) > {previous}) AS is_above_previous",
+    rows = delimited.scan(f.spark, "turnover", _export(f, "turnover"), positions=True)
+    numbered = f.store("numbered", delimited.with_load_id(f.store("staged", rows), previous))
+    by_file = numbered.groupBy("file_name").agg(
+        F.min("load_id").alias("low"), F.max("load_id").alias("high"), F.count("*").alias("n")
+    ).selectExpr("*", "lag(high) OVER (ORDER BY file_name) AS before")
+    in_order = f"low = coalesce(before, {previous}) + 1 AND high - low + 1 = n"
+    return by_file.selectExpr(
+        "sum(n) AS n_rows",
+        f"max(high) - {previous} AS highest",
         "count_if(file_name IS NULL) AS n_without_file",
+        f"int(every({in_order})) AS is_in_order",
     )
 
 
+def _orders_by_month(f: Feeds, name: str, condition: str = "true") -> str:
+    """One folder of files per month of the orders."""
+    folder = scratch_path(f.spark, name)
+    months = f.table("orders").withColumn("month", F.expr("date_format(o_orderdate, 'yyyy-MM')"))
+    months.filter(condition).hint("rebalance", "month").write.partitionBy("month").parquet(folder)
+    return folder
+
+
+def _monthly_files(f: Feeds, folder: str) -> DataFrame:
+    """The exported files, named by their month."""
+    found = files.list_files(f.spark, folder, "*.parquet", recursive=True)
+    return found.withColumn("path", F.regexp_replace("path", r"/month=([^/]*)/[^/]*\z", "/$1.csv"))
+
+
 @query("file_listing")
 def file_listing(f):
-    listed = files.list_files(f.spark, f.folder, "*.parquet")
-    return listed.select(files.file_name(F.col("path")).alias("file_name"))
+    """What a listing finds of an export of the orders."""
+    listed = _monthly_files(f, _orders_by_month(f, "orders"))
+    return listed.select(files.file_name(F.col("path")).alias("file_name")).distinct()
 
 
 @query("stale_outputs")
 def stale_outputs(f):
-    """Table files of which no newer export exists: one was exported, the others were not."""
-    folder = scratch_path(f.spark, "outputs")
-    f.table("region").coalesce(1).write.parquet(f"{folder}/region")
-    done = files.list_files(f.spark, folder, "*.parquet", recursive=True)
-    done = done.withColumn("path", F.regexp_replace("path", r"/region/[^/]*\z", "/region.csv"))
-    found = files.list_files(f.spark, f.folder, "*.parquet")
-    stale = files.stale_outputs(found, done, f.folder, folder)
-    return stale.selectExpr("element_at(split(stem, '/'), -1) AS stem")
+    """Months of the orders of which no newer output exists: none was made for every fifth month."""
+    source = _orders_by_month(f, "orders")
+    output = _orders_by_month(f, "outputs", "month(o_orderdate) % 5 <> 0")
+    found, done = _monthly_files(f, source), _monthly_files(f, output)
+    return files.stale_outputs(found, done, source, output).select("stem").distinct()
 
 
 def _documents(f: Feeds) -> DataFrame:
@@ -104,11 +121,11 @@ def _documents(f: Feeds) -> DataFrame:
     )
 
 
-def _document_registry(f: Feeds) -> DataFrame:
-    """Every fifth document is new; of the others a quarter each was loaded with other content,
-    failed, is pending, or was loaded as it is."""
+def _whole_registry(f: Feeds) -> DataFrame:
+    """Of the documents a fifth each was loaded with other content, failed, or is pending; the rest
+    was loaded as it is."""
     kind = "doc_id % 5"
-    return _documents(f).filter(f"{kind} <> 0").selectExpr(
+    return _documents(f).selectExpr(
         "'documents' AS source_type",
         "element_at(split(path, '/'), -1) AS file_name",
         "path AS file_path",
@@ -118,9 +135,16 @@ def _document_registry(f: Feeds) -> DataFrame:
         "1L AS rows_loaded",
         "cast(NULL AS timestamp) AS loaded_at",
         f"CASE {kind} WHEN 2 THEN 'unreadable' END AS error_message",
+        "cast(NULL AS timestamp) AS modified_at",
     )
 
 
+def _document_registry(f: Feeds) -> DataFrame:
+    """The registry before every fifth document arrived: those are new."""
+    number = "int(split_part(file_name, '.', 1))"
+    return _whole_registry(f).filter(f"{number} % 5 <> 0")
+
+
 def _decided(f: Feeds) -> DataFrame:
     return files.decide(files.fingerprint(_documents(f)), _document_registry(f))
 
@@ -138,12 +162,12 @@ def registry_upsert(f):
     decided = _decided(f)
     counts = decided.selectExpr("file_path", "2L AS rows_loaded")
     outcome = files.outcome_rows(decided, "documents", "loaded", counts)
-    return files.update_registry(_document_registry(f), outcome).drop("loaded_at")
+    return files.update_registry(_document_registry(f), outcome).drop("loaded_at", "modified_at")
 
 
 @query("file_status")
 def file_status(f):
-    return reports.file_status(_document_registry(f))
+    return reports.file_status(_whole_registry(f))
 
 
 # --- scalar functions --------------------------------------------------------------------------
@@ -305,7 +329,8 @@ def warehouse_changes(f):
 
 @query("scd2_build")
 def scd2_build(f):
-    return f.registered.selectExpr(*VERSION, IS_CURRENT)
+    built = wh.build_versions(wh.changes(wh.snapshots(f.warehouses)))
+    return built.selectExpr(*VERSION, IS_CURRENT)
 
 
 def _pending(f: Feeds) -> DataFrame:
@@ -351,7 +376,7 @@ def latest_prices(f):
 
 @query("date_keys")
 def date_keys(f):
-    return cal.with_date_keys(f.turnover, f.short_calendar).select(
+    return cal.with_date_keys(f.turnover, f.calendar).select(
         "warehouse_code", "material_id", "date", "date_key_start", "date_key_end"
     )
 
@@ -359,7 +384,7 @@ def date_keys(f):
 @query("material_key")
 def material_key(f):
     """Turnover rows of materials that are known here: those with a price."""
-    known = f.prices.select("material_id").distinct().selectExpr(
+    known = f.known_prices.select("material_id").distinct().selectExpr(
         "material_id", material.MATERIAL_SK
     )
     return material.with_material_key(f.turnover, known).groupBy("material_id").agg(
@@ -367,30 +392,27 @@ def material_key(f):
     )
 
 
-def _with_first_day(resolved: DataFrame, versions: DataFrame) -> DataFrame:
-    """Generated keys are engine-specific; show the first day of the version instead."""
-    first = versions.select("warehouse_sk", "date_from")
-    return resolved.join(first, "warehouse_sk", "left").select(
-        "warehouse_code", "material_id", "start_date", "date", "date_from"
-    )
+# Generated keys are engine-specific; the first day of the version is shown instead.
+RESOLVED = ["warehouse_code", "material_id", "start_date", "date", "date_from"]
 
 
 @query("scd2_asof")
 def scd2_asof(f):
-    return _with_first_day(wh.version_on_date(f.turnover, f.registered), f.registered)
+    return wh.version_on_date(f.ods_turnover, f.registered).select(*RESOLVED)
 
 
 @query("scd2_fallback")
 def scd2_fallback(f):
-    return _with_first_day(wh.resolve_version(f.ods_turnover, f.versions), f.versions)
+    return wh.resolve_version(f.ods_turnover, f.versions).select(*RESOLVED)
 
 
-# Exports an earlier load saw: first exports only, nothing from 2001 on.
-SEEN_EARLIER = "date = date_add(end_date, 1) AND year(start_date) < 2001"
+def _seen_earlier(f: Feeds) -> str:
+    """Exports an earlier load saw: first exports only, nothing of the last year."""
+    return f"date = date_add(end_date, 1) AND year(start_date) < {f.bounds[1].year}"
 
 
 def _upserted(f: Feeds) -> DataFrame:
-    stored = facts.inventory_rows(f.ods_turnover.filter(SEEN_EARLIER), f.calendar, f.versions)
+    stored = facts.inventory_rows(f.ods_turnover.filter(_seen_earlier(f)), f.calendar, f.versions)
     return facts.upsert_inventory(stored, f.inventory)
 
 
@@ -414,13 +436,13 @@ def upsert_inventory(f):
 
 @query("upsert_prices")
 def upsert_prices(f):
-    stored = facts.price_rows(f.ods_prices.filter(SEEN_EARLIER), f.calendar)
+    stored = facts.price_rows(f.ods_prices.filter(_seen_earlier(f)), f.calendar)
     return _with_material_id(f, facts.upsert_prices(stored, f.price_facts))
 
 
 @query("price_lookup")
 def price_lookup(f):
-    return _named(f, marts.with_price(f.inventory, f.price_facts), "balance_end", "price")
+    return _named(f, marts.with_price(f.inventory, f.known_price_facts), "balance_end", "price")
 
 
 @query("star_join")
@@ -494,18 +516,41 @@ def role_slice(f):
         "nation": ("shop head", marts.SHOP, "n_name"),
         "supplier": ("keeper", marts.WAREHOUSE, "string(s_suppkey)"),
     }
-    readers = f.table("region").selectExpr(
-        "'chief' AS reader", f"'{marts.WAREHOUSE}' AS agg_level", "cast(NULL AS string) AS zone"
-    )
+    readers = None
     for table, (title, level, zone) in zones.items():
-        readers = readers.unionByName(f.table(table).selectExpr(
+        some = f.table(table).selectExpr(
             f"concat('{title} ', {zone}) AS reader", f"'{level}' AS agg_level", f"{zone} AS zone"
-        ))
-    return marts.entitled_slices(_metrics(f), readers).select(
+        )
+        readers = some if readers is None else readers.unionByName(some)
+    metrics = f.store("metrics", _metrics(f))
+    chief = marts.whole_level(metrics, marts.WAREHOUSE).withColumn("reader", F.lit("chief"))
+    return marts.entitled_slices(metrics, readers).unionByName(chief).select(
         "reader", "month_key", "agg_level", "agg_key", "stock_value", "turnover_ratio"
     )
 
 
+# Zones that the six roles read here: names of regions and nations, warehouse codes.
+ROLE_ZONES = {
+    "general_director": None, "production_director": ["ASIA", "EUROPE"],
+    "purchasing_director": ["AFRICA"], "purchasing_manager": ["AMERICA", "MIDDLE EAST"],
+    "shop_head": ["FRANCE", "CHINA"], "warehouse_head": ["1", "2", "3"],
+}
+
+
+@query("role_views")
+def role_views(f):
+    """What each of the six roles reads of the stored mart."""
+    metrics = f.store("metrics", _metrics(f))
+    views = None
+    for role, zone in ROLE_ZONES.items():
+        view = marts.role_slice(metrics, role, zone).select(
+            F.lit(role).alias("role"), "month_key", "agg_level", "agg_key", "stock_value",
+            "mom_stock_value",
+        )
+        views = view if views is None else views.unionByName(view)
+    return views
+
+
 # --- checks and reports ------------------------------------------------------------------------
 
 
@@ -520,6 +565,17 @@ def check_fk(f):
     return quality.orphans(f.turnover, f.registered.select("warehouse_code"), ["warehouse_code"])
 
 
+@query("check_constraints")
+def check_constraints(f):
+    """Unique and foreign keys, where some facts occur twice and every dimension lacks members."""
+    inventory = f.store("inventory", f.inventory.join(f.materials, "material_sk"))
+    twice = inventory.unionByName(inventory.filter("material_id % 7 = 0")).drop("material_id", "unit")
+    materials = f.materials.filter("material_id % 13 <> 6")
+    return quality.constraint_report(
+        twice, f.price_facts, f.short_calendar, materials, f.registered
+    )
+
+
 @query("check_scd2")
 def check_scd2(f):
     """Versions with planted faults: a day too long, reversed, or current although closed."""
@@ -544,6 +600,9 @@ def layer_counts(f):
         layers["staging", feed] = f.raw(feed)
         layers["ods", feed] = flagged.filter("error_reason IS NULL")
         layers["quarantine", feed] = flagged.filter("error_reason IS NOT NULL")
+    layers["dwh", "inventory"], layers["dwh", "prices"] = f.inventory, f.price_facts
+    layers["datamart", "monthly"] = f.monthly
+    layers["skipped", "documents"] = _decided(f).filter(F.col("decision") == files.SKIP)
     return reports.layer_counts(layers)
 
 
@@ -560,7 +619,7 @@ def unknown_share(f):
 @query("lost_rows")
 def lost_rows(f):
     """Rows lost to a calendar that ends early, and to materials without a price."""
-    known = f.prices.select("material_id").distinct()
+    known = f.known_prices.select("material_id").distinct()
     return reports.lost_rows(f.ods_turnover, f.short_calendar, known)
 
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 # Month names and default bounds of the calendar.
 MONTH_NAMES = [
@@ -15,15 +14,12 @@ MONTH_NAMES = [
 FIRST_DAY = date(2023, 1, 1)
 LAST_DAY = date(2026, 12, 31)
 
-# A calendar is broadcast, so its size is held to what a broadcast can carry.
-MAX_DAYS = 200_000
-
 
 def dim_date(spark: SparkSession, first: date = FIRST_DAY, last: date = LAST_DAY) -> DataFrame:
     """One row per day; weeks start on Monday."""
     days = (last - first).days + 1
-    if not 0 < days <= MAX_DAYS:
-        raise ValueError(f"calendar of {days} days; at most {MAX_DAYS} are supported")
+    if days <= 0:
+        raise ValueError(f"calendar from {first} to {last}")
     names = ", ".join(f"'{n}'" for n in MONTH_NAMES)
     day = spark.range(0, days, numPartitions=1).selectExpr(
         f"date_add(DATE'{first.isoformat()}', int(id)) AS full_date"
@@ -45,16 +41,15 @@ def with_date_keys(rows: DataFrame, calendar: DataFrame) -> DataFrame:
     """Keys of the period's first and last day; rows outside the calendar drop out."""
     starts = calendar.selectExpr("full_date AS start_date", "date_key AS date_key_start")
     ends = calendar.selectExpr("full_date AS end_date", "date_key AS date_key_end")
-    # At most MAX_DAYS narrow rows, see dim_date.
-    return rows.join(F.broadcast(starts), "start_date").join(F.broadcast(ends), "end_date")
+    # Spark knows the size of the calendar and broadcasts it while it is small.
+    return rows.join(starts, "start_date").join(ends, "end_date")
 
 
 def outside_calendar(rows: DataFrame, calendar: DataFrame) -> DataFrame:
     """Rows that with_date_keys drops."""
     starts = calendar.selectExpr("full_date AS start_date", "true AS start_known")
     ends = calendar.selectExpr("full_date AS end_date", "true AS end_known")
-    joined = rows.join(F.broadcast(starts), "start_date", "left")
-    joined = joined.join(F.broadcast(ends), "end_date", "left")
+    joined = rows.join(starts, "start_date", "left").join(ends, "end_date", "left")
     return joined.filter("start_known IS NULL OR end_known IS NULL").drop(
         "start_known", "end_known"
     )

@@ -27,12 +27,19 @@ _CONVERTERS = {
 }
 
 
-def clean(staged: DataFrame, feed: str) -> DataFrame:
-    """load_id, file_name, raw_<column> as delivered, <column> as converted."""
+def clean(staged: DataFrame, feed: str, fold_codes: bool = False) -> DataFrame:
+    """load_id, file_name, raw_<column> as delivered, <column> as converted.
+
+    With ``fold_codes`` warehouse codes are in upper case, so that spellings which differ by case or
+    trailing blanks are one code everywhere; the delivered spelling stays in the raw twin.
+    """
     columns = feed_columns(feed)
+    converted = {c: _CONVERTERS[c](c) for c in columns}
+    if fold_codes and "warehouse_code" in converted:
+        converted["warehouse_code"] = f"upper({converted['warehouse_code']})"
     return staged.selectExpr(
         "load_id",
         "file_name",
         *[f"{c} AS raw_{c}" for c in columns],
-        *[f"{_CONVERTERS[c](c)} AS {c}" for c in columns],
+        *[f"{text} AS {c}" for c, text in converted.items()],
     )

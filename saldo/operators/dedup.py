@@ -1,8 +1,9 @@
 """First delivery of a business key wins; nothing is ever ranked inside one big group.
 
-The winner of a key is a plain minimum, combined on the map side, and rows find out about it by
-their own unique ``load_id``. So a key that was delivered a billion times costs no single task
-more than any other key.
+The winner of a key is a plain minimum, combined on the map side together with a count. Only keys
+that occur again, or that the clean layer holds already, are joined back to the rows. Of these, hot
+keys are known by their count and are broadcast, so a key that was delivered a billion times costs
+no single task more than any other key.
 """
 
 from __future__ import annotations
@@ -14,20 +15,22 @@ from ..schemas import BUSINESS_KEYS
 from .rules import DUPLICATE
 
 
+# Rows from which a key counts as hot; no table has more hot keys than its rows over this number.
+HOT_ROWS = 1_000_000
+
+
 def first_loads(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """One row per key: the key and the lowest load_id."""
-    return rows.groupBy(*keys).agg(F.min("load_id").alias("load_id"))
+    """One row per key: the key, the lowest load_id and the number of rows."""
+    return rows.groupBy(*keys).agg(F.min("load_id").alias("first"), F.count("*").alias("n"))
 
 
-def not_in_clean(winners: DataFrame, clean_layer: DataFrame, keys: list[str]) -> DataFrame:
-    """Winners whose key the clean layer does not hold yet.
+def in_clean(winners: DataFrame, clean_layer: DataFrame, keys: list[str]) -> DataFrame:
+    """Keys of this batch that the clean layer holds already.
 
-    The stored layer is narrowed to the keys of this batch first. A small batch is then
-    broadcast by size, and the stored layer is scanned without a shuffle.
+    The stored layer is narrowed to the keys of this batch. A small batch is then broadcast by
+    size, and the stored layer is scanned without a shuffle.
     """
-    batch_keys = winners.select(*keys)
-    known = clean_layer.select(*keys).join(batch_keys, keys, "left_semi")
-    return winners.join(known, keys, "left_anti")
+    return clean_layer.select(*keys).join(winners.select(*keys), keys, "left_semi").distinct()
 
 
 def duplicate_loads(
@@ -37,9 +40,16 @@ def duplicate_loads(
     keys = BUSINESS_KEYS[feed]
     sound = checked.filter("error_reason IS NULL").select("load_id", *keys)
     winners = first_loads(sound, keys)
-    if clean_layer is not None:
-        winners = not_in_clean(winners, clean_layer, keys)
-    return sound.select("load_id").join(winners.select("load_id"), "load_id", "left_anti")
+    if clean_layer is None:
+        losing = winners.filter("n > 1")
+    else:
+        known = in_clean(winners, clean_layer, keys).withColumn("known", F.lit(True))
+        losing = winners.join(known, keys, "left").filter("known OR n > 1").selectExpr(
+            *keys, "if(known, cast(NULL AS long), first) AS first", "n"
+        )
+    rest = sound.join(losing.filter(f"n <= {HOT_ROWS}"), keys)
+    hot = sound.join(F.broadcast(losing.filter(f"n > {HOT_ROWS}")), keys)  # few by their count
+    return rest.unionByName(hot).filter("first IS NULL OR load_id <> first").select("load_id")
 
 
 def mark_duplicates(checked: DataFrame, duplicates: DataFrame) -> DataFrame:

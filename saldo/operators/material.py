@@ -11,8 +11,11 @@ MATERIAL_SK = "xxhash64(material_id) AS material_sk"
 
 def material_master(turnover: DataFrame, prices: DataFrame) -> DataFrame:
     """Every material that occurs, with the greatest unit any turnover row names."""
-    named = turnover.select("material_id", "unit")
-    priced = prices.selectExpr("material_id", "cast(NULL AS string) AS unit")
+    # Distinct pairs first: they are found by hash, while a maximum of text sorts its rows.
+    named = turnover.select("material_id", "unit").distinct()
+    priced = prices.select("material_id").distinct().selectExpr(
+        "material_id", "cast(NULL AS string) AS unit"
+    )
     seen = named.unionByName(priced).filter("material_id IS NOT NULL")
     return seen.groupBy("material_id").agg(F.max("unit").alias("unit"))
 

@@ -1,32 +1,52 @@
-"""Joins to a warehouse lookup, where one warehouse may hold a third of all rows."""
+"""Joins to a lookup where one key may hold a third of all rows."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SALTS = 16
+# A key with more than this part of all rows is hot; there can be no more hot keys than its inverse.
+HOT_PART = 1 / 1000
 
 
-def salted_join(
-    rows: DataFrame,
-    lookup: DataFrame,
-    key: str,
-    spread: str,
-    how: str,
-    condition: str = "true",
-    salts: int = SALTS,
+def _sent_whole(lookup: DataFrame) -> bool:
+    """Whether Spark will broadcast the lookup by its size."""
+    spark = lookup.sparkSession
+    limit = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
+        spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    )
+    size = lookup._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(size)) <= limit
+
+
+def hot_keys(rows: DataFrame, key: str) -> list:
+    """Keys that hold more than HOT_PART of the rows, counted over all of them."""
+    counts = rows.groupBy(key).agg(F.count("*").alias("n"))
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    return [r[0] for r in counts.filter(F.col("n") > max(1, total * HOT_PART)).select(key).collect()]
+
+
+def skewed_join(
+    rows: DataFrame, lookup: DataFrame, key: str, how: str, condition: str = "true",
+    small: bool | None = None,
 ) -> DataFrame:
-    """Equi join on ``key`` with the rows of each key spread over ``salts`` partitions.
+    """Inner or left equi join on ``key``; ``condition`` may use the columns of both sides.
 
-    The lookup side is repeated once per salt, which is cheap because it holds warehouse
-    versions, not facts. ``spread`` is a column of ``rows`` that varies within a key. If the
-    lookup is small enough Spark broadcasts it and the salt costs one comparison.
+    A lookup small enough for a broadcast is left to Spark. Otherwise the rows of counted hot keys
+    meet the few lookup rows of these keys, broadcast, and only the others are shuffled. ``rows``
+    should be a stored table, as it is read for the count and for both parts.
     """
-    others = [c for c in lookup.columns if c != key]
-    left = rows.selectExpr("*", f"int(pmod(xxhash64({spread}), {salts})) AS _salt")
-    right = lookup.selectExpr(
-        f"{key} AS _key", *others, f"explode(sequence(0, {salts - 1})) AS _copy"
-    )
-    on = F.expr(f"{key} = _key AND _salt = _copy AND {condition}")
-    return left.join(right, on, how).drop("_salt", "_copy", "_key")
+    right = lookup.withColumnRenamed(key, "_key")
+    on = F.expr(f"{key} = _key AND ({condition})")
+    if _sent_whole(right) if small is None else small:
+        return rows.join(right, on, how).drop("_key")
+    hot = hot_keys(rows, key)
+    if not hot:
+        return rows.join(right, on, how).drop("_key")
+    is_hot = F.coalesce(F.col(key).isin([k for k in hot if k is not None]), F.lit(False))
+    few = right.filter(F.col("_key").isin([k for k in hot if k is not None]))
+    spread = rows.filter(is_hot).join(F.broadcast(few), on, how)  # at most 1 / HOT_PART keys
+    # Rows without a key match nothing and need no shuffle.
+    keyless = rows.filter(F.col(key).isNull()).join(F.broadcast(right.limit(0)), on, how)
+    rest = rows.filter(~is_hot & F.col(key).isNotNull()).join(right, on, how)
+    return spread.unionByName(rest).unionByName(keyless).drop("_key")

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import WAREHOUSE_ATTRIBUTES
-from .skew import salted_join
+from .skew import skewed_join
 
 # Fixed values of the dimension.
 OPEN_END = "DATE'9999-12-31'"
@@ -137,17 +137,16 @@ def with_unknown(versions: DataFrame, turnover: DataFrame) -> DataFrame:
 VALID_ON_EXPORT = "date BETWEEN date_from AND date_to"
 
 
-def version_on_date(rows: DataFrame, versions: DataFrame, spread: str = "material_id") -> DataFrame:
-    """Add the version valid on the export date, null where none is."""
+def version_on_date(rows: DataFrame, versions: DataFrame) -> DataFrame:
+    """Add the version valid on the export date and its first day, null where none is."""
     lookup = versions.select("warehouse_code", "warehouse_sk", "date_from", "date_to")
-    return salted_join(
-        rows, lookup, "warehouse_code", spread, "left", VALID_ON_EXPORT
-    ).drop("date_from", "date_to")
+    return skewed_join(rows, lookup, "warehouse_code", "left", VALID_ON_EXPORT).drop("date_to")
 
 
 def gap_free(versions: DataFrame) -> DataFrame:
     """Intervals that cover all time: the versions, and the current version in every gap.
 
+    ``version_from`` is the first day of the version that an interval stands for.
     Resolving against these needs one join where "valid on the day, else current" needs two.
     """
     by_code = "PARTITION BY warehouse_code"
@@ -157,18 +156,23 @@ def gap_free(versions: DataFrame) -> DataFrame:
         f"max(date_to) OVER ({by_code} {earlier}) AS reach",
         f"lead(date_from) OVER ({by_code} ORDER BY date_from) IS NULL AS is_last",
         f"max(CASE WHEN is_current THEN warehouse_sk END) OVER ({by_code}) AS current_sk",
+        f"max(CASE WHEN is_current THEN date_from END) OVER ({by_code}) AS current_from",
     )
 
-    def interval(first: str, last: str, sk: str) -> str:
-        return f"named_struct('date_from', {first}, 'date_to', {last}, 'warehouse_sk', {sk})"
+    def interval(first: str, last: str, sk: str, version_from: str) -> str:
+        return (
+            f"named_struct('date_from', {first}, 'date_to', {last}, 'warehouse_sk', {sk}, "
+            f"'version_from', {version_from})"
+        )
 
-    own = interval("date_from", "date_to", "warehouse_sk")
+    own = interval("date_from", "date_to", "warehouse_sk", "date_from")
     before = interval(
-        f"coalesce(date_add(reach, 1), {FIRST_POSSIBLE})", "date_sub(date_from, 1)", "current_sk"
+        f"coalesce(date_add(reach, 1), {FIRST_POSSIBLE})", "date_sub(date_from, 1)", "current_sk",
+        "current_from",
     )
     after = interval(
         "date_add(greatest(reach, date_to), 1)", f"if(is_last, {OPEN_END}, {FIRST_POSSIBLE})",
-        "current_sk",
+        "current_sk", "current_from",
     )
     return known.selectExpr(
         "warehouse_code",
@@ -176,8 +180,7 @@ def gap_free(versions: DataFrame) -> DataFrame:
     )
 
 
-def resolve_version(rows: DataFrame, versions: DataFrame, spread: str = "material_id") -> DataFrame:
-    """Add the version valid on the export date, or else the current one."""
-    return salted_join(
-        rows, gap_free(versions), "warehouse_code", spread, "left", VALID_ON_EXPORT
-    ).drop("date_from", "date_to")
+def resolve_version(rows: DataFrame, versions: DataFrame) -> DataFrame:
+    """Add the version valid on the export date, or else the current one, and its first day."""
+    found = skewed_join(rows, gap_free(versions), "warehouse_code", "left", VALID_ON_EXPORT)
+    return found.drop("date_from", "date_to").withColumnRenamed("version_from", "date_from")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import month_key, previous_month_key, safe_ratio
 from ..operators.facts import PRICE_KEYS
-from ..operators.skew import salted_join
+from ..operators.skew import skewed_join
 from ..operators.warehouse import UNKNOWN_DIRECTORATE, UNKNOWN_SHOP, UNKNOWN_TYPE
 from ..schemas import MONEY, QUANTITIES
 
@@ -44,19 +44,45 @@ def with_price(facts: DataFrame, prices: DataFrame) -> DataFrame:
 def with_month(facts: DataFrame, calendar: DataFrame) -> DataFrame:
     """Year and month of the period start."""
     days = calendar.selectExpr("date_key AS date_key_start", "year_num", "month_num")
-    return facts.join(F.broadcast(days), "date_key_start")  # bounded, see calendar.MAX_DAYS
+    return facts.join(days, "date_key_start")
 
 
-def with_warehouse(facts: DataFrame, versions: DataFrame) -> DataFrame:
-    """Attributes of the fact's warehouse version, unknown ones labelled."""
-    labelled = versions.selectExpr(
+def labelled(versions: DataFrame) -> DataFrame:
+    """Versions with their attributes, unknown ones labelled."""
+    return versions.selectExpr(
         "warehouse_sk",
         "warehouse_code",
         f"coalesce(directorate, '{UNKNOWN_DIRECTORATE}') AS directorate",
         f"coalesce(shop_code, '{UNKNOWN_SHOP}') AS shop_code",
         f"coalesce(warehouse_type, '{UNKNOWN_TYPE}') AS warehouse_type",
     )
-    return salted_join(facts, labelled, "warehouse_sk", "material_sk", "inner")
+
+
+def with_warehouse(facts: DataFrame, versions: DataFrame) -> DataFrame:
+    """Attributes of the fact's warehouse version."""
+    return skewed_join(facts, labelled(versions), "warehouse_sk", "inner")
+
+
+ATTRIBUTES = ["directorate", "shop_code", "warehouse_type"]
+
+
+def attribute_lists(versions: DataFrame) -> DataFrame:
+    """One row per warehouse: the values each attribute ever had, in order."""
+    return labelled(versions).groupBy("warehouse_code").agg(
+        *[F.sort_array(F.collect_set(a)).alias(f"{a}_list") for a in ATTRIBUTES]
+    )
+
+
+def with_attribute_places(facts: DataFrame, versions: DataFrame, lists: DataFrame) -> DataFrame:
+    """The fact's warehouse, and each attribute as its place in the warehouse's list.
+
+    The greatest place is the greatest value, and a maximum of numbers needs no sort.
+    """
+    placed = labelled(versions).join(lists, "warehouse_code").selectExpr(
+        "warehouse_sk", "warehouse_code",
+        *[f"int(array_position({a}_list, {a})) AS {a}_place" for a in ATTRIBUTES],
+    )
+    return skewed_join(facts, placed, "warehouse_sk", "inner")
 
 
 def with_material(rows: DataFrame, materials: DataFrame) -> DataFrame:
@@ -79,8 +105,10 @@ def inventory_monthly(
     A generated key stands for one material, so the sums are formed before the material's
     attributes are looked up.
     """
-    located = with_warehouse(with_month(with_price(facts, prices), calendar), versions)
-    attributes = ["directorate", "shop_code", "warehouse_type", "price"]
+    lists = attribute_lists(versions)
+    dated = with_month(with_price(facts, prices), calendar)
+    located = with_attribute_places(dated, versions, lists)
+    attributes = [*[f"{a}_place" for a in ATTRIBUTES], "price"]
     summed = located.groupBy("year_num", "month_num", "warehouse_code", "material_sk").agg(
         *[F.max(a).alias(a) for a in attributes],
         *[F.expr(f"cast(sum({q}) AS {MONEY}) AS {q}") for q in QUANTITIES],
@@ -89,7 +117,10 @@ def inventory_monthly(
     averaged = summed.selectExpr(
         "*", f"cast((balance_start + balance_end) * 0.5 AS {MONEY}) AS avg_qty"
     )
-    valued = averaged.selectExpr(
+    named = averaged.join(lists, "warehouse_code").selectExpr(
+        *averaged.columns, *[f"{a}_list[{a}_place - 1] AS {a}" for a in ATTRIBUTES]
+    )
+    valued = named.selectExpr(
         "*",
         f"{month_key('year_num', 'month_num')} AS month_key",
         f"cast(balance_end * price AS {MONEY}) AS stock_value",
@@ -104,16 +135,17 @@ def month_names(calendar: DataFrame) -> DataFrame:
 
 
 def _pre_aggregate(monthly: DataFrame) -> DataFrame:
-    """Down to one row per month, warehouse and attribute pair before levels multiply rows.
+    """Down to one row per month, warehouse and attributes before levels multiply rows.
 
-    ``directorate``, ``shop_code`` and ``warehouse_code`` come out twice: once to group by, once
-    (``max_…``) as attributes of the warehouse level.
+    All attributes are group columns here, so nothing but sums is aggregated over the detail mart.
+    ``directorate``, ``shop_code`` and ``warehouse_type`` come out a second time (``max_…``) as
+    attributes of the warehouse level.
     """
-    return monthly.groupBy(*MONTH, "directorate", "shop_code", "warehouse_code").agg(
-        F.max("warehouse_type").alias("max_type"),
-        F.max("directorate").alias("max_directorate"),
-        F.max("shop_code").alias("max_shop"),
-        *[F.sum(m).alias(m) for m in SUMS],
+    by = [*MONTH, "directorate", "shop_code", "warehouse_code", "warehouse_type"]
+    summed = monthly.groupBy(*by).agg(*[F.sum(m).alias(m) for m in SUMS])
+    return summed.selectExpr(
+        *by, "directorate AS max_directorate", "shop_code AS max_shop", "warehouse_type AS max_type",
+        *SUMS,
     )
 
 
@@ -187,7 +219,7 @@ def turnover_metrics(
 ) -> DataFrame:
     """All levels with ratios and month-over-month change."""
     sums = level_sums(monthly, levels).join(
-        F.broadcast(month_names(calendar)), ["year_num", "month_num"]  # bounded by the calendar
+        month_names(calendar), ["year_num", "month_num"]
     )
     return with_mom(with_ratios(sums)).select(*METRIC_COLUMNS)
 
@@ -241,18 +273,23 @@ def role_slice(metrics: DataFrame, role: str, zone: list[str] | None = None) ->
 
 
 def entitled_slices(metrics: DataFrame, entitlements: DataFrame) -> DataFrame:
-    """What every reader of a (reader, agg_level, zone) table sees; a null zone means all.
+    """What every reader of a (reader, agg_level, zone) table sees of the own zone.
 
-    Each row offers its own zone and null, so both kinds of reader match by (null-safe) equality
-    and no reader is compared with every row.
+    Who sees a whole level has no zone and reads the mart through ``whole_level``; a copy of the
+    level for each of them is not made.
     """
     own_zone = (
         f"CASE agg_level WHEN '{DIRECTORATE}' THEN directorate WHEN '{SHOP}' THEN shop_code "
         f"WHEN '{WAREHOUSE}' THEN warehouse_code END"
     )
-    zoned = metrics.selectExpr("*", f"explode(array_distinct(array(NULL, {own_zone}))) AS zone")
+    zoned = metrics.selectExpr("*", f"{own_zone} AS zone")
     readers = entitlements.selectExpr(
         "reader", "agg_level AS reader_level", "zone AS reader_zone"
     ).distinct()
-    seen = zoned.join(readers, F.expr("agg_level = reader_level AND zone <=> reader_zone"))
+    seen = zoned.join(readers, F.expr("agg_level = reader_level AND zone = reader_zone"))
     return seen.select("reader", *METRIC_COLUMNS)
+
+
+def whole_level(metrics: DataFrame, level: str) -> DataFrame:
+    """A level for readers without a zone: a filter that reaches the stored mart's scan."""
+    return metrics.filter(F.col("agg_level") == level)

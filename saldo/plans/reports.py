@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import safe_ratio
 from ..operators.calendar import outside_calendar
 from ..operators.rules import SEPARATOR
-from ..operators.skew import salted_join
+from ..operators.skew import skewed_join
 from ..operators.warehouse import UNKNOWN_TYPE
 
 
@@ -65,7 +65,7 @@ def version_overlap(facts: DataFrame, versions: DataFrame) -> DataFrame:
     """
     codes = versions.select("warehouse_sk", "warehouse_code")
     return (
-        salted_join(facts, codes, "warehouse_sk", "material_sk", "inner")
+        skewed_join(facts, codes, "warehouse_sk", "inner")
         .groupBy("date_key_start", "date_key_end", "warehouse_code", "material_sk")
         .agg(F.count("*").alias("n_versions"))
         .filter("n_versions > 1")

@@ -52,6 +52,8 @@ REGISTRY_SCHEMA = T.StructType([
     T.StructField("rows_loaded", T.LongType()),
     T.StructField("loaded_at", T.TimestampType()),
     T.StructField("error_message", T.StringType()),
+    # When the file was changed last, as its listing said.
+    T.StructField("modified_at", T.TimestampType()),
 ])
 
 QTY = "decimal(18,3)"

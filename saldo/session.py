@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import uuid
 
+from py4j.protocol import Py4JError, Py4JNetworkError
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -37,4 +39,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
         if not (master == "local" or master.startswith("local[")):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
-    return f"{root.rstrip('/')}/saldo-{name}-{uuid.uuid4().hex}"
+    path = f"{root.rstrip('/')}/saldo-{name}-{uuid.uuid4().hex}"
+    if not _SCRATCH:
+        atexit.register(_remove_scratch)
+    _SCRATCH.append((spark._jvm, spark._jsc.hadoopConfiguration(), path))
+    return path
+
+
+# What this process has put into the shared folder; results may read it until the process ends.
+_SCRATCH: list[tuple] = []
+
+
+def _remove_scratch() -> None:
+    for jvm, configuration, path in _SCRATCH:
+        try:
+            folder = jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(configuration).delete(folder, True)
+        except (Py4JError, Py4JNetworkError, OSError):
+            return  # the engine is gone already

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..schemas import feed_columns, raw_schema
@@ -16,14 +16,16 @@ def scan(
     spark: SparkSession,
     feed: str,
     paths: str | list[str],
-    encoding: str = "UTF-16",
-    splittable: bool = False,
+    encoding: str = "UTF-16LE",
+    splittable: bool = True,
+    positions: bool = False,
 ) -> DataFrame:
     """All columns as text, plus ``file_name``.
 
-    By default a file is read by one task, which allows line breaks inside quotes. For files too
-    large for that, ``splittable`` cuts them at line ends; it expects UTF-16LE without such breaks.
-    Files without a byte-order mark need ``encoding="UTF-16LE"``.
+    Large files are cut at line ends; that is for UTF-16LE, with or without a byte-order mark, and
+    no line breaks inside quotes. Other files need ``splittable=False`` and are read by one task
+    each; then ``encoding="UTF-16"`` follows the byte-order mark. ``positions`` adds the place of
+    each row, for ``with_load_id``.
     """
     reader = spark.read.schema(raw_schema(feed)).options(
         **_FORM, **_KEEP_BLANKS, enforceSchema="true", mode="PERMISSIVE"
@@ -33,17 +35,29 @@ def scan(
     else:
         reader = reader.options(encoding=encoding, multiLine="true")
     rows = reader.csv(paths)
-    return rows.select(plain_path(F.col("_metadata.file_path")).alias("file_name"), *feed_columns(feed))
+    place = [F.col("_metadata.file_block_start").alias(BLOCK), F.monotonically_increasing_id().alias(ROW)]
+    return rows.select(
+        plain_path(F.col("_metadata.file_path")).alias("file_name"), *(place if positions else []),
+        *feed_columns(feed),
+    )
+
+
+# Where a block of a file begins, and a number that rises within the block.
+BLOCK, ROW = "_block", "_row"
 
 
 def with_load_id(rows: DataFrame, previous_max: int = -1) -> DataFrame:
-    """Unique numbers above those of earlier loads, rising within each file.
+    """Numbers above those of earlier loads, without gaps, by path, block of the file and row in it.
 
-    No sort and no second pass: the number grows with the task and the row in it, and a file's
-    splits are handed to tasks in file order.
+    ``rows`` is a stored ``scan(..., positions=True)``. Only the blocks are put in order, one row
+    for each.
     """
-    number = F.monotonically_increasing_id() + F.lit(previous_max + 1).cast("long")
-    return rows.select(number.alias("load_id"), *rows.columns)
+    blocks = rows.groupBy("file_name", BLOCK).agg(F.min(ROW).alias("_first"), F.count("*").alias("_n"))
+    earlier = Window.orderBy("file_name", BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+    number = F.col("_before") + F.col(ROW) - F.col("_first") + F.lit(previous_max + 1).cast("long")
+    kept = [c for c in rows.columns if c not in (BLOCK, ROW)]
+    return rows.join(blocks, ["file_name", BLOCK]).select(number.alias("load_id"), *kept)
 
 
 def export(rows: DataFrame, feed: str, folder: str) -> None:

@@ -9,11 +9,12 @@ from saldo.session import build_session
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "tests", "local[8]",
         **{"spark.sql.shuffle.partitions": "4", "spark.default.parallelism": "4",
-           "spark.driver.memory": "6g"},
+           "spark.driver.memory": "6g",
+           "spark.checkpoint.dir": f"file://{tmp_path_factory.mktemp('shared')}"},
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

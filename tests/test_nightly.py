@@ -78,7 +78,7 @@ def first_delivery(landing):
 
 
 def check_first_load(layers):
-    assert layers.batch == 1
+    assert layers.batch == 2  # one commit for the pending files, one for the load
     assert layers.read("staging/turnover").count() == 5
     assert layers.read("ods/turnover").count() == 3
     assert rows(layers.read("quarantine/turnover"), "error_reason", "material_id") == [
@@ -105,11 +105,28 @@ def check_first_load(layers):
 
 def check_failed_load(spark, state):
     layers = Layers(spark, state)
+    assert layers.batch == 4  # pending, then failed
+    steps = layers.read("elt/run_steps").filter("status = 'failed'")
+    assert rows(steps, "step", "n_rows") == [("stage turnover", None)]
     assert layers.read("staging/turnover").count() == 5
     failed = layers.read("elt/file_registry").filter("status = 'failed'")
     assert rows(failed, "file_name", "error_message") == [("t2.csv", "unreadable")]
 
 
+def check_reports(layers):
+    counts = {(r.layer, r.feed): r.n_rows for r in layers.read("elt/layer_counts").filter("n_rows > 0").collect()}
+    assert counts["staging", "turnover"] == 5 and counts["dwh", "fact_inventory"] == 3
+    assert counts["datamart", "inventory_monthly"] == 3
+    assert rows(layers.read("elt/quarantine_reasons"), "feed", "reason", "n_rows") == [
+        ("turnover", "Дубликат строки в staging", 1), ("turnover", "Некорректный material_id", 1),
+        ("turnover", "Пустой material_id", 1)]
+    assert rows(layers.read("elt/lost_rows"), "lookup", "n_rows") == [("calendar", 0), ("material", 0)]
+    assert layers.read("elt/broken_constraints").filter("n_rows > 0").count() == 0
+    steps = {r.step: (r.status, r.n_rows) for r in layers.read("elt/run_steps").collect()}
+    assert steps["stage turnover"] == ("done", 5) and steps["validate turnover"] == ("done", 3)
+    assert steps["marts"] == ("done", None)
+
+
 def check_second_load(layers):
     assert layers.read("elt/file_registry").filter("status <> 'loaded'").count() == 0
     repeated = layers.read("quarantine/turnover").filter("file_name LIKE '%t2.csv'")
@@ -136,16 +153,70 @@ def check_second_load(layers):
     assert rows(company.filter("month_key = 202405"), "stock_value", "mom_stock_value") == [(None, None)]
 
 
-def test_story_of_several_nights(spark, landing, state, monkeypatch):
+def test_load_that_dies_and_state_that_is_lost(spark, landing, state, tmp_path, monkeypatch):
+    first_delivery(landing)
+
+    def killed(*_args, **_options):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as patch:
+        patch.setattr(nightly, "validate_feed", killed)
+        with pytest.raises(KeyboardInterrupt):
+            load(spark, landing, state)
+    registry = Layers(spark, state).read("elt/file_registry")
+    assert rows(registry, "source_type", "status") == [
+        ("prices", "pending"), ("turnover", "pending"), ("warehouses", "pending")]
+    layers = load(spark, landing, state)
+    assert layers.read("ods/turnover").count() == 3
+    assert layers.read("elt/file_registry").filter("status <> 'loaded'").count() == 0
+    # Tables without commit records are an error, not an empty start, and nothing is written.
+    commits = tmp_path / "state" / "commits"
+    commits.rename(tmp_path / "elsewhere")
+    before = sorted(str(p) for p in (tmp_path / "state").rglob("*.parquet"))
+    with pytest.raises(RuntimeError):
+        load(spark, landing, state)
+    commits.mkdir()
+    with pytest.raises(RuntimeError):
+        load(spark, landing, state)
+    assert sorted(str(p) for p in (tmp_path / "state").rglob("*.parquet")) == before
+
+
+def test_only_touched_months_are_written(spark, landing, state):
+    first_delivery(landing)
+    first = load(spark, landing, state)
+    landing.put("turnover", "t2.csv", f"01.06.2024;{MAY};0101;90;кг;15;0;-3;12")
+    second = load(spark, landing, state)
+    april, may = "202404", "202405"
+    # The clean layer of April was not touched, nor is it read for rows of May.
+    assert second.parts("ods/turnover", [202404]) == first.parts("ods/turnover", [202404])
+    read = second.read("ods/turnover", second.parts("ods/turnover", [202405]))
+    assert all("start_month=202405" in f for f in read.inputFiles())
+    for table in ("dwh/fact_inventory", "datamart/inventory_monthly", "datamart/turnover_metrics"):
+        assert second.folders[table][april] == first.folders[table][april], table
+        assert set(second.folders[table]) == {april, may}
+    # A unit that changes brings the months of its material back, and the month after each.
+    landing.put("turnover", "t3.csv", f"02.06.2024;{MAY};0102;91;ящ;15;0;-3;12")
+    third = load(spark, landing, state)
+    for table in ("datamart/inventory_monthly", "datamart/turnover_metrics"):
+        assert third.folders[table][april] != second.folders[table][april], table
+    assert rows(third.read("datamart/inventory_monthly").filter("material_id = 91"), "month_key", "unit") == [
+        (202404, "ящ"), (202405, "ящ")]
+    assert rows(third.read("dwh/dim_date").selectExpr("min(full_date) AS a", "max(full_date) AS b"), "a", "b") == [
+        (date(2024, 1, 1), date(2024, 12, 31))]
+
+
+def test_story_of_several_nights(spark, landing, state, tmp_path, monkeypatch):
     empty = Layers(spark, state)
     assert (empty.batch, empty.folders) == (0, {})
     first_delivery(landing)
     (landing.root / "turnover" / "note.txt").write_text("x")
     (landing.root / "turnover" / "old").mkdir()
     (landing.root / "turnover" / "old" / "t9.csv").write_bytes("h\n".encode("utf-16"))
-    check_first_load(load(spark, landing, state))
+    layers = load(spark, landing, state)
+    check_first_load(layers)
+    check_reports(layers)
 
-    assert load(spark, landing, state).batch == 1  # nothing new, nothing done
+    assert load(spark, landing, state).batch == 2  # nothing new, nothing done
 
     landing.put(
         "turnover", "t2.csv",
@@ -169,7 +240,14 @@ def test_story_of_several_nights(spark, landing, state, monkeypatch):
             load(spark, landing, state)
     check_failed_load(spark, state)
 
-    check_second_load(load(spark, landing, state))
+    died = set(tmp_path.glob("state/staging/turnover/batch=*"))
+    layers = load(spark, landing, state)
+    check_second_load(layers)
+    # Folders of the load that died are gone, and so is all scratch of loads that no reader follows.
+    named = {f for parts in layers.folders.values() for f in parts.values()}
+    assert len(list(tmp_path.glob("state/staging/warehouses/batch=*"))) == 2 and died
+    assert {p.name for p in tmp_path.glob("state/staging/turnover/batch=*")} == {
+        f.rsplit("/", 1)[-1] for f in named if "/staging/turnover/" in f}
 
     # Without any new file the next run upgrades the placeholder, and then there is nothing left.
     layers = load(spark, landing, state)
@@ -182,7 +260,7 @@ def test_two_loads_equal_one(spark, landing, state, tmp_path):
     first_delivery(landing)
     load(spark, landing, state)
     landing.put("prices", "p2.csv", f"17.05.2024;{APRIL};90;3", f"01.06.2024;{MAY};90;4")
-    landing.put("turnover", "t2.csv", f"01.06.2024;{MAY};0101;90;шт;15;0;-3;12")
+    landing.put("turnover", "t2.csv", f"01.06.2024;{MAY};0101;90;шт;15;0;-3;12")  # another unit, too
     two = load(spark, landing, state)
     one = load(spark, landing, f"file://{tmp_path}/other")
     for table in ("datamart/turnover_metrics", "datamart/inventory_monthly", "dwh/fact_prices",

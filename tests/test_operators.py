@@ -8,13 +8,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from saldo.functions import parse_date, previous_month_key, safe_ratio, to_int, to_price, to_qty
-from saldo.operators import dedup, facts, merge, quality, rules
+from saldo.operators import dedup, facts, merge, quality, rules, skew
 from saldo.operators import warehouse as wh
 from saldo.operators.calendar import dim_date, outside_calendar, with_date_keys
 from saldo.operators.cleaning import clean
 from saldo.operators.material import merge_materials
 from saldo.plans import marts, reports
-from saldo.schemas import FEED_COLUMNS, feed_columns, raw_schema
+from saldo.schemas import FEED_COLUMNS, REGISTRY_SCHEMA, feed_columns, raw_schema
 from saldo.sources import delimited, files
 
 D = Decimal
@@ -166,6 +166,26 @@ def test_versions(spark):
     assert wh.pending_changes(stored, changed).count() == 0
     assert rows(wh.pending_changes(stored, changed, strict=False), "warehouse_code") == [("N",)]
     assert quality.broken_versions(versions).count() == 0
+    # A long version reaches over the next one into the one after it.
+    long = spark.createDataFrame([
+        ("A", date(2024, 1, 1), date(2024, 12, 31), False), ("A", date(2024, 2, 1), date(2024, 2, 10), False),
+        ("A", date(2024, 6, 1), date(9999, 12, 31), True),
+    ], "warehouse_code string, date_from date, date_to date, is_current boolean")
+    assert rows(quality.broken_versions(long), "date_from", "problem") == [
+        (date(2024, 2, 1), "overlap"), (date(2024, 6, 1), "overlap")]
+
+
+def test_join_with_hot_and_null_keys(spark):
+    """Hot keys by broadcast, the others shuffled, rows without a key in neither; nothing is lost."""
+    keys = [1] * 3000 + [2] * 2000 + list(range(3, 1500)) + [None] * 700
+    left = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "k long, i long")
+    right = spark.createDataFrame([(k, v, f"v{k}") for k in range(0, 1400) for v in (1, 2)], "k long, n int, v string")
+    assert sorted(skew.hot_keys(left, "k"), key=str) == [1, 2, None]
+    for how in ("inner", "left"):
+        got = skew.skewed_join(left, right, "k", how, "n = 1", small=False)
+        want = skew.skewed_join(left, right, "k", how, "n = 1", small=True)
+        assert rows(got, "k", "i", "n", "v") == rows(want, "k", "i", "n", "v")
+        assert got.count() == (len(keys) if how == "left" else 6397)
 
 
 def test_version_on_export_date_or_current(spark):
@@ -205,6 +225,14 @@ def test_unit_overwrite_and_upsert(spark):
         (1, D("5.00"), "update"), (2, D("2.00"), "keep"), (3, None, "keep"), (4, D("4.00"), "insert")]
 
 
+def test_folded_codes(spark):
+    columns = ["load_id", "file_name", *FEED_COLUMNS["warehouses"]]
+    data = [(i, "f", "1", "1", "1", code, "a", "b", "c", "1", "p") for i, code in enumerate(["115h", "115H ", " 115H"])]
+    staged = spark.createDataFrame(data, "load_id long, file_name string, " + ", ".join(f"{c} string" for c in columns[2:]))
+    assert rows(clean(staged, "warehouses", fold_codes=True).select("warehouse_code").distinct()) == [("115H",)]
+    assert clean(staged, "warehouses").select("warehouse_code").distinct().count() == 2
+
+
 def test_calendar(spark):
     days = dim_date(spark)
     assert days.count() == 1461
@@ -212,7 +240,9 @@ def test_calendar(spark):
     assert (saturday.date_key, saturday.day_of_week, saturday.is_weekend, saturday.month_name) == (
         20240106, 6, True, "Январь")
     with pytest.raises(ValueError):
-        dim_date(spark, date(1, 1, 1), date(9999, 1, 1))
+        dim_date(spark, date(2024, 1, 2), date(2024, 1, 1))
+    # No length is refused; a long calendar is joined like any table.
+    assert dim_date(spark, date(1, 1, 1), date(9999, 1, 1)).count() == 3_651_695
     frame = spark.createDataFrame([(date(2022, 12, 1), date(2022, 12, 31)), APRIL],
                                   "start_date date, end_date date")
     assert with_date_keys(frame, days).count() == 1
@@ -255,7 +285,8 @@ def test_metrics(spark):
     readers = spark.createDataFrame(
         [("all", "shop", None), ("one", "warehouse", "2")], "reader string, agg_level string, zone string")
     seen = marts.entitled_slices(metrics, readers).groupBy("reader").count()
-    assert rows(seen) == [("all", 4), ("one", 1)]
+    assert rows(seen) == [("one", 1)]  # who has no zone reads the level itself
+    assert marts.whole_level(metrics, "shop").count() == 4
 
 
 def test_reports(spark):
@@ -273,7 +304,9 @@ def test_files_round_trip(spark, tmp_path):
     listed = files.list_files(spark, f"file://{folder}")
     assert listed.count() == 1
     path = listed.first().path
-    scanned = delimited.with_load_id(delimited.scan(spark, "prices", [path]), 41)
+    whole = delimited.scan(spark, "prices", [path], "UTF-16", splittable=False, positions=True)
+    whole.write.parquet(f"file://{tmp_path}/whole")
+    scanned = delimited.with_load_id(spark.read.parquet(f"file://{tmp_path}/whole"), 41)
     found = scanned.orderBy("load_id").collect()
     assert [r.start_date for r in found] == [str(i) for i in range(500)]
     assert (found[0].load_id, found[0].end_date, found[0].file_name) == (42, 'a "q"; b', path)
@@ -282,15 +315,33 @@ def test_files_round_trip(spark, tmp_path):
     spark.conf.set("spark.sql.files.maxPartitionBytes", "4000")
     try:
         for splittable in (False, True):
-            again = delimited.scan(spark, "prices", out, "UTF-16LE", splittable)
+            again = delimited.scan(spark, "prices", out, splittable=splittable)
             assert again.drop("file_name").exceptAll(scanned.select(*raw_schema("prices").names)).count() == 0
             assert again.count() == 500
+        # Several files of unlike size: numbered by path, block and row, without gaps.
         one = f"file://{tmp_path}/one"
-        delimited.export(scanned.orderBy("load_id").coalesce(1), "prices", one)
-        split = delimited.with_load_id(delimited.scan(spark, "prices", one, splittable=True))
-        assert split.rdd.getNumPartitions() > 1
-        order = [r.start_date for r in split.orderBy("load_id").collect()]
-        assert order == [str(i) for i in range(500)]
+        delimited.export(scanned.orderBy("load_id").limit(20).coalesce(1), "prices", f"{one}/b")
+        delimited.export(scanned.orderBy("load_id").coalesce(1), "prices", f"{one}/a")
+        both = delimited.scan(spark, "prices", [f"{one}/b", f"{one}/a"], positions=True)
+        assert both.rdd.getNumPartitions() > 1
+        both.write.parquet(f"file://{tmp_path}/both")
+        split = delimited.with_load_id(spark.read.parquet(f"file://{tmp_path}/both"))
+        found = split.orderBy("load_id").collect()
+        assert [r.load_id for r in found] == list(range(520))
+        assert [r.start_date for r in found] == [str(i) for i in range(500)] + [str(i) for i in range(20)]
+        # Large files have a fingerprint that does not depend on how they are cut.
+        registry = spark.createDataFrame([], REGISTRY_SCHEMA)
+        delivered = files.list_files(spark, f"{one}/a")
+        prints = files.fingerprint_delivered(delivered, registry, large=1000).first()
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "900")
+        assert files.fingerprint_delivered(delivered, registry, large=1000).first() == prints
+        assert len(prints.file_hash) == 64 and prints.file_size_bytes > 1000
+        # A file whose size and time are known is not read again.
+        known = spark.createDataFrame(
+            [("p", "f", prints.file_path, "stored", prints.file_size_bytes, "loaded", 1, None, None, prints.modified_at)],
+            REGISTRY_SCHEMA)
+        again = files.fingerprint_delivered(delivered, known)
+        assert [r.file_hash for r in again.collect()] == ["stored"]
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 

@@ -12,8 +12,11 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.abspath(__file__)), ".."
 
 import __spark_entry__ as contract
 from compare import database, difference
+from saldo.catalog.feeds import Feeds
 from saldo.catalog.oracle import ORACLE
 from saldo.catalog.queries import QUERIES
+from saldo.operators import material
+from saldo.plans import marts
 
 SOME = ["scan_warehouses", "file_decision", "validate_turnover", "dedup_prices", "ods_new",
         "scd2_close", "scd2_fallback", "upsert_prices", "turnover_metrics", "check_scd2"]
@@ -29,6 +32,32 @@ def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLE)
 
 
+def _plan(frame, capsys):
+    frame.explain("formatted")
+    return capsys.readouterr().out
+
+
+def test_facts_are_summed_by_hash(spark, tables, capsys):
+    feeds = Feeds(spark, tables)
+    monthly = _plan(feeds.monthly, capsys)
+    master = _plan(material.material_master(feeds.ods_turnover, feeds.ods_prices), capsys)
+    # The mart reads stored layers; nothing above the facts is aggregated by sorting.
+    assert "SortAggregate" not in monthly and "HashAggregate" in monthly
+    # Text is compared among distinct pairs only.
+    assert "HashAggregate" in master
+    below = master[master.rindex("== Physical Plan") :].split("SortAggregate")
+    assert all("Scan parquet" not in part for part in below[:1])
+    stored = feeds.store("monthly", feeds.monthly)
+    sums = _plan(marts._pre_aggregate(stored), capsys)
+    assert "SortAggregate" not in sums
+
+
+def test_versions_need_few_shuffles(spark, tables, capsys):
+    plan = _plan(contract.queries()["scd2_asof"](spark, tables), capsys)
+    tree = plan[: plan.index("\n\n\n")] if "\n\n\n" in plan else plan
+    assert tree.count("Exchange") <= 5
+
+
 @pytest.mark.parametrize("name", ["scd2_fallback", "ods_new", "turnover_metrics", "role_slice"])
 def test_plans(spark, tables, name, capsys):
     frame = contract.queries()[name](spark, tables)
