@@ -13,14 +13,12 @@ from ..operators.warehouse import UNKNOWN_TYPE
 
 
 def layer_counts(layers: dict[tuple[str, str], DataFrame]) -> DataFrame:
-    """Rows per (layer, feed); every count is partial per task before it is summed."""
-    counted = None
+    """Rows per (layer, feed), empty ones too; summed per task before the shuffle."""
+    spark = next(iter(layers.values())).sparkSession
+    marks = spark.createDataFrame([(*name, 0) for name in layers], "layer string, feed string, n long")
     for (layer, feed), rows in layers.items():
-        one = rows.agg(F.count("*").alias("n_rows")).select(
-            F.lit(layer).alias("layer"), F.lit(feed).alias("feed"), "n_rows"
-        )
-        counted = one if counted is None else counted.unionByName(one)
-    return counted
+        marks = marks.union(rows.select(F.lit(layer), F.lit(feed), F.lit(1).cast("long")))
+    return marks.groupBy("layer", "feed").agg(F.sum("n").alias("n_rows"))
 
 
 def quarantine_reasons(quarantine: DataFrame) -> DataFrame:
