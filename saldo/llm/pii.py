@@ -26,7 +26,7 @@ PATTERNS = {
     "date": r"(?<![\d./-])(?:\d{4}-\d{2}-\d{2}|\d{2}\.\d{2}\.\d{4}|\d{2}/\d{2}/\d{4})(?!\d|[./-]\d)",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?!\d|-\d)",
     "phone": rf"(?<![\w+])(?:\+\d{{1,3}}{_BLANK}?)?(?:\(\d{{3}}\){_BLANK}?|\d{{3}}[.-])\d{{3}}[.-]\d{{4}}(?!\d|-\d)",
-    "card": r"(?<![\w.-])\d(?:[ -]?\d){12,18}(?!\w|-\d)",
+    "card": r"(?<![\w.-])(?:\d{13,19}|\d{4}(?:[ -]\d{4}){2}[ -]\d{1,7}|\d{4}[ -]\d{6}[ -]\d{4,5})(?!\w|-\d)",
 }
 ANY = "|".join(PATTERNS.values())
 #: Documents without this need no search.
