@@ -1,18 +1,20 @@
 """Operators that judge each document by itself: quality rules, token counts, BPE, personal data."""
 
+import base64
 import random
 import re
 import zlib
 from collections import Counter
 
 import public_tokenizers
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from saldo.llm.bpe import Bpe, decode, encode, round_trip
 from saldo.llm.pii import Pseudonyms, pseudonymise
-from saldo.llm.quality import quality
+from saldo.llm.quality import Bands, Compression, quality
 from saldo.llm.tokencount import LibraryCounts, encode_counts, token_counts
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -66,6 +68,30 @@ def test_quality_verdicts_and_counts(spark):
     assert quality(frame.limit(0)).collect() == []
 
 
+def test_mixed_texts_are_rejected_and_clean_ones_stay(tables):
+    """A third to 60% of noise or of one repeated line in prose; the base rules do not see them."""
+    pick, compression = random.Random(11), Compression(Bands())
+    good = {r["doc_id"] for r in pq.read_table(f"{tables}/labels.parquet").to_pylist() if r["quality"] == 1}
+    docs = pq.read_table(f"{tables}/documents.parquet").to_pylist()
+    clean = [d["text"] for d in docs if d["doc_id"] in good and naive_base(d["text"])]
+    assert len(clean) > 50 and all(compression.judge(t)[2] for t in clean)
+    long = [t for t in clean if len(t.encode()) > 1_500][:30]
+    assert len(long) > 20
+    for text in long:
+        for share in (0.35, 0.45, 0.6):
+            extra = int(len(text) * share / (1 - share))
+            noise = base64.b64encode(pick.randbytes(extra)).decode()[:extra]
+            line = text[:60].replace("\n", " ") + "\n"
+            words = [w if pick.random() > share else base64.b64encode(pick.randbytes(len(w))).decode()[: len(w)] for w in text.split(" ")]
+            for mixed in (text + " " + noise, text + "\n" + line * (extra // 60), " ".join(words)):
+                assert not compression.judge(mixed)[2], (share, len(text), mixed[-60:], compression.judge(mixed))
+
+
+def naive_base(text):
+    counts = naive_counts(text)
+    return counts[0] >= 50 and 100 * counts[4] <= 50 * counts[0]
+
+
 # --- BPE and token counts ----------------------------------------------------------------------
 
 SIGNS = "abcdeth sin'\n\t  01é日​😀<|endoftext|>ß\x1c\x85⿠0.,Ա԰\U0001e900"
