@@ -87,6 +87,25 @@ def test_mixed_texts_are_rejected_and_clean_ones_stay(tables):
                 assert not compression.judge(mixed)[2], (share, len(text), mixed[-60:], compression.judge(mixed))
 
 
+def test_no_part_of_a_text_is_left_unjudged(tables):
+    pick, compression = random.Random(12), Compression(Bands())
+    signs = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/"
+    for _ in range(20):
+        noise = " ".join(pick.choice(signs) + pick.choice(signs) for _ in range(60))  # 179 bytes, 60 words
+        assert naive_base(noise) and not compression.judge(noise)[2], compression.judge(noise)
+    assert not compression.judge("a b " * 45)[2]
+    good = {r["doc_id"] for r in pq.read_table(f"{tables}/labels.parquet").to_pylist() if r["quality"] == 1}
+    docs = pq.read_table(f"{tables}/documents.parquet").to_pylist()
+    clean = [d["text"] for d in docs if d["doc_id"] in good and d["text"].isascii() and naive_base(d["text"])]
+    heads = [t[:180] for t in clean]
+    assert sum(compression.judge(t)[2] for t in heads) > 0.9 * len(heads) > 40
+    for text in [t[:2_048] for t in clean if len(t) > 2_500][:20]:
+        assert compression.judge(text)[2]
+        # The rest is shorter than half a chunk.
+        tail = base64.b64encode(pick.randbytes(750)).decode()
+        assert compression.judge(text + tail)[1] == 0.5 and not compression.judge(text + tail)[2]
+
+
 def naive_base(text):
     counts = naive_counts(text)
     return counts[0] >= 50 and 100 * counts[4] <= 50 * counts[0]
