@@ -1,10 +1,15 @@
 """Format-preserving pseudonyms for personal data, with DataFrame functions only.
 
-A value that passes its check (Luhn digit, octets, calendar, ranges) is a number of a finite domain
+A value that passes its check (Luhn digit, mod 97, octets, calendar, ranges) is a number of a finite domain
 a * b. A keyed Feistel network over the two parts, adding modulo a and modulo b in turn, permutes
 that domain, and the result is written in the same format: as many digits, the same separators, a
 right check digit. Equal values get equal pseudonyms in all documents, different values different
 ones, and whoever has the key can compute the inverse.
+
+Not found: phone numbers without separators and +, or in groups other than 3-3-4 without +; dates with
+one-digit days or months, two-digit years, names of months, or month first with points or hyphens;
+account numbers other than IBAN, IBANs in lower case or separated by other signs than blanks; social
+security numbers without hyphens; addresses of IP version 6; names and postal addresses.
 """
 
 from __future__ import annotations
@@ -16,16 +21,28 @@ from saldo.llm.common import free_name
 
 ROUNDS = 8
 
+#: Lengths of account numbers (IBAN) and the countries that use them.
+IBAN = {
+    15: "NO", 16: "BE", 18: "DK FI FO GL NL", 19: "MK SI", 20: "AT BA EE KZ LT LU XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU", 31: "MT SC", 32: "LC",
+}
+
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 _BLANK = "[ .-]"
+_BANK = "|".join(rf"(?:{c.replace(' ', '|')})\d\d(?: ?[A-Z0-9]){{{n - 4}}}" for n, c in IBAN.items())
 #: What is looked for, the first kind that matches at a place; no group is captured.
 PATTERNS = {
     "secret": r"(?:token|TOKEN|secret|SECRET|api_key|API_KEY|password|PASSWORD) ?[=:] ?[\"']?[0-9A-Fa-f]{16,64}(?![0-9A-Za-z])",
     "email": r"(?<![A-Za-z0-9._%+@-])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9-])",
     "ip": rf"(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\d|\.\d)",
-    "date": r"(?<![\d./-])(?:\d{4}-\d{2}-\d{2}|\d{2}\.\d{2}\.\d{4}|\d{2}/\d{2}/\d{4})(?!\d|[./-]\d)",
+    "date": r"(?<![\d./-])(?:\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{4}\.\d{2}\.\d{2}|\d{2}\.\d{2}\.\d{4}|\d{2}/\d{2}/\d{4})(?!\d|[./-]\d)",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?!\d|-\d)",
-    "phone": rf"(?<![\w+])(?:\+\d{{1,3}}{_BLANK}?)?(?:\(\d{{3}}\){_BLANK}?|\d{{3}}[.-])\d{{3}}[.-]\d{{4}}(?!\d|-\d)",
+    # With + and separators up to 13 digits, as a number may follow.
+    "phone": rf"(?<![\w+])(?:(?:\+\d{{1,3}}{_BLANK}?)?(?:\(\d{{3}}\){_BLANK}?|\d{{3}}{_BLANK})\d{{3}}{_BLANK}\d{{4}}(?!\d|-\d)"
+    r"|\+[1-9](?:\d{7,14}|(?:[ .()/-]{0,2}\d){7,12})(?!\d))",
+    "iban": rf"(?<![A-Za-z0-9])(?=[A-Z]{{2}}\d\d)(?:{_BANK})(?![A-Za-z0-9])",
     "card": r"(?<![\w.-])(?:\d{13,19}|\d{4}(?:[ -]\d{4}){2}[ -]\d{1,7}|\d{4}[ -]\d{6}[ -]\d{4,5})(?!\w|-\d)",
 }
 ANY = "|".join(PATTERNS.values())
@@ -41,7 +58,7 @@ class Pseudonyms:
             raise ValueError("an empty key protects nothing")
         self.key = key.replace("\\", "\\\\").replace("'", "\\'")
 
-    def feistel(self, number: str, a: str, b: str, kind: str) -> str:
+    def feistel(self, number: str, a: str, b: str, kind: str, rounds: int = ROUNDS) -> str:
         """A permutation of 0 .. a * b - 1; the domain sizes are part of the key."""
 
         def hashed(part: str) -> str:
@@ -51,7 +68,7 @@ class Pseudonyms:
         first = f"named_struct('l', pmod(s.l + {hashed('s.r')}, {a}), 'r', s.r)"
         second = f"named_struct('l', s.l, 'r', pmod(s.r + {hashed('s.l')}, {b}))"
         return (
-            f"aggregate(sequence(1, {ROUNDS}), named_struct('l', ({number}) div {b}, 'r', pmod({number}, {b})), "
+            f"aggregate(sequence(1, {rounds}), named_struct('l', ({number}) div {b}, 'r', pmod({number}, {b})), "
             f"(s, i) -> if(i % 2 = 1, {first}, {second}), s -> s.l * {b} + s.r)"
         )
 
@@ -85,14 +102,34 @@ class Pseudonyms:
 
     def date(self) -> str:
         """Days of the 400 years from 1800 on: 146 097 = 189 * 773 of them, permuted among themselves."""
-        form = "CASE WHEN m LIKE '____-%' THEN 'yyyy-MM-dd' WHEN m LIKE '__.%' THEN 'dd.MM.yyyy' ELSE 'dd/MM/yyyy' END"
+        form = (
+            "CASE WHEN m LIKE '____-%' THEN 'yyyy-MM-dd' WHEN m LIKE '____/%' THEN 'yyyy/MM/dd' "
+            "WHEN m LIKE '____.%' THEN 'yyyy.MM.dd' WHEN m LIKE '__.%' THEN 'dd.MM.yyyy' ELSE 'dd/MM/yyyy' END"
+        )
         iso = (
-            "if(m LIKE '____-%', m, concat(substr(m, 7, 4), '-', substr(m, 4, 2), '-', substr(m, 1, 2)))"
+            "if(m RLIKE '^[0-9]{4}', translate(m, './', '--'), "
+            "concat(substr(m, 7, 4), '-', substr(m, 4, 2), '-', substr(m, 1, 2)))"
         )
         day = f"datediff(try_cast({iso} AS date), date'1800-01-01')"
         moved = self.feistel(f"cast({day} AS bigint)", "189", "773", "date")
         new = f"date_format(date_add(date'1800-01-01', cast({moved} AS int)), {form})"
-        return f"if({day} BETWEEN 0 AND 146096, {new}, m)"
+        return f"if({day} BETWEEN 0 AND 146096, {new}, {self._month_first()})"
+
+    def _month_first(self) -> str:
+        """MM/dd/yyyy that is no dd/MM/yyyy: the 88 497 = 9 * 9833 days after a 12th, permuted among
+        themselves, so that the result is none either. One part is small, hence more rounds."""
+        start = "date'1800-01-01'"
+        date = "try_cast(concat(substr(m, 7, 4), '-', substr(m, 1, 2), '-', substr(m, 4, 2)) AS date)"
+        sound = f"m LIKE '__/%' AND datediff({date}, {start}) BETWEEN 0 AND 146096 AND day({date}) > 12"
+        place = f"datediff({date}, {start}) - 12 * ((year({date}) - 1800) * 12 + month({date}))"
+        moved = self.feistel(f"cast({place} AS bigint)", "9", "9833", "month first", 4 * ROUNDS)
+        # The month: the last of those around the mean place that begins at or before the place.
+        mean = "cast(x * 4800 div 88497 AS int)"
+        begins = f"datediff(add_months({start}, k), {start}) - 12 * k"
+        month = f"array_max(filter(sequence(greatest({mean} - 2, 0), {mean} + 2), k -> {begins} <= x))"
+        new = f"date_format(date_add(add_months({start}, k), cast(x - ({begins}) AS int) + 12), 'MM/dd/yyyy')"
+        made = f"transform(array({month}), k -> {new})[0]"
+        return f"if({sound}, transform(array({moved}), x -> {made})[0], m)"
 
     def ssn(self) -> str:
         """Areas 001 to 899 but 666, groups 01 to 99, serials 0001 to 9999."""
@@ -108,9 +145,31 @@ class Pseudonyms:
         return f"if({sound}, array_join(transform(array({moved}), x -> concat_ws('-', {parts})), ''), m)"
 
     def phone(self) -> str:
-        """The ten digits after the country code."""
-        bare = r"right(regexp_replace(m, '\\D', ''), 10)"
-        return self._filled(self.digits(bare, "phone"), r"length(regexp_replace(m, '\\D', '')) - 10")
+        """The digits after the country code."""
+        bare = r"regexp_replace(m, '\\D', '')"
+        two = "^(?:2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58])"
+        code = (
+            f"CASE WHEN m NOT LIKE '+%' THEN 0 WHEN {bare} RLIKE '^[17]' THEN 1 "
+            f"WHEN {bare} RLIKE '{two}' THEN 2 ELSE 3 END"
+        )
+        return self._filled(self.digits(f"substr({bare}, 1 + {code})", "phone"), code)
+
+    def iban(self) -> str:
+        """The digits after the check digits, which become those of the result; letters stay."""
+        bare = "replace(m, ' ', '')"
+        country, check, account = f"left({bare}, 2)", f"substr({bare}, 3, 2)", f"substr({bare}, 5)"
+        digits = f"regexp_replace({account}, '[A-Z]', '')"
+        sound = f"{digits} != '' AND {check} BETWEEN '02' AND '98' AND {_mod97(f'concat({account}, {country}, {check})')} = 1"
+        moved = _refill(account, "[0-9]", self.symbols(digits, 10, "iban"), "0")
+        again = _mod97(f"concat(x, {country}, '00')")
+        made = f"concat({country}, lpad(98 - {again}, 2, '0'), x)"
+        new = f"transform(array({moved}), x -> {_refill('m', '[A-Z0-9]', made, '0')})[0]"
+        # What is no account number may hold other values.
+        rest = {kind: pattern for kind, pattern in PATTERNS.items() if kind != "iban"}
+        within = _quoted("|".join(rest.values()))
+        parts = f"transform(regexp_extract_all(m, '{within}', 0), m -> {self._by_kind(rest)})"
+        other = f"array_join(zip_with(split(m, '{within}', -1), {parts}, (p, n) -> concat(p, coalesce(n, ''))), '')"
+        return f"if({sound}, {new}, {other})"
 
     def card(self) -> str:
         """All digits but the last, which is the check digit of the others."""
@@ -140,9 +199,12 @@ class Pseudonyms:
 
     def replace(self) -> str:
         """The pseudonym of any match m."""
+        return self._by_kind(PATTERNS)
+
+    def _by_kind(self, patterns: dict[str, str]) -> str:
         cases = " ".join(
             f"WHEN m RLIKE '^(?:{_quoted(pattern)})$' THEN {getattr(self, kind)()}"
-            for kind, pattern in PATTERNS.items()
+            for kind, pattern in patterns.items()
         )
         return f"CASE {cases} ELSE m END"
 
@@ -169,6 +231,12 @@ def _luhn(payload: str) -> str:
     return f"cast(pmod(-aggregate({each}, 0, (t, d) -> t + d), 10) AS string)"
 
 
+def _mod97(text: str) -> str:
+    """The remainder of a number whose letters stand for 10 to 35."""
+    step = "pmod(if(c < 'A', t * 10 + ascii(c) - 48, t * 100 + ascii(c) - 55), 97)"
+    return f"aggregate(split({text}, ''), 0, (t, c) -> {step})"
+
+
 def pseudonymise(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     """docs with the values of the text replaced, and n_replaced, how many there were.
 

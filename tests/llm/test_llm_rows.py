@@ -270,3 +270,49 @@ def test_long_text_without_blanks(spark):
     assert {r.doc_id: zlib.crc32(r.text.encode()) for r in pseudonymise(frame, "key").collect()} == {
         i: zlib.crc32(t.encode()) for i, t in before.items()
     }
+
+
+FURTHER = {
+    "+15551234567": r"\+1\d{10}", "+1 555 123 4567": r"\+1 \d{3} \d{3} \d{4}", "555 123 4567": r"\d{3} \d{3} \d{4}",
+    "(555) 123 4567": r"\(\d{3}\) \d{3} \d{4}", "+44 20 7946 0958": r"\+44 \d{2} \d{4} \d{4}",
+    "+33 1 23 45 67 89": r"\+33 \d( \d\d){4}", "+49 (0)30 123456": r"\+49 \(\d\)\d{2} \d{6}",
+    "1980/12/25": r"\d{4}/[01]\d/[0-3]\d", "1980.12.25": r"\d{4}\.[01]\d\.[0-3]\d",
+    "12/25/1980": r"[01]\d/(1[3-9]|[23]\d)/\d{4}", "02/29/2024": r"[01]\d/(1[3-9]|[23]\d)/\d{4}",
+    "GB29 NWBK 6016 1331 9268 19": r"GB\d\d NWBK( \d{4}){3} \d\d", "DE89370400440532013000": r"DE\d{20}",
+    "ES91 2100 0418 4502 0005 1332": r"ES\d\d( \d{4}){5}", "NO93 8601 1117 947": r"NO\d\d \d{4} \d{4} \d{3}",
+    "MT84MALT011000012345MTLCAST001S": r"MT\d\dMALT\d{12}MTLCAST\d{3}S",
+}
+OTHERS_LEFT = ["GB29 NWBK 6016 1331 9268 18", "13/25/1980", "02/30/2024", "1980/13/25", "AB12 3456 7890", "+1234567"]
+
+
+def mod97(iban):
+    bare = iban.replace(" ", "")
+    return int("".join(str(int(c, 36)) for c in bare[4:] + bare[:4])) % 97
+
+
+def test_further_forms_of_phones_dates_and_accounts(spark):
+    rows = [(i, f"so {v}, then {v} 2024 again") for i, v in enumerate(FURTHER)]
+    rows += [(100 + i, f"see {t} here") for i, t in enumerate(OTHERS_LEFT)]
+    rows += [(200, "no account: DE42 4111 1111 1111 1111 55 end"), (201, "call +1 (555) 123-4567 or +15551234567 or 555 123 4567")]
+    frame = spark.createDataFrame(rows, DOC)
+    found = {r.doc_id: r for r in pseudonymise(frame, "key").collect()}
+    for i, (value, form) in enumerate(FURTHER.items()):
+        one, two = re.fullmatch(r"so (.*), then (.*) 2024 again", found[i].text).groups()
+        assert one == two != value and re.fullmatch(form, one) and found[i].n_replaced == 2, (value, found[i].text)
+        assert not value[:2].isalpha() or mod97(value) == mod97(one) == 1
+    for i, t in enumerate(OTHERS_LEFT):
+        assert found[100 + i].text == f"see {t} here" and found[100 + i].n_replaced == 0
+    card = found[200].text[len("no account: DE42 "):-len(" 55 end")]
+    assert card != "4111 1111 1111 1111" and luhn(card.replace(" ", "")) and found[200].text.startswith("no account: DE42 ")
+    # One number, however it is written.
+    one, two, three = re.fullmatch(r"call \+1 (.*) or \+1(.*) or (.*)", found[201].text).groups()
+    assert len({re.sub(r"\D", "", x) for x in (one, two, three)}) == 1 and two != "5551234567"
+
+
+def test_month_first_dates_are_permuted(spark):
+    days = spark.range(146_097).selectExpr("date_add(date'1800-01-01', int(id)) AS d").where("day(d) > 12")
+    moved = days.selectExpr("date_format(d, 'MM/dd/yyyy') AS m").selectExpr("m", Pseudonyms("key").date() + " AS new").cache()
+    assert moved.select("new").distinct().count() == 88_497 == moved.where("substr(new, 4, 2) > '12'").count()
+    assert moved.where("m = new").count() < 20
+    fields = "concat(substr(new, 7, 4), '-', substr(new, 1, 2), '-', substr(new, 4, 2))"
+    assert moved.where(f"try_cast({fields} AS date) BETWEEN date'1800-01-01' AND date'2199-12-31'").count() == 88_497
