@@ -1,11 +1,12 @@
-"""Join of texts by the Jaccard similarity of their word 5-grams: a MinHash LSH forest, verified exactly.
+"""Join of texts by the Jaccard similarity of their word 5-grams: MinHash bands, verified exactly.
 
 Equal sets of n-grams are one node, however many documents have them. A node's signature is cut into
-trees; in each tree the nodes lie in a trie of their signature values, and two nodes meet in the
-subtree of their common prefix. A long prefix finds few pairs and only the most similar ones, so
-prefixes are shortened level by level until the chance that a pair at the threshold shares a prefix
-in some tree reaches the target recall. That is the level on which nodes are brought together. Pairs
-that meet are verified on their whole sets, in the first tree in which they meet.
+trees, and two nodes meet in the subtree of a common prefix of its values. No forest is searched:
+fixed bands replace it. A forest would shorten prefixes per query until it has enough candidates; a
+join needs all pairs at the threshold, so every prefix would be shortened to the one level at which
+the chance that such a pair shares it in some tree reaches the target recall. That level is computed
+beforehand, and a signature has only the values up to it. Pairs that meet are verified on their whole
+sets, in the first tree in which they meet.
 
 A subtree with many nodes is cut into blocks, and every two blocks are verified by one task, which
 returns sums per node and a spanning star instead of pairs. Linked nodes are joined to classes by
@@ -27,6 +28,7 @@ from saldo.llm.common import WORD, held, small_batches, stored
 GRAM = 5
 SIMILARITY = 0.8
 RECALL = 0.9999
+#: Bands, and the most values of one.
 TREES, DEPTH = 16, 6
 #: Nodes of a subtree that are verified against each other at once, and rows of one task's portion.
 BLOCK, PORTION = 512, 1_024
@@ -70,14 +72,15 @@ def floor_level(trees: int = TREES, depth: int = DEPTH, similarity: float = SIMI
     return 1
 
 
-def _seeds(n: int) -> tuple[np.ndarray, np.ndarray]:
+def _seeds(level: int) -> tuple[np.ndarray, np.ndarray]:
     dealt = np.random.default_rng(20_240_501)
-    odd = dealt.integers(1, 1 << 63, n, dtype=np.uint64) << np.uint64(1) | np.uint64(1)
-    return odd, dealt.integers(0, 1 << 63, n, dtype=np.uint64)
+    odd = dealt.integers(1, 1 << 63, TREES * DEPTH, dtype=np.uint64) << np.uint64(1) | np.uint64(1)
+    plus = dealt.integers(0, 1 << 63, TREES * DEPTH, dtype=np.uint64)
+    return tuple(x.reshape(TREES, DEPTH)[:, :level].ravel() for x in (odd, plus))
 
 
-def signature(grams: np.ndarray, seeds=_seeds(TREES * DEPTH)) -> bytes:
-    """TREES * DEPTH minima of 32 bits."""
+def signature(grams: np.ndarray, seeds: tuple[np.ndarray, np.ndarray]) -> bytes:
+    """TREES * level minima of 32 bits."""
     times, plus = seeds
     least = np.full(len(times), np.iinfo(np.uint32).max, np.uint32)
     for begin in range(0, len(grams), 4_096):
@@ -87,8 +90,9 @@ def signature(grams: np.ndarray, seeds=_seeds(TREES * DEPTH)) -> bytes:
     return least.astype(">u4").tobytes()
 
 
-def _signed(docs: DataFrame, gram: int) -> DataFrame:
+def _signed(docs: DataFrame, gram: int, level: int) -> DataFrame:
     """docs (doc_id, text) -> doc_id, text_hash, digest, signature; both null without words."""
+    seeds = _seeds(level)
 
     def run(batches):
         for batch in small_batches(batches):
@@ -96,7 +100,7 @@ def _signed(docs: DataFrame, gram: int) -> DataFrame:
             for text in batch.column(2).to_pylist():
                 grams = shingles(text, gram)
                 digests.append(xxhash.xxh3_128_digest(grams.tobytes()) if len(grams) else None)
-                signatures.append(signature(grams) if len(grams) else None)
+                signatures.append(signature(grams, seeds) if len(grams) else None)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(digests, pa.binary()), pa.array(signatures, pa.binary())],
                 names=["doc_id", "text_hash", "digest", "signature"],
@@ -136,10 +140,10 @@ def verify(rows: list[tuple[int, int, bytes, np.ndarray]], tree: int, level: int
         near &= sides[:, None] != sides[None, :]
     left, right = np.nonzero(np.triu(near))
     if len(left):
-        values = np.frombuffer(b"".join(r[2] for r in rows), ">u4").reshape(len(rows), TREES, DEPTH)
+        values = np.frombuffer(b"".join(r[2] for r in rows), ">u4").reshape(len(rows), TREES, level)
         met = np.zeros(len(left), bool)
         for earlier in range(tree):
-            met |= (values[left, earlier, :level] == values[right, earlier, :level]).all(axis=1)
+            met |= (values[left, earlier] == values[right, earlier]).all(axis=1)
         left, right = left[~met], right[~met]
     weights = np.array([r[1] for r in rows], np.int64)
     links = np.zeros(len(rows), np.int64)
@@ -216,7 +220,7 @@ def near_duplicates(
     level = floor_level(similarity=similarity, recall=recall)
     docs = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     docs = docs.withColumn("text_hash", F.xxhash64("text"))
-    rows = stored(_signed(docs, gram), "signed")
+    rows = stored(_signed(docs, gram, level), "signed")
     sound = rows.where("digest IS NOT NULL").withColumn("teller", F.xxhash64("doc_id", "text_hash"))
     sets = sound.groupBy("digest").agg(
         F.count("*").alias("n_docs"), F.min("doc_id").alias("least_id"), F.min("teller").alias("teller")
@@ -230,7 +234,7 @@ def near_duplicates(
         F.sequence(F.lit(0), F.lit(TREES - 1)),
         lambda t: F.struct(
             t.alias("tree"),
-            F.col("signature").substr(t * (4 * DEPTH) + 1, F.lit(4 * level)).alias("prefix"),
+            F.col("signature").substr(t * (4 * level) + 1, F.lit(4 * level)).alias("prefix"),
         ),
     ))
     in_trees = nodes.select("nid", trees.alias("at")).select("nid", "at.tree", "at.prefix")

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from saldo.llm import langid, lmscore
+from saldo.llm import jaccard, langid, lmscore
 from saldo.llm.jaccard import floor_level, near_duplicates, without_near_duplicates
 from saldo.llm.mihash import top_k, with_code
 from saldo.llm.mixing import mix, mixed
@@ -134,6 +134,14 @@ def test_prefixes_are_shortened_to_the_recall():
     assert 1 - (1 - 0.8 ** levels[3]) ** 16 >= 0.9999
 
 
+def test_signatures_hold_only_what_is_read():
+    grams = jaccard.shingles(sentence(random.Random(1), 80))
+    whole = np.frombuffer(jaccard.signature(grams, jaccard._seeds(jaccard.DEPTH)), ">u4").reshape(jaccard.TREES, -1)
+    level = floor_level()
+    part = np.frombuffer(jaccard.signature(grams, jaccard._seeds(level)), ">u4").reshape(jaccard.TREES, -1)
+    assert part.shape[1] == level and (part == whole[:, :level]).all()
+
+
 # --- repeats -----------------------------------------------------------------------------------
 
 
