@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from saldo.llm.common import stored
 
 LENGTH, GRAM = 100, 20
-#: Bytes of text handled at once; a longer text is cut into pieces that overlap by LENGTH - 1.
+#: Bytes of text handled at once; a longer text is cut into pieces that overlap by one byte less than a repeat.
 PIECE = 1 << 19
 #: Bytes of text whose phrases are compared in memory before they are sent on.
 CHUNK = 32 << 20
@@ -167,14 +167,14 @@ def _table(**columns: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(list(arrays.values()), names=list(arrays))
 
 
-def _portions(batches, limit: int):
-    """(doc, text) batches as lists of (doc, offset, bytes) of some limited size."""
+def _portions(batches, limit: int, length: int):
+    """(doc, text) batches as lists of (doc, offset, bytes) of some limited size, each window of length whole in one."""
     part, size = [], 0
     for batch in batches:
         for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             raw = (text or "").encode()
-            for begin in range(0, max(1, len(raw) - LENGTH + 1), limit):
-                part.append((doc, begin, raw[begin : begin + limit + LENGTH - 1]))
+            for begin in range(0, max(1, len(raw) - length + 1), limit):
+                part.append((doc, begin, raw[begin : begin + limit + length - 1]))
                 size += len(part[-1][2])
                 if size >= limit:
                     yield part
@@ -193,7 +193,7 @@ def _parse(docs: DataFrame, length: int, gram: int) -> DataFrame:
 
     def run(batches):
         found, size = [], 0
-        for part in _portions(batches, PIECE):
+        for part in _portions(batches, PIECE, length):
             data = np.frombuffer(b"".join(p[2] for p in part), np.uint8)
             bounds = np.cumsum([0] + [len(p[2]) for p in part])
             piece, begin, count, trigger, content = phrases(data, bounds, length, gram)

@@ -200,6 +200,20 @@ def test_repeats_with_equal_and_null_ids(spark):
     assert found[None] == [b""] and found[3] == [b"", b""]
 
 
+def test_repeats_of_another_length_at_the_border_of_a_piece(spark):
+    from saldo.llm.repeats import PIECE
+
+    pick = random.Random(13)
+    noise = "".join(pick.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(PIECE + 5_000))
+    # The only window of 200 bytes that occurs again begins 50 bytes before the border.
+    again = noise[PIECE - 50 : PIECE + 150]
+    rows = [(1, "#" + again + "#"), (2, noise)]
+    wanted = brute_repeats(rows, 200)
+    assert wanted[2][2] == [(PIECE - 50, PIECE + 150)]
+    for r in without_repeats(spark.createDataFrame(rows, DOC), length=200).collect():
+        assert (r.n_bytes, bytes(r.kept), [(s.begin, s.end) for s in r.spans]) == wanted[r.doc_id]
+
+
 # --- mixing ------------------------------------------------------------------------------------
 
 
