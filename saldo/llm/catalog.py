@@ -12,6 +12,7 @@ import corpus_pipeline
 from saldo.llm import langid, lmscore
 from saldo.llm.bpe import round_trip
 from saldo.llm.common import documents
+from saldo.llm.hardneg import hard_negatives
 from saldo.llm.jaccard import near_duplicates
 from saldo.llm.mihash import top_k, with_code
 from saldo.llm.mixing import mix
@@ -19,6 +20,8 @@ from saldo.llm.pii import pseudonymise
 from saldo.llm.quality import quality
 from saldo.llm.repeats import without_repeats
 from saldo.llm.tokencount import token_counts
+from saldo.llm.urlfilter import ALLOW, BLOCK, SOFT, STRICT, judge_urls
+from saldo.llm.whitening import finite, whitened_components
 from saldo.session import scratch_path
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -156,6 +159,102 @@ def op10_backtracking_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+URL_RULES = [
+    (ALLOW, "org/"), (BLOCK, "example.org/es/"), (BLOCK, "example.org/en/1"), (ALLOW, "com/fr/"), (BLOCK, "com/de/"),
+]
+
+
+@query
+def op11_weighted_url_vocabulary(spark: SparkSession, folder: str) -> DataFrame:
+    pages = spark.read.parquet(f"{folder}/pages.parquet").select("page_id", "url")
+    return judge_urls(pages, URL_RULES).select(
+        "page_id", "host", "path", "rule", "verdict", F.size("strict_terms").cast("long").alias("n_strict"),
+        F.size("soft_terms").cast("long").alias("n_soft"),
+    )
+
+
+def _count_terms(spellings: dict[str, list[str]], distinct: bool) -> str:
+    """SQL for how many terms a text has, or how often; no letter may stand beside one."""
+    found = []
+    for spelled in spellings.values():
+        pattern = r"(^|[^\pL])(" + "|".join(spelled) + r")($|[^\pL])"
+        if distinct:
+            found.append(f"regexp_matches(text, '{pattern}')::BIGINT")
+        else:  # the letters beside a term are doubled, so that neighbours can share them
+            found.append(f"len(regexp_extract_all(doubled, '{pattern}'))")
+    return " + ".join(found)
+
+
+ORACLE["op11_weighted_url_vocabulary"] = rf"""
+WITH parts AS (
+  SELECT page_id,
+         translate(coalesce(regexp_extract(url, '^.*?://([^/?#]*)', 1, 's'), ''),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         coalesce(regexp_extract(url, '^.*?://[^/?#]*([^?#]*)', 1, 's'), '') AS path
+  FROM pages
+), judged AS (
+  SELECT *, CASE
+    WHEN ('.' || host) LIKE '%.example.org' AND starts_with(path, '/en/1') THEN 'example.org/en/1'
+    WHEN ('.' || host) LIKE '%.example.org' AND starts_with(path, '/es/') THEN 'example.org/es/'
+    WHEN ('.' || host) LIKE '%.com' AND starts_with(path, '/fr/') THEN 'com/fr/'
+    WHEN ('.' || host) LIKE '%.com' AND starts_with(path, '/de/') THEN 'com/de/'
+    WHEN ('.' || host) LIKE '%.org' AND starts_with(path, '/') THEN 'org/' END AS rule,
+    lower(url_decode(host || path)) AS text
+  FROM parts
+), counted AS (
+  SELECT *, regexp_replace(text, '([^\pL])', '\1\1', 'g') AS doubled FROM judged
+), hits AS (
+  SELECT *, CAST({_count_terms({s: [s] for s in STRICT}, False)} AS BIGINT) AS n_strict,
+         CAST({_count_terms(SOFT, True)} AS BIGINT) AS n_soft
+  FROM counted
+)
+SELECT page_id, host, path, rule, n_strict, n_soft,
+       CASE WHEN rule IN ('org/', 'com/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+            WHEN n_strict > 0 OR n_soft >= 2 THEN 'block' ELSE 'allow' END AS verdict
+FROM hits
+"""
+
+
+@query
+def op12_qdwh_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    sound = finite(spark.read.parquet(f"{folder}/embeddings.parquet").select("vec_id", "embedding"), "embedding")
+    whole = sound.selectExpr("vec_id", "transform(embedding, c -> floor(1024D * c) + 100000L) AS x")
+    return whitened_components(whole, "x").drop("x")
+
+
+@query
+def op13_maximus_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    sound = finite(spark.read.parquet(f"{folder}/embeddings.parquet"), "embedding").selectExpr(
+        "vec_id AS id", "if(vec_id % 7 = 0, (label + 1) % 10, label) AS label",
+        "transform(embedding, x -> floor(256D * x)) AS vector",
+    )
+    return hard_negatives(sound, "id % 100 = 0")
+
+
+ORACLE["op13_maximus_hard_negatives"] = """
+WITH entries AS (
+  SELECT vec_id, CAST(CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS INTEGER) AS label,
+         [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), scores AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+         CAST(list_dot_product(CAST(a.v AS DOUBLE[]), CAST(b.v AS DOUBLE[])) AS BIGINT) AS score
+  FROM entries a JOIN entries b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0
+), positives AS (
+  SELECT * FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5
+)
+SELECT p.anchor_id, p.other_id AS positive_id,
+       CAST(row_number() OVER (PARTITION BY p.anchor_id, p.other_id ORDER BY n.score DESC, n.other_id) AS INTEGER) AS rank,
+       n.other_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM positives p JOIN scores n ON n.anchor_id = p.anchor_id AND NOT n.same
+ AND 80 * p.score <= 100 * n.score AND 100 * n.score <= 100 * p.score
+QUALIFY row_number() OVER (PARTITION BY p.anchor_id, p.other_id ORDER BY n.score DESC, n.other_id) <= 5
+"""
+
+
 @query
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     return corpus_pipeline.run(spark, folder)
