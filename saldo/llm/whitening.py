@@ -118,7 +118,7 @@ def components(matrix: np.ndarray, wanted: int) -> tuple[np.ndarray, np.ndarray]
     if len(matrix):
         split((matrix + matrix.T) / 2, np.eye(len(matrix)))
     order = np.argsort(-np.array(values), kind="stable")[:wanted]
-    columns = np.array(vectors).reshape(-1, len(matrix))[order].T
+    columns = np.array(vectors).reshape(len(vectors), len(matrix))[order].T
     return np.array(values)[order], columns
 
 

@@ -18,7 +18,7 @@ from saldo.llm.quality import Bands, Compression, word_counts
 
 def test_all_are_registered():
     numbers = sorted(int(n[2:].split("_")[0]) for n in QUERIES if n != "pipeline")
-    assert numbers == list(range(1, 11)) and set(QUERIES) <= set(contract.queries())
+    assert numbers == list(range(1, 14)) and set(QUERIES) <= set(contract.queries())
     assert [name for name, _ in corpus_pipeline.STAGES] == [
         "quality rules", "n-gram Jaccard join", "PII", "mixing sources to target weights", "BPE encoding and decoding"
     ]
