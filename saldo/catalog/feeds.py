@@ -6,9 +6,7 @@ planted defects; clean feeds have the shape of the clean layer.
 
 All rows of the given tables take part; each order line is a row of the raw turnover feed. Remainders
 of ids only decide what is planted: bad cells, later exports, rows that count as stored by an earlier
-load. Where a missing price or code is what an operator is about (price lookup, unknown members,
-losses, the marts above them), it reads ``known_prices`` or ``known_warehouses``; the feeds
-themselves hold every part and every supplier.
+load, and further movements of parts without a price and of codes without a registry row.
 """
 
 from __future__ import annotations
@@ -40,6 +38,8 @@ LINE_COLUMNS = [
     "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount",
     "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
 ]
+# Planted parts have numbers above this, planted codes begin with this.
+UNPRICED, UNREGISTERED = 1_000_000_000, "X"
 # Numbers of lines within an order stay below this.
 LINES_PER_ORDER = 100_000
 EXPORT_DAY = "date_add(end_date, if(copy = 1, 17, 1))"
@@ -88,7 +88,11 @@ class Feeds:
 
     @cached_property
     def turnover(self) -> DataFrame:
-        """Warehouse, material and ship month; every fifth pair is exported a second time."""
+        """Warehouse, material and ship month; every fifth pair is exported a second time.
+
+        Some pairs move a further part that no price was delivered for, some a part under a code that
+        the registry does not know.
+        """
         lines = self.table("lineitem").selectExpr(
             "l_suppkey", "l_partkey", "l_returnflag", *MONTH, f"cast(l_quantity AS {QTY}) AS q"
         )
@@ -98,7 +102,10 @@ class Feeds:
             "sum(if(l_returnflag = 'R', 0, q)) AS outgo",
         ))
         exported = sums.selectExpr(
-            "*", _copies(_1="(l_suppkey + l_partkey) % 5 = 0")
+            "*", _copies(
+                _1="(l_suppkey + l_partkey) % 5 = 0", _2="(l_suppkey + l_partkey) % 13 = 5",
+                _3="(l_suppkey + l_partkey) % 11 = 3",
+            )
         ).withColumn("opening", F.expr("opening + copy + (l_partkey % 10) * 0.001BD"))
         # Ties on the export date cannot occur here, so any number serves as load order.
         return exported.selectExpr(
@@ -106,8 +113,8 @@ class Feeds:
             f"{EXPORT_DAY} AS date",
             "start_date",
             "end_date",
-            "string(l_suppkey) AS warehouse_code",
-            "int(l_partkey + 1) AS material_id",
+            f"concat(if(copy = 3, '{UNREGISTERED}', ''), string(l_suppkey)) AS warehouse_code",
+            f"int(l_partkey + 1 + if(copy = 2, {UNPRICED}, 0)) AS material_id",
             f"element_at({UNITS}, int(l_partkey % 3 + 1)) AS unit",
             f"cast(opening AS {QTY}) AS balance_start",
             f"cast(income AS {QTY}) AS income_qty",
@@ -138,11 +145,6 @@ class Feeds:
             f"cast(price + copy * 2 AS {MONEY}) AS price",
         )
 
-    @cached_property
-    def known_prices(self) -> DataFrame:
-        """Prices as the lookups meet them: of every 13th part none was delivered."""
-        return self.prices.filter("(material_id - 1) % 13 <> 5")
-
     @cached_property
     def warehouses(self) -> DataFrame:
         """Registry snapshots of every supplier on four days."""
@@ -166,14 +168,6 @@ class Feeds:
             "if(s_suppkey % 5 = 0, 'keeper', NULL) AS mol_position",
         )
 
-    @cached_property
-    def known_warehouses(self) -> DataFrame:
-        """The registry as the lookups meet it: every 11th code is missing, some start later."""
-        code = "int(warehouse_code)"
-        return self.warehouses.filter(
-            f"{code} % 11 <> 3 AND ({code} % 4 <> 1 OR date > DATE'{SNAPSHOT_DAYS[0]}')"
-        )
-
     @cached_property
     def daily_states(self) -> DataFrame:
         """Event users as registry codes: one clean registry row per event, so days repeat."""
@@ -314,10 +308,6 @@ class Feeds:
     def ods_prices(self) -> DataFrame:
         return self.store("ods-prices", self.prices)
 
-    @cached_property
-    def ods_known_prices(self) -> DataFrame:
-        return self.store("ods-known-prices", self.known_prices)
-
     @cached_property
     def materials(self) -> DataFrame:
         master = material.material_master(self.ods_turnover, self.ods_prices)
@@ -327,7 +317,7 @@ class Feeds:
     @cached_property
     def registered(self) -> DataFrame:
         """Versions of the codes that the registry knows."""
-        built = wh.build_versions(wh.changes(wh.snapshots(self.known_warehouses)))
+        built = wh.build_versions(wh.changes(wh.snapshots(self.warehouses)))
         return self.store("registered", built)
 
     @cached_property
@@ -336,20 +326,17 @@ class Feeds:
 
     @cached_property
     def inventory(self) -> DataFrame:
-        return facts.inventory_rows(self.ods_turnover, self.calendar, self.versions)
+        rows = facts.inventory_rows(self.ods_turnover, self.calendar, self.versions)
+        return self.store("fact-inventory", rows)
 
     @cached_property
     def price_facts(self) -> DataFrame:
-        return facts.price_rows(self.ods_prices, self.calendar)
-
-    @cached_property
-    def known_price_facts(self) -> DataFrame:
-        return facts.price_rows(self.ods_known_prices, self.calendar)
+        return self.store("fact-prices", facts.price_rows(self.ods_prices, self.calendar))
 
     @cached_property
     def monthly(self) -> DataFrame:
         return marts.inventory_monthly(
-            self.inventory, self.known_price_facts, self.calendar, self.materials, self.versions
+            self.inventory, self.price_facts, self.calendar, self.materials, self.versions
         )
 
     @cached_property

@@ -9,13 +9,15 @@ from __future__ import annotations
 import re
 
 from ..operators.calendar import MONTH_NAMES
-from .feeds import CUT_DAYS, LINE_COLUMNS, LINES_PER_ORDER, LOADED_UNTIL, SNAPSHOT_DAYS
+from .feeds import (
+    CUT_DAYS, LINE_COLUMNS, LINES_PER_ORDER, LOADED_UNTIL, SNAPSHOT_DAYS, UNPRICED, UNREGISTERED,
+)
 
 BLOCKS: dict[str, str] = {}
 # Blocks that several others read: computed once and stored.
 MATERIALIZED = {
-    "bounds", "calendar_days", "ods_turnover", "ods_prices", "known_prices", "ods_warehouses",
-    "known_warehouses", "registered", "versions", "checked_turnover", "last_turnover",
+    "bounds", "calendar_days", "ods_turnover", "ods_prices", "ods_warehouses",
+    "registered", "versions", "covering", "checked_turnover", "last_turnover",
     "fact_inventory", "upserted", "monthly", "metrics_now", "event_days", "early_versions",
 }
 ORACLE: dict[str, str] = {}
@@ -124,13 +126,17 @@ BLOCKS["moved"] = f"""
 """
 BLOCKS["ods_turnover"] = f"""
   SELECT {EXPORT_DAY} AS date, start_date, end_date,
-         cast(l_suppkey AS varchar) AS warehouse_code, cast(l_partkey + 1 AS integer) AS material_id,
+         CASE WHEN copy = 3 THEN '{UNREGISTERED}' ELSE '' END || l_suppkey AS warehouse_code,
+         cast(l_partkey + CASE WHEN copy = 2 THEN {UNPRICED} + 1 ELSE 1 END AS integer) AS material_id,
          {unit_of('l_partkey')} AS unit,
          cast(opened AS decimal(18,3)) AS balance_start, cast(income AS decimal(18,3)) AS income_qty,
          cast(-outgo AS decimal(18,3)) AS expense_qty,
          cast(opened + income - outgo AS decimal(18,3)) AS balance_end
-  FROM (SELECT *, opening + copy + (l_partkey % 10) * 0.001 AS opened FROM moved, {COPY_NUMBERS}
-        WHERE copy = 0 OR (copy = 1 AND (l_suppkey + l_partkey) % 5 = 0)) AS e
+  FROM (SELECT *, opening + copy + (l_partkey % 10) * 0.001 AS opened
+        FROM moved, (VALUES (0), (1), (2), (3)) AS c(copy)
+        WHERE copy = 0 OR (copy = 1 AND (l_suppkey + l_partkey) % 5 = 0)
+           OR (copy = 2 AND (l_suppkey + l_partkey) % 13 = 5)
+           OR (copy = 3 AND (l_suppkey + l_partkey) % 11 = 3)) AS e
 """
 BLOCKS["priced_months"] = f"""
   SELECT l_partkey, start_date, end_date,
@@ -144,7 +150,6 @@ BLOCKS["ods_prices"] = f"""
          cast(price + copy * 2 AS decimal(18,2)) AS price
   FROM priced_months, {COPY_NUMBERS} WHERE copy = 0 OR (copy = 1 AND l_partkey % 7 = 0)
 """
-BLOCKS["known_prices"] = "SELECT * FROM ods_prices WHERE (material_id - 1) % 13 <> 5"
 _STEPS = ", ".join(f"({i}, DATE '{d}')" for i, d in enumerate(SNAPSHOT_DAYS))
 BLOCKS["ods_warehouses"] = f"""
   SELECT s_suppkey * 4 + step AS load_id, snapshot_day AS date, snapshot_day AS start_date,
@@ -158,10 +163,6 @@ BLOCKS["ods_warehouses"] = f"""
   FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey,
        (VALUES {_STEPS}) AS d(step, snapshot_day)
 """
-BLOCKS["known_warehouses"] = f"""
-  SELECT * FROM ods_warehouses WHERE cast(warehouse_code AS integer) % 11 <> 3
-     AND (cast(warehouse_code AS integer) % 4 <> 1 OR date > DATE '{SNAPSHOT_DAYS[0]}')
-"""
 
 # --- raw feeds ---------------------------------------------------------------------------------
 
@@ -447,13 +448,10 @@ def _days(rows: str) -> str:
     """
 
 
-BLOCKS["registry_days"] = _days("known_warehouses")
+BLOCKS["registry_days"] = _days("ods_warehouses")
 BLOCKS["registry_changes"] = _changes("registry_days")
 BLOCKS["registered"] = _versions("registry_changes")
-BLOCKS["full_registry_days"] = _days("ods_warehouses")
-BLOCKS["full_registry_changes"] = _changes("full_registry_days")
-BLOCKS["full_registered"] = _versions("full_registry_changes")
-oracle("scd2_build", "SELECT * FROM full_registered")
+oracle("scd2_build", "SELECT * FROM registered")
 BLOCKS["unknown"] = """
   SELECT DISTINCT warehouse_code, '—' AS shop_code, 'UNKNOWN' AS warehouse_type,
          'Не определена' AS directorate, cast(NULL AS integer) AS mol_id,
@@ -526,7 +524,7 @@ oracle("date_keys", """
 """)
 oracle("material_key", """
   SELECT material_id, count(*) AS n_rows, 1 AS n_keys FROM ods_turnover
-  WHERE material_id IN (SELECT material_id FROM known_prices) GROUP BY material_id
+  WHERE material_id IN (SELECT material_id FROM ods_prices) GROUP BY material_id
 """)
 oracle("scd2_asof", """
   SELECT t.warehouse_code, t.material_id, t.start_date, t.date, v.date_from
@@ -535,13 +533,17 @@ oracle("scd2_asof", """
 """)
 
 
+# First the version that began last on each distinct export day, then the rows.
+BLOCKS["covering"] = """
+  SELECT q.warehouse_code, q.date, coalesce(v.date_from, cur.date_from) AS date_from
+  FROM (SELECT DISTINCT warehouse_code, date FROM ods_turnover) AS q
+  ASOF LEFT JOIN versions AS v ON v.warehouse_code = q.warehouse_code AND v.date_from <= q.date
+  LEFT JOIN versions AS cur ON cur.warehouse_code = q.warehouse_code AND cur.is_current = 1
+"""
+
+
 def _resolved(rows: str) -> str:
-    return f"""
-      SELECT t.*, coalesce(v.date_from, cur.date_from) AS date_from
-      FROM {rows} AS t LEFT JOIN versions AS v
-        ON v.warehouse_code = t.warehouse_code AND t.date >= v.date_from AND t.date <= v.date_to
-      LEFT JOIN versions AS cur ON cur.warehouse_code = t.warehouse_code AND cur.is_current = 1
-    """
+    return f"SELECT t.*, c.date_from FROM {rows} AS t LEFT JOIN covering AS c USING (warehouse_code, date)"
 
 
 BLOCKS["resolved_all"] = _resolved("ods_turnover")
@@ -568,9 +570,6 @@ BLOCKS["fact_prices"] = """
   FROM last_prices AS p JOIN calendar_days AS s ON s.full_date = p.start_date
   JOIN calendar_days AS e ON e.full_date = p.end_date
 """
-BLOCKS["fact_known_prices"] = """
-  SELECT p.* FROM fact_prices AS p SEMI JOIN known_prices AS k ON k.material_id = p.material_id
-"""
 _SEEN = "date = end_date + 1 AND year(start_date) < (SELECT year(last_day) FROM bounds)"
 BLOCKS["seen_turnover"] = f"SELECT * FROM ods_turnover WHERE {_SEEN}"
 BLOCKS["resolved_seen"] = _resolved("seen_turnover")
@@ -598,7 +597,7 @@ oracle("upsert_prices", f"""
 """)
 oracle("price_lookup", f"""
   SELECT {_INVENTORY_KEY}, balance_end, price
-  FROM fact_inventory LEFT JOIN fact_known_prices USING (date_key_start, date_key_end, material_id)
+  FROM fact_inventory LEFT JOIN fact_prices USING (date_key_start, date_key_end, material_id)
 """)
 BLOCKS["star"] = """
   SELECT f.date_key_start, f.date_key_end, d.year_num, d.month_num, f.warehouse_code,
@@ -623,7 +622,7 @@ BLOCKS["monthly_sums"] = """
          cast(sum(expense_qty) AS decimal(18,2)) AS expense_qty,
          cast(sum(balance_end) AS decimal(18,2)) AS balance_end,
          cast(sum(abs(expense_qty)) AS decimal(18,2)) AS consumed, max(price) AS price
-  FROM star LEFT JOIN fact_known_prices USING (date_key_start, date_key_end, material_id)
+  FROM star LEFT JOIN fact_prices USING (date_key_start, date_key_end, material_id)
   GROUP BY year_num, month_num, warehouse_code, material_id, unit
 """
 BLOCKS["monthly"] = """
@@ -798,7 +797,7 @@ oracle("lost_rows", f"""
   WHERE greatest(start_date, end_date) > last_day - {CUT_DAYS}
   UNION ALL
   SELECT 'material', count(*) FROM ods_turnover
-  WHERE material_id NOT IN (SELECT material_id FROM known_prices)
+  WHERE material_id NOT IN (SELECT material_id FROM ods_prices)
 """)
 oracle("version_overlap", """
   SELECT date_key_start, date_key_end, warehouse_code, material_id,

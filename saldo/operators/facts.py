@@ -51,9 +51,12 @@ def inventory_rows(
     turnover: DataFrame, calendar: DataFrame, versions: DataFrame,
     materials: DataFrame | None = None,
 ) -> DataFrame:
-    """One fact row per period, warehouse version and material, at two digits."""
+    """One fact row per period, warehouse version and material, at two digits.
+
+    ``turnover`` should be a stored table: a large dimension reads its codes and days on their own.
+    """
     keyed = _keyed(latest_turnover(turnover), calendar, materials)
-    return resolve_version(keyed, versions).selectExpr(
+    return resolve_version(keyed, versions, turnover).selectExpr(
         *INVENTORY_KEYS, *[f"cast({m} AS {MONEY}) AS {m}" for m in QUANTITIES]
     )
 

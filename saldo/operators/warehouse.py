@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import WAREHOUSE_ATTRIBUTES
-from .skew import skewed_join
+from .asof import as_of, disjoint
 
 # Fixed values of the dimension.
 OPEN_END = "DATE'9999-12-31'"
@@ -133,14 +133,17 @@ def with_unknown(versions: DataFrame, turnover: DataFrame) -> DataFrame:
     return versions.unionByName(unknown_members(turnover, versions))
 
 
-# Both ends are inclusive.
-VALID_ON_EXPORT = "date BETWEEN date_from AND date_to"
+def version_on_date(
+    rows: DataFrame, versions: DataFrame, days: DataFrame | None = None
+) -> DataFrame:
+    """Add the version valid on the export date and its first day, null where none is.
 
-
-def version_on_date(rows: DataFrame, versions: DataFrame) -> DataFrame:
-    """Add the version valid on the export date and its first day, null where none is."""
-    lookup = versions.select("warehouse_code", "warehouse_sk", "date_from", "date_to")
-    return skewed_join(rows, lookup, "warehouse_code", "left", VALID_ON_EXPORT).drop("date_to")
+    If versions of a code overlap, the one that begins later is meant. ``days``: see ``as_of``.
+    """
+    lookup = disjoint(versions, "warehouse_code").selectExpr(
+        "warehouse_code", "date_from", "date_to", "warehouse_sk", "date_from AS version_from"
+    )
+    return as_of(rows, lookup, "warehouse_code", "date", days).withColumnRenamed("version_from", "date_from")
 
 
 def gap_free(versions: DataFrame) -> DataFrame:
@@ -151,7 +154,7 @@ def gap_free(versions: DataFrame) -> DataFrame:
     """
     by_code = "PARTITION BY warehouse_code"
     earlier = "ORDER BY date_from ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
-    known = versions.selectExpr(
+    known = disjoint(versions, "warehouse_code").selectExpr(
         "warehouse_code", "date_from", "date_to", "warehouse_sk",
         f"max(date_to) OVER ({by_code} {earlier}) AS reach",
         f"lead(date_from) OVER ({by_code} ORDER BY date_from) IS NULL AS is_last",
@@ -180,7 +183,9 @@ def gap_free(versions: DataFrame) -> DataFrame:
     )
 
 
-def resolve_version(rows: DataFrame, versions: DataFrame) -> DataFrame:
+def resolve_version(
+    rows: DataFrame, versions: DataFrame, days: DataFrame | None = None
+) -> DataFrame:
     """Add the version valid on the export date, or else the current one, and its first day."""
-    found = skewed_join(rows, gap_free(versions), "warehouse_code", "left", VALID_ON_EXPORT)
-    return found.drop("date_from", "date_to").withColumnRenamed("version_from", "date_from")
+    found = as_of(rows, gap_free(versions), "warehouse_code", "date", days)
+    return found.withColumnRenamed("version_from", "date_from")

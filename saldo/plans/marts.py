@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from ..functions import month_key, previous_month_key, safe_ratio
 from ..operators.facts import PRICE_KEYS
-from ..operators.skew import skewed_join
 from ..operators.warehouse import UNKNOWN_DIRECTORATE, UNKNOWN_SHOP, UNKNOWN_TYPE
 from ..schemas import MONEY, QUANTITIES
 
@@ -44,7 +43,7 @@ def with_price(facts: DataFrame, prices: DataFrame) -> DataFrame:
 def with_month(facts: DataFrame, calendar: DataFrame) -> DataFrame:
     """Year and month of the period start."""
     days = calendar.selectExpr("date_key AS date_key_start", "year_num", "month_num")
-    return facts.join(days, "date_key_start")
+    return facts.join(F.broadcast(days), "date_key_start")  # one row per day
 
 
 def labelled(versions: DataFrame) -> DataFrame:
@@ -59,8 +58,11 @@ def labelled(versions: DataFrame) -> DataFrame:
 
 
 def with_warehouse(facts: DataFrame, versions: DataFrame) -> DataFrame:
-    """Attributes of the fact's warehouse version."""
-    return skewed_join(facts, labelled(versions), "warehouse_sk", "inner")
+    """Attributes of the fact's warehouse version.
+
+    A large dimension is joined by its key; adaptive execution splits the partition of a hot one.
+    """
+    return facts.join(labelled(versions), "warehouse_sk")
 
 
 ATTRIBUTES = ["directorate", "shop_code", "warehouse_type"]
@@ -82,7 +84,7 @@ def with_attribute_places(facts: DataFrame, versions: DataFrame, lists: DataFram
         "warehouse_sk", "warehouse_code",
         *[f"int(array_position({a}_list, {a})) AS {a}_place" for a in ATTRIBUTES],
     )
-    return skewed_join(facts, placed, "warehouse_sk", "inner")
+    return facts.join(placed, "warehouse_sk")
 
 
 def with_material(rows: DataFrame, materials: DataFrame) -> DataFrame:

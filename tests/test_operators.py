@@ -1,14 +1,15 @@
 """Golden cells and rows, one per operator and per easily missed behaviour."""
 
 import os
-from datetime import date
+import random
+from datetime import date, timedelta
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
 from saldo.functions import parse_date, previous_month_key, safe_ratio, to_int, to_price, to_qty
-from saldo.operators import dedup, facts, merge, quality, rules, skew
+from saldo.operators import asof, dedup, facts, merge, quality, rules
 from saldo.operators import warehouse as wh
 from saldo.operators.calendar import dim_date, outside_calendar, with_date_keys
 from saldo.operators.cleaning import clean
@@ -175,17 +176,43 @@ def test_versions(spark):
         (date(2024, 2, 1), "overlap"), (date(2024, 6, 1), "overlap")]
 
 
-def test_join_with_hot_and_null_keys(spark):
-    """Hot keys by broadcast, the others shuffled, rows without a key in neither; nothing is lost."""
-    keys = [1] * 3000 + [2] * 2000 + list(range(3, 1500)) + [None] * 700
-    left = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "k long, i long")
-    right = spark.createDataFrame([(k, v, f"v{k}") for k in range(0, 1400) for v in (1, 2)], "k long, n int, v string")
-    assert sorted(skew.hot_keys(left, "k"), key=str) == [1, 2, None]
-    for how in ("inner", "left"):
-        got = skew.skewed_join(left, right, "k", how, "n = 1", small=False)
-        want = skew.skewed_join(left, right, "k", how, "n = 1", small=True)
-        assert rows(got, "k", "i", "n", "v") == rows(want, "k", "i", "n", "v")
-        assert got.count() == (len(keys) if how == "left" else 6397)
+@pytest.fixture(params=["10m", "1", "-1"])
+def broadcast_limit(spark, request):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", request.param)
+    yield request.param
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def valid_on(versions, code, day):
+    """The version of the code that began last among those valid on the day, by a plain search."""
+    begun = [v for v in versions if v[0] == code and code is not None and v[1] <= day]
+    last = max(begun, key=lambda v: v[1:3], default=None)
+    return last[3] if last and last[2] >= day else None
+
+
+def test_as_of_equals_search_with_and_without_broadcast(spark, broadcast_limit):
+    """Hot code, hot day, codes and days that are null or unknown, overlaps, holes, repeated rows."""
+    draw = random.Random(broadcast_limit)
+    first = date(2024, 1, 1)
+    versions, sk = [], 0
+    for code in ["hot", *map(str, range(40))]:
+        day = first
+        for _ in range(draw.randint(1, 12)):
+            sk += 1
+            day += timedelta(days=draw.randint(1, 30))
+            versions.append((code, day, day + timedelta(days=draw.randint(0, 40)), sk))
+    asked = [("hot", first + timedelta(days=draw.randint(0, 400)), i) for i in range(1500)]
+    asked += [("hot", date(2024, 6, 1), -i) for i in range(800)] + [("hot", None, -900), (None, first, -901)]
+    asked += [(str(draw.randint(0, 45)), first + timedelta(days=draw.randint(-9, 400)), 5000 + i) for i in range(900)]
+    asked += asked[:3]
+    table = spark.createDataFrame(versions, "code string, date_from date, date_to date, sk int")
+    probe = spark.createDataFrame(asked, "code string, day date, i int")
+    found = asof.as_of(probe, asof.disjoint(table, "code"), "code", "day")
+    assert found.columns == ["code", "day", "i", "sk"]
+    wanted = [(*a, valid_on(versions, *a[:2]) if a[1] else None) for a in asked]
+    assert sorted(map(str, map(tuple, found.collect()))) == sorted(map(str, wanted))
+    assert asof.as_of(probe.limit(0), asof.disjoint(table, "code"), "code", "day").count() == 0
+    assert asof.as_of(probe, asof.disjoint(table.limit(0), "code"), "code", "day").filter("sk IS NOT NULL").count() == 0
 
 
 def test_version_on_export_date_or_current(spark):

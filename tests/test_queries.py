@@ -58,6 +58,20 @@ def test_versions_need_few_shuffles(spark, tables, capsys):
     assert tree.count("Exchange") <= 5
 
 
+@pytest.mark.parametrize("name", ["scd2_asof", "scd2_fallback", "inventory_monthly"])
+def test_large_dimension(spark, tables, name, capsys):
+    """Without any broadcast by size: the same rows, few shuffles, and each stored table read few times."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1")
+    try:
+        assert difference(spark, database(tables), name, tables) is None
+        plan = _plan(contract.queries()[name](spark, tables), capsys)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    tree = plan[: plan.index("\n\n\n")]
+    assert tree.count("Exchange") <= 15 and tree.count("Scan parquet") <= 6
+    assert "NestedLoop" not in tree and "CartesianProduct" not in tree
+
+
 @pytest.mark.parametrize("name", ["scd2_fallback", "ods_new", "turnover_metrics", "role_slice"])
 def test_plans(spark, tables, name, capsys):
     frame = contract.queries()[name](spark, tables)
