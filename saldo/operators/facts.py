@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..schemas import MONEY, QUANTITIES
 from .calendar import with_date_keys
 from .material import MATERIAL_SK, with_material_key
-from .merge import upsert
+from .merge import changes, upsert
 from .warehouse import resolve_version
 
 INVENTORY_KEYS = ["date_key_start", "date_key_end", "warehouse_sk", "material_sk"]
@@ -68,6 +68,14 @@ def price_rows(
     return keyed.selectExpr(*PRICE_KEYS, f"cast(price AS {MONEY}) AS price")
 
 
+def inventory_changes(stored: DataFrame, arriving: DataFrame) -> DataFrame:
+    return changes(stored, arriving, INVENTORY_KEYS, QUANTITIES, f"cast(0 AS {MONEY})")
+
+
+def price_changes(stored: DataFrame, arriving: DataFrame) -> DataFrame:
+    return changes(stored, arriving, PRICE_KEYS, ["price"], NO_PRICE)
+
+
 def upsert_inventory(stored: DataFrame, arriving: DataFrame) -> DataFrame:
     return upsert(stored, arriving, INVENTORY_KEYS, QUANTITIES, f"cast(0 AS {MONEY})")
 

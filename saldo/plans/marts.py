@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import month_key, previous_month_key, safe_ratio
-from ..operators.facts import PRICE_KEYS
+from ..operators.facts import INVENTORY_KEYS, PRICE_KEYS
 from ..operators.warehouse import UNKNOWN_DIRECTORATE, UNKNOWN_SHOP, UNKNOWN_TYPE
 from ..schemas import MONEY, QUANTITIES
 
@@ -98,24 +98,64 @@ def star_rows(
     return with_material(with_warehouse(with_month(facts, calendar), versions), materials)
 
 
-def inventory_monthly(
-    facts: DataFrame, prices: DataFrame, calendar: DataFrame, materials: DataFrame,
-    versions: DataFrame,
-) -> DataFrame:
-    """One row per month, warehouse and material.
+# --- the detail mart, whole or by changes ----------------------------------------------------------
+
+# Group of the detail mart, what it sums up, and what it takes the greatest of.
+MONTHLY_GROUP = ["year_num", "month_num", "warehouse_code", "material_sk"]
+ADDED_UP = ["n_facts", *QUANTITIES, "consumed"]
+GREATEST = [*[f"{a}_place" for a in ATTRIBUTES], "price"]
+# The stored mart also holds what its next change needs.
+STATE_COLUMNS = [*MONTHLY_COLUMNS, "material_sk", "n_facts", "consumed"]
+STATE_SCHEMA = (
+    "month_key int, year_num int, month_num int, warehouse_code string, directorate string, shop_code string, "
+    f"warehouse_type string, material_id int, unit string, balance_start {MONEY}, income_qty {MONEY}, "
+    f"expense_qty {MONEY}, balance_end {MONEY}, avg_qty {MONEY}, price {MONEY}, stock_value {MONEY}, "
+    f"avg_stock_value {MONEY}, expense_value {MONEY}, material_sk long, n_facts long, consumed {MONEY}"
+)
+EFFECT_SUMS = [
+    "cast(sum(n_facts) AS long) AS n_facts",
+    *[f"cast(sum({c}) AS {MONEY}) AS {c}" for c in ADDED_UP[1:]],
+]
 
-    A generated key stands for one material, so the sums are formed before the material's
-    attributes are looked up.
-    """
-    lists = attribute_lists(versions)
-    dated = with_month(with_price(facts, prices), calendar)
+
+def fact_effects(facts: DataFrame) -> DataFrame:
+    """What whole facts add to their group."""
+    return facts.selectExpr(
+        *INVENTORY_KEYS, "1L AS n_facts", *QUANTITIES, f"cast(abs(expense_qty) AS {MONEY}) AS consumed"
+    )
+
+
+def change_effects(changes: DataFrame) -> DataFrame:
+    """What changed facts (``old`` and ``new`` measures) add to their group: the new less the old."""
+
+    def gap(value: str) -> str:
+        measure = value.format("old"), value.format("new")
+        return f"cast(coalesce({measure[1]}, 0) - coalesce({measure[0]}, 0) AS {MONEY})"
+
+    return changes.selectExpr(
+        *INVENTORY_KEYS, "if(old IS NULL, 1L, 0L) AS n_facts",
+        *[f"{gap('{}.' + q)} AS {q}" for q in QUANTITIES], f"{gap('abs({}.expense_qty)')} AS consumed",
+    )
+
+
+def present_effects(facts: DataFrame) -> DataFrame:
+    """Facts that add nothing, but whose attributes and prices count for the greatest ones."""
+    nothing = [f"cast(0 AS {MONEY}) AS {c}" for c in ADDED_UP[1:]]
+    return facts.selectExpr(*INVENTORY_KEYS, "0L AS n_facts", *nothing)
+
+
+def _grouped(
+    effects: DataFrame, prices: DataFrame, calendar: DataFrame, versions: DataFrame, lists: DataFrame
+) -> DataFrame:
+    dated = with_month(with_price(effects, prices), calendar)
     located = with_attribute_places(dated, versions, lists)
-    attributes = [*[f"{a}_place" for a in ATTRIBUTES], "price"]
-    summed = located.groupBy("year_num", "month_num", "warehouse_code", "material_sk").agg(
-        *[F.max(a).alias(a) for a in attributes],
-        *[F.expr(f"cast(sum({q}) AS {MONEY}) AS {q}") for q in QUANTITIES],
-        F.expr(f"cast(sum(abs(expense_qty)) AS {MONEY}) AS consumed"),
+    return located.groupBy(*MONTHLY_GROUP).agg(
+        *[F.expr(e) for e in EFFECT_SUMS], *[F.max(a).alias(a) for a in GREATEST]
     )
+
+
+def _valued(summed: DataFrame, lists: DataFrame, materials: DataFrame) -> DataFrame:
+    """Rows of the stored mart from the sums and greatest values of their groups."""
     averaged = summed.selectExpr(
         "*", f"cast((balance_start + balance_end) * 0.5 AS {MONEY}) AS avg_qty"
     )
@@ -129,7 +169,85 @@ def inventory_monthly(
         f"cast(avg_qty * price AS {MONEY}) AS avg_stock_value",
         f"cast(consumed * price AS {MONEY}) AS expense_value",
     )
-    return with_material(valued, materials).select(*MONTHLY_COLUMNS)
+    return with_material(valued, materials).select(*STATE_COLUMNS)
+
+
+def inventory_monthly(
+    facts: DataFrame, prices: DataFrame, calendar: DataFrame, materials: DataFrame,
+    versions: DataFrame,
+) -> DataFrame:
+    """One row per month, warehouse and material.
+
+    A generated key stands for one material, so the sums are formed before the material's
+    attributes are looked up.
+    """
+    lists = attribute_lists(versions)
+    summed = _grouped(fact_effects(facts), prices, calendar, versions, lists)
+    return _valued(summed, lists, materials).select(*MONTHLY_COLUMNS)
+
+
+def changed_monthly(
+    effects: DataFrame, stored: DataFrame, repriced: DataFrame, prices: DataFrame, calendar: DataFrame,
+    materials: DataFrame, versions: DataFrame,
+) -> DataFrame:
+    """New rows of the groups that changed, with ``_was_stored``; other groups are not looked at.
+
+    ``effects`` says what is added to which fact's group. ``stored`` holds the stored rows of all groups that
+    may change, also of those that only get a new unit. Sums are the stored ones plus the effects. Facts
+    are never taken out and attributes of a version never change, so a greatest attribute only grows. A
+    price may be replaced by a lower one: groups in ``repriced`` (group columns) forget theirs,
+    and ``effects`` must hold all their facts.
+    """
+    lists = attribute_lists(versions)
+    before = stored.join(lists, "warehouse_code").join(
+        repriced.select(*MONTHLY_GROUP).distinct().withColumn("_repriced", F.lit(True)), MONTHLY_GROUP, "left"
+    ).selectExpr(
+        *MONTHLY_GROUP, *ADDED_UP,
+        *[f"int(array_position({a}_list, {a})) AS {a}_place" for a in ATTRIBUTES],
+        "if(_repriced, NULL, price) AS price", "true AS _was_stored",
+    )
+    after = _grouped(effects, prices, calendar, versions, lists).withColumn("_was_stored", F.lit(False))
+    summed = before.unionByName(after).groupBy(*MONTHLY_GROUP).agg(
+        *[F.expr(e) for e in EFFECT_SUMS], *[F.max(a).alias(a) for a in GREATEST],
+        F.max("_was_stored").alias("_was_stored"),
+    )
+    marks = summed.select(*MONTHLY_GROUP, "_was_stored")
+    return _valued(summed.drop("_was_stored"), lists, materials).join(marks, MONTHLY_GROUP)
+
+
+# --- sums by warehouse and attributes --------------------------------------------------------------
+
+# Group of the pre-aggregate, and its columns: rows, sums, and rows that have a value.
+SLICE_KEYS = [*MONTH, "directorate", "shop_code", "warehouse_code", "warehouse_type"]
+
+
+def signed_sums(rows: DataFrame, sign: int) -> DataFrame:
+    """What rows of the detail mart add to (1) or take from (-1) the sums of their warehouse.
+
+    A sum is null if no row has a value, so rows with a value are counted as well.
+    """
+    return rows.selectExpr(
+        *SLICE_KEYS, f"{sign}L AS n",
+        *[f"coalesce({m}, 0) * {sign} AS {m}" for m in SUMS],
+        *[f"if({m} IS NULL, 0L, {sign}L) AS n_{m}" for m in SUMS],
+    )
+
+
+def added_sums(signed: DataFrame) -> DataFrame:
+    """One row per warehouse, month and attributes; rows that cancel out are left out."""
+    counts = ["n", *[f"n_{m}" for m in SUMS]]
+    return signed.groupBy(*SLICE_KEYS).agg(
+        *[F.sum(c).cast("long").alias(c) for c in counts],
+        *[F.sum(m).cast("decimal(38,2)").alias(m) for m in SUMS],
+    )
+
+
+def pre_aggregate_of(sums: DataFrame) -> DataFrame:
+    """The pre-aggregate of the levels from stored sums."""
+    return sums.selectExpr(
+        *SLICE_KEYS, "directorate AS max_directorate", "shop_code AS max_shop", "warehouse_type AS max_type",
+        *[f"if(n_{m} = 0, NULL, {m}) AS {m}" for m in SUMS],
+    )
 
 
 def month_names(calendar: DataFrame) -> DataFrame:
@@ -143,16 +261,20 @@ def _pre_aggregate(monthly: DataFrame) -> DataFrame:
     ``directorate``, ``shop_code`` and ``warehouse_type`` come out a second time (``max_…``) as
     attributes of the warehouse level.
     """
-    by = [*MONTH, "directorate", "shop_code", "warehouse_code", "warehouse_type"]
-    summed = monthly.groupBy(*by).agg(*[F.sum(m).alias(m) for m in SUMS])
+    summed = monthly.groupBy(*SLICE_KEYS).agg(*[F.sum(m).alias(m) for m in SUMS])
     return summed.selectExpr(
-        *by, "directorate AS max_directorate", "shop_code AS max_shop", "warehouse_type AS max_type",
+        *SLICE_KEYS, "directorate AS max_directorate", "shop_code AS max_shop", "warehouse_type AS max_type",
         *SUMS,
     )
 
 
 def level_sums(monthly: DataFrame, levels: list[str] | None = None) -> DataFrame:
     """The three sums for each slice of each level, in one pass over the detail mart."""
+    return level_sums_of(_pre_aggregate(monthly), levels)
+
+
+def level_sums_of(aggregated: DataFrame, levels: list[str] | None = None) -> DataFrame:
+    """The same from the pre-aggregate."""
     groups = {
         COMPANY: MONTH,
         DIRECTORATE: [*MONTH, "directorate"],
@@ -161,7 +283,7 @@ def level_sums(monthly: DataFrame, levels: list[str] | None = None) -> DataFrame
     }
     wanted = [groups[x] for x in (levels or LEVELS)]
     by = [*MONTH, "directorate", "shop_code", "warehouse_code"]
-    sets = _pre_aggregate(monthly).groupingSets(wanted, *by).agg(
+    sets = aggregated.groupingSets(wanted, *by).agg(
         F.expr(
             f"CASE WHEN grouping(warehouse_code) = 0 THEN '{WAREHOUSE}' "
             f"WHEN grouping(shop_code) = 0 THEN '{SHOP}' "
@@ -220,8 +342,16 @@ def turnover_metrics(
     monthly: DataFrame, calendar: DataFrame, levels: list[str] | None = None
 ) -> DataFrame:
     """All levels with ratios and month-over-month change."""
-    sums = level_sums(monthly, levels).join(
-        month_names(calendar), ["year_num", "month_num"]
+    return metrics_of(_pre_aggregate(monthly), calendar, levels)
+
+
+def metrics_of(
+    aggregated: DataFrame, calendar: DataFrame, levels: list[str] | None = None
+) -> DataFrame:
+    """The same from the pre-aggregate."""
+    # One row per month of the calendar.
+    sums = level_sums_of(aggregated, levels).join(
+        F.broadcast(month_names(calendar)), ["year_num", "month_num"]
     )
     return with_mom(with_ratios(sums)).select(*METRIC_COLUMNS)
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import safe_ratio
@@ -20,6 +20,12 @@ def layer_counts(layers: dict[tuple[str, str], DataFrame]) -> DataFrame:
     return marks.groupBy("layer", "feed").agg(F.sum("n").alias("n_rows"))
 
 
+def counted_layers(spark: SparkSession, counts: dict[str, int]) -> DataFrame:
+    """The same from counts that the writers of a load kept, by "layer/feed"; no layer is read."""
+    rows = [(*table.split("/", 1), n) for table, n in sorted(counts.items())]
+    return spark.createDataFrame(rows, "layer string, feed string, n_rows long")
+
+
 def quarantine_reasons(quarantine: DataFrame) -> DataFrame:
     """Single reasons of all quarantined rows, with their row counts."""
     whole = quarantine.groupBy("error_reason").agg(F.count("*").alias("n"))

@@ -8,7 +8,8 @@ import pytest
 from saldo.plans import nightly
 from saldo.plans.nightly import Options, run_nightly
 from saldo.sources.delimited import scan
-from saldo.sources.layers import Layers
+from saldo.sources import layers as layers_module
+from saldo.sources.layers import NEWEST, SUM, Layers, Merge
 
 HEADERS = {
     "turnover": "d;s;e;w;m;u;bs;i;x;be",
@@ -186,19 +187,23 @@ def test_only_touched_months_are_written(spark, landing, state):
     first = load(spark, landing, state)
     landing.put("turnover", "t2.csv", f"01.06.2024;{MAY};0101;90;кг;15;0;-3;12")
     second = load(spark, landing, state)
-    april, may = "202404", "202405"
+    april, may = [202404], [202405]
+
+    def stored(layers, table, month):
+        return {layers.folders[table][p] for p in layers.parts(table, month)}
+
     # The clean layer of April was not touched, nor is it read for rows of May.
     assert second.parts("ods/turnover", [202404]) == first.parts("ods/turnover", [202404])
     read = second.read("ods/turnover", second.parts("ods/turnover", [202405]))
     assert all("start_month=202405" in f for f in read.inputFiles())
     for table in ("dwh/fact_inventory", "datamart/inventory_monthly", "datamart/turnover_metrics"):
-        assert second.folders[table][april] == first.folders[table][april], table
-        assert set(second.folders[table]) == {april, may}
+        assert stored(second, table, april) == stored(first, table, april) != set(), table
+        assert set(second.folders[table]) == set(second.parts(table, april + may))
     # A unit that changes brings the months of its material back, and the month after each.
     landing.put("turnover", "t3.csv", f"02.06.2024;{MAY};0102;91;ящ;15;0;-3;12")
     third = load(spark, landing, state)
     for table in ("datamart/inventory_monthly", "datamart/turnover_metrics"):
-        assert third.folders[table][april] != second.folders[table][april], table
+        assert stored(third, table, april) != stored(second, table, april), table
     assert rows(third.read("datamart/inventory_monthly").filter("material_id = 91"), "month_key", "unit") == [
         (202404, "ящ"), (202405, "ящ")]
     assert rows(third.read("dwh/dim_date").selectExpr("min(full_date) AS a", "max(full_date) AS b"), "a", "b") == [
@@ -269,5 +274,114 @@ def test_two_loads_equal_one(spark, landing, state, tmp_path):
         assert as_text(two.read(table), columns) == as_text(one.read(table), columns), table
 
 
+def test_many_small_loads_equal_one(spark, landing, state, tmp_path, monkeypatch):
+    """Later exports, lower prices, a price taken over by none, a version that comes late, compaction."""
+    monkeypatch.setattr(layers_module, "COMPACT_FOLDERS", 2)
+    first_delivery(landing)
+    load(spark, landing, state)
+    landing.put("prices", "p2.csv", f"17.05.2024;{APRIL};90;1", f"17.05.2024;{APRIL};92;5")  # lower than before
+    landing.put("turnover", "t2.csv", f"17.05.2024;{APRIL};0101;92;л;4;0;0;4", f"17.05.2024;{APRIL};115H;90;кг;9;0;-9;0")
+    two = load(spark, landing, state)
+    group = two.read("datamart/inventory_monthly").filter("warehouse_code = '0101' AND material_id = 90")
+    assert rows(group, "price", "balance_end") == [(Decimal("1.00"), Decimal("15.00"))]
+    landing.put("turnover", "t3.csv", f"20.05.2024;{APRIL};0101;90;кг;0;0;0;0", f"01.06.2024;{MAY};0102;91;шт;1;1;0;2")
+    three = load(spark, landing, state)
+    # Changes were written next to what was stored, and put together when they grew too many.
+    assert any("/compacted/" in f for f in three.folders["dwh/fact_inventory"].values())
+    one = load(spark, landing, f"file://{tmp_path}/other")
+    for table in ("datamart/turnover_metrics", "datamart/inventory_monthly", "datamart/warehouse_sums",
+                  "dwh/fact_prices", "dwh/fact_inventory"):
+        columns = one.read(table).columns
+        assert as_text(three.read(table), columns) == as_text(one.read(table), columns), table
+        if "sums" not in table:
+            assert three.numbers[f"rows/{table}"] == three.read(table).count() == one.numbers[f"rows/{table}"], table
+
+
+def test_one_broken_file_of_three(spark, landing, state, monkeypatch):
+    first_delivery(landing)
+    landing.put("turnover", "bad.csv", f"01.06.2024;{MAY};0101;90;кг;15;0;-3;12")
+    landing.put("turnover", "t3.csv", f"01.06.2024;{MAY};0102;91;шт;15;0;-3;12")
+
+    def broken(_spark, feed, paths, *args, **options):
+        if any("bad" in p for p in paths):
+            raise RuntimeError("cut off")
+        return scan(_spark, feed, paths, *args, **options)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(nightly, "scan", broken)
+        with pytest.raises(nightly.FilesFailed, match="bad.csv: cut off"):
+            load(spark, landing, state)
+    layers = Layers(spark, state)
+    registry = layers.read("elt/file_registry").filter("source_type = 'turnover'")
+    assert rows(registry, "file_name", "status", "rows_loaded", "error_message") == [
+        ("bad.csv", "failed", None, "cut off"), ("t.csv", "loaded", 5, None), ("t3.csv", "loaded", 1, None)]
+    assert rows(layers.read("datamart/turnover_metrics").filter("agg_level = 'company'"), "month_key") == [
+        (202404,), (202405,)]
+    # The next night reads the mended file alone.
+    layers = load(spark, landing, state)
+    assert layers.read("elt/file_registry").filter("status <> 'loaded'").count() == 0
+    assert layers.written("staging/turnover") == 1
+
+
+def test_a_failing_step_is_recorded(spark, landing, state, monkeypatch):
+    first_delivery(landing)
+
+    def broken(*_args):
+        raise RuntimeError("no space")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(nightly, "refresh_marts", broken)
+        with pytest.raises(RuntimeError, match="no space"):
+            load(spark, landing, state)
+    layers = Layers(spark, state)
+    steps = {r.step: (r.status, r.message) for r in layers.read("elt/run_steps").collect()}
+    assert steps["marts"] == ("failed", "no space") and steps["facts"] == ("done", None)
+    failed = layers.read("elt/file_registry")
+    assert rows(failed, "file_name", "status", "error_message") == [
+        (name, "failed", "marts: no space") for name in ("p.csv", "registry.csv", "t.csv")]
+    assert not layers.exists("dwh/fact_inventory")
+    assert load(spark, landing, state).read("elt/file_registry").filter("status <> 'loaded'").count() == 0
+
+
+def test_merged_table(spark, tmp_path):
+    """A change writes one small folder; a load that dies in the middle of compaction loses nothing."""
+    root = f"file://{tmp_path}/merged"
+    merge = Merge(NEWEST, ("k",), "k div 100")
+    schema = "k int, v string, _new boolean"
+
+    def change(pairs, commit=True, compact=False):
+        layers = Layers(spark, root)
+        layers.begin()
+        layers.upsert("t", spark.createDataFrame(pairs, schema), merge, "_new")
+        done = layers.compact("t") if compact else []
+        if commit:
+            layers.commit()
+            layers.clean_up()
+        return layers, done
+
+    change([(k, "a", True) for k in range(300)])
+    layers, _ = change([(150, "b", False)])
+    assert len(layers.parts("t", [0, 1, 2])) == 4 and layers.numbers["rows/t"] == 300
+    written = [p for p in (tmp_path / "merged/t/batch=2").rglob("*.parquet")]
+    assert len(written) == 1
+    assert spark.read.parquet(f"file://{written[0]}").count() == 1
+    _, compacted = change([(k, "c", False) for k in range(100, 200)], commit=False, compact=True)
+    assert compacted == ["1"]  # and then the load dies
+    stored = {r.k: r.v for r in Layers(spark, root).read("t").collect()}
+    assert len(stored) == 300 and stored[150] == "b" and stored[151] == "a"
+    layers, compacted = change([(150, "d", False), (999, "e", True)], compact=True)
+    for _ in range(3):  # the old folders are gone when no kept record names them
+        layers, _ = change([(7, "f", False)])
+    stored = {r.k: r.v for r in layers.read("t").collect()}
+    assert len(stored) == 301 == layers.numbers["rows/t"] and stored[150] == "d" and stored[7] == "f"
+    with pytest.raises(ValueError):
+        layers.upsert("t", spark.createDataFrame([(1, "x", True)], schema), Merge(NEWEST, ("v",), "1"))
+    sums = Merge(SUM, ("k",), "k div 100")
+    for n, v in ((1, 5), (1, 7), (-2, -12)):
+        layers.upsert("s", spark.createDataFrame([(1, n, v), (2, 1, 1)], "k int, n long, v long"), sums, "false")
+        layers.commit()
+    assert rows(Layers(spark, root).read("s"), "k", "n", "v") == [(2, 3, 3)]
+
+
 def as_text(frame, columns):
     return sorted(str(tuple(r)) for r in frame.select(*columns).collect())
