@@ -599,6 +599,7 @@ oracle("price_lookup", f"""
   SELECT {_INVENTORY_KEY}, balance_end, price
   FROM fact_inventory LEFT JOIN fact_prices USING (date_key_start, date_key_end, material_id)
 """)
+BLOCKS["both_loads"] = "SELECT * EXCLUDE (action) FROM upserted"
 BLOCKS["star"] = """
   SELECT f.date_key_start, f.date_key_end, d.year_num, d.month_num, f.warehouse_code,
          coalesce(v.directorate, 'Не определена') AS directorate,
@@ -678,6 +679,24 @@ BLOCKS["metrics"] = f"""
    AND make_date(b.year_num, b.month_num, 1) = make_date(m.year_num, m.month_num, 1) - INTERVAL 1 MONTH
 """
 oracle("turnover_metrics", "SELECT * FROM metrics")
+# The same blocks over the facts that two loads leave: both versions of a period stay.
+_MART = ["star", "monthly_sums", "monthly", "offered", "level_sums", "metrics_now", "metrics"]
+for _block in _MART:
+    _sql = BLOCKS[_block].replace("fact_inventory", "both_loads")
+    BLOCKS[f"two_{_block}"] = re.sub(rf"\b({'|'.join(_MART)})\b", r"two_\1", _sql)
+MATERIALIZED |= {"two_monthly", "two_metrics_now"}
+oracle("nightly_two_loads", "SELECT * FROM two_metrics")
+oracle("nightly_counts", """
+  SELECT 'ods' AS layer, 'turnover' AS feed, count(*) AS n_rows FROM ods_turnover
+  UNION ALL SELECT 'ods', 'prices', count(*) FROM ods_prices
+  UNION ALL SELECT 'ods', 'warehouses', count(*) FROM ods_warehouses
+  UNION ALL SELECT 'dwh', 'dim_material', count(*) FROM master
+  UNION ALL SELECT 'dwh', 'dim_warehouse', count(*) FROM versions
+  UNION ALL SELECT 'dwh', 'fact_inventory', count(*) FROM both_loads
+  UNION ALL SELECT 'dwh', 'fact_prices', count(*) FROM fact_prices
+  UNION ALL SELECT 'datamart', 'inventory_monthly', count(*) FROM two_monthly
+  UNION ALL SELECT 'datamart', 'turnover_metrics', count(*) FROM two_metrics
+""")
 oracle("vw_turnover_metrics", "SELECT * FROM metrics")
 for _level in ("company", "directorate", "shop", "warehouse"):
     oracle(f"metrics_{_level}", f"SELECT * FROM metrics WHERE agg_level = '{_level}'")

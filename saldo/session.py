@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Months of a table are folders of their own; listing them is no job as long as they are few.
+    "spark.sql.sources.parallelPartitionDiscovery.threshold": "1000",
     "spark.ui.enabled": "false",
 }
 
