@@ -17,6 +17,7 @@ from ..plans.nightly import FEED_ORDER, Options, run_nightly
 from ..schemas import BUSINESS_KEYS, FEED_COLUMNS, MONEY, QUANTITIES, WAREHOUSE_ATTRIBUTES
 from ..session import scratch_path
 from ..sources import delimited, files
+from ..sources.keyindex import KeyIndex, Segment
 from ..sources.layers import Layers
 from .feeds import Feeds
 
@@ -294,9 +295,20 @@ def quarantine_new(f):
 def ods_new(f):
     """Clean rows of a later load: their key must be new to the clean layer as well."""
     checked = _checked(f, "turnover")
-    stored = rules.split_valid(checked.filter(EARLIER), "turnover")
+    keys = BUSINESS_KEYS["turnover"]
+    stored = f.store("ods-keys", rules.split_valid(checked.filter(EARLIER), "turnover").select(*keys).distinct())
+    index = KeyIndex(f.spark, keys, buckets=8)
+    for part in (0, 1):  # as two loads left them
+        index.add(
+            stored.filter(f"material_id % 2 = {part}"),
+            Segment(scratch_path(f.spark, "keys"), scratch_path(f.spark, "filter")),
+        )
     later = checked.filter(f"NOT ({EARLIER})")
-    return rules.split_valid(dedup.flag_duplicates(later, "turnover", stored), "turnover")
+    flagged = dedup.flag_duplicates(
+        later, "turnover", lambda rows: index.known(rows, lambda some: f.store("candidates", some)),
+        lambda first: f.store("first", first),
+    )
+    return rules.split_valid(flagged, "turnover")
 
 
 # --- dimensions --------------------------------------------------------------------------------

@@ -1,13 +1,15 @@
 """First delivery of a business key wins; nothing is ever ranked inside one big group.
 
 The winner of a key is a plain minimum, combined on the map side together with a count. Only keys
-that occur again, or that the clean layer holds already, are joined back to the rows. Of these, hot
-keys are known by their count and are broadcast, so a key that was delivered a billion times costs
-no single task more than any other key.
+that occur again, or that the clean layer holds already (see ``sources/keyindex.py``), meet the rows
+again. They are usually few and are broadcast. Where they are many, adaptive execution splits
+the partition of a key that was delivered very often. So the rows are read twice, whatever they hold.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,57 +17,45 @@ from ..schemas import BUSINESS_KEYS
 from .rules import DUPLICATE
 
 
-# Rows from which a key counts as hot; no table has more hot keys than its rows over this number.
-HOT_ROWS = 1_000_000
-
-
 def first_loads(rows: DataFrame, keys: list[str]) -> DataFrame:
     """One row per key: the key, the lowest load_id and the number of rows."""
     return rows.groupBy(*keys).agg(F.min("load_id").alias("first"), F.count("*").alias("n"))
 
 
-def in_clean(winners: DataFrame, clean_layer: DataFrame, keys: list[str]) -> DataFrame:
-    """Keys of this batch that the clean layer holds already.
+def losing_keys(
+    checked: DataFrame, feed: str, known_keys: Callable[[DataFrame], DataFrame] | None = None,
+    keep: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
+    """Keys of sound rows that hold duplicates, with ``first``: the load_id that is none, null if all are.
 
-    The stored layer is narrowed to the keys of this batch. A small batch is then broadcast by
-    size, and the stored layer is scanned without a shuffle.
+    ``known_keys`` gives those of some distinct keys that the clean layer holds already, each once. ``keep``
+    stores the first loads, which are then needed twice.
     """
-    return clean_layer.select(*keys).join(winners.select(*keys), keys, "left_semi").distinct()
+    keys = BUSINESS_KEYS[feed]
+    winners = first_loads(checked.filter("error_reason IS NULL"), keys)
+    if known_keys is None:
+        return winners.filter("n > 1").select(*keys, "first")
+    winners = keep(winners) if keep else winners
+    known = known_keys(winners.select(*keys)).withColumn("known", F.lit(True))
+    return winners.join(known, keys, "left").filter("known OR n > 1").selectExpr(
+        *keys, "if(known, cast(NULL AS long), first) AS first"
+    )
 
 
-def duplicate_loads(
-    checked: DataFrame, feed: str, clean_layer: DataFrame | None = None
-) -> DataFrame:
-    """load_id of every sound row that is not the first of its key."""
+def mark_duplicates(checked: DataFrame, feed: str, losing: DataFrame) -> DataFrame:
+    """Sound rows of these keys, but the first one, get the reason; other rows keep theirs."""
     keys = BUSINESS_KEYS[feed]
-    sound = checked.filter("error_reason IS NULL").select("load_id", *keys)
-    winners = first_loads(sound, keys)
-    if clean_layer is None:
-        losing = winners.filter("n > 1")
-    else:
-        known = in_clean(winners, clean_layer, keys).withColumn("known", F.lit(True))
-        losing = winners.join(known, keys, "left").filter("known OR n > 1").selectExpr(
-            *keys, "if(known, cast(NULL AS long), first) AS first", "n"
-        )
-    rest = sound.join(losing.filter(f"n <= {HOT_ROWS}"), keys)
-    hot = sound.join(F.broadcast(losing.filter(f"n > {HOT_ROWS}")), keys)  # few by their count
-    return rest.unionByName(hot).filter("first IS NULL OR load_id <> first").select("load_id")
-
-
-def mark_duplicates(checked: DataFrame, duplicates: DataFrame) -> DataFrame:
-    """Duplicates get their reason. They are usually few, then the rows need no shuffle."""
-    marks = duplicates.select("load_id", F.lit(DUPLICATE).alias("repeated"))
-    return (
-        checked.join(marks, "load_id", "left")
-        .withColumn("error_reason", F.coalesce("error_reason", "repeated"))
-        .drop("repeated")
-    )
+    repeated = "error_reason IS NULL AND _mark AND (first IS NULL OR load_id <> first)"
+    marked = checked.join(losing.select(*keys, "first", F.lit(True).alias("_mark")), keys, "left")
+    reason = f"if({repeated}, '{DUPLICATE}', error_reason) AS error_reason"
+    return marked.selectExpr(*[c if c != "error_reason" else reason for c in checked.columns])
 
 
 def flag_duplicates(
-    checked: DataFrame, feed: str, clean_layer: DataFrame | None = None
+    checked: DataFrame, feed: str, known_keys: Callable[[DataFrame], DataFrame] | None = None,
+    keep: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
-    return mark_duplicates(checked, duplicate_loads(checked, feed, clean_layer))
+    return mark_duplicates(checked, feed, losing_keys(checked, feed, known_keys, keep))
 
 
 def unseen(rows: DataFrame, stored: DataFrame, keys: list[str]) -> DataFrame:
