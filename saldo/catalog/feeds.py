@@ -38,6 +38,8 @@ LINE_COLUMNS = [
     "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount",
     "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
 ]
+# Documents per exported text file, and lines per block of its digest.
+BUNDLE, BUNDLE_LINES = 100, 50
 # Planted parts have numbers above this, planted codes begin with this.
 UNPRICED, UNREGISTERED = 1_000_000_000, "X"
 # Numbers of lines within an order stay below this.

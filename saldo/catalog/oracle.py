@@ -10,7 +10,7 @@ import re
 
 from ..operators.calendar import MONTH_NAMES
 from .feeds import (
-    CUT_DAYS, LINE_COLUMNS, LINES_PER_ORDER, LOADED_UNTIL, SNAPSHOT_DAYS, UNPRICED, UNREGISTERED,
+    BUNDLE, BUNDLE_LINES, CUT_DAYS, LINE_COLUMNS, LINES_PER_ORDER, LOADED_UNTIL, SNAPSHOT_DAYS, UNPRICED, UNREGISTERED,
 )
 
 BLOCKS: dict[str, str] = {}
@@ -338,9 +338,27 @@ oracle("stale_outputs", """
   SELECT DISTINCT strftime(o_orderdate, '%Y-%m') AS stem FROM orders WHERE month(o_orderdate) % 5 = 0
 """)
 BLOCKS["document_prints"] = """
-  SELECT doc_id, '/import/' || doc_id || '.csv' AS file_path, sha256(text) AS file_hash,
-         octet_length(encode(text)) AS file_size_bytes FROM documents
-"""
+  SELECT doc_id, '/import/' || doc_id || '.csv' AS file_path, octet_length(encode(text)) AS file_size_bytes,
+         sha256(octet_length(encode(text)) || '|' || n || '|' || CASE WHEN n = 0 THEN '' ELSE sha256(
+           list_aggregate([sha256(x) FOR x IN string_split(text, chr(10))][:n], 'string_agg', '')) END) AS file_hash
+  FROM (SELECT doc_id, text, len(string_split(text, chr(10)))
+               - CASE WHEN text = '' OR ends_with(text, chr(10)) THEN 1 ELSE 0 END AS n FROM documents) AS d
+"""
+BLOCKS["bundle_lines"] = f"""
+  SELECT bundle, row_number() OVER (PARTITION BY bundle ORDER BY doc_id, place) - 1 AS i, line
+  FROM (SELECT doc_id // {BUNDLE} AS bundle, doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+               generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS place FROM documents) AS l
+"""
+BLOCKS["bundle_blocks"] = f"""
+  SELECT bundle, i // {BUNDLE_LINES} AS block, sha256(string_agg(sha256(line), '' ORDER BY i)) AS digest,
+         count(*) AS n, sum(octet_length(encode(line)) + 1) AS bytes
+  FROM bundle_lines GROUP BY ALL
+"""
+oracle("file_fingerprint_large", """
+  SELECT bundle, sum(bytes) AS file_size_bytes,
+         sha256(sum(bytes) || '|' || sum(n) || '|' || string_agg(digest, '' ORDER BY block)) AS file_hash
+  FROM bundle_blocks GROUP BY bundle
+""")
 BLOCKS["document_registry"] = """
   SELECT 'documents' AS source_type, doc_id || '.csv' AS file_name, file_path,
          CASE WHEN doc_id % 5 = 1 THEN repeat('0', 64) ELSE file_hash END AS file_hash,

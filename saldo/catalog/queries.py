@@ -19,7 +19,7 @@ from ..session import scratch_path
 from ..sources import delimited, files
 from ..sources.keyindex import KeyIndex, Segment
 from ..sources.layers import Layers
-from .feeds import Feeds
+from .feeds import BUNDLE, BUNDLE_LINES, Feeds
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -132,7 +132,7 @@ def _whole_registry(f: Feeds) -> DataFrame:
         "'documents' AS source_type",
         "element_at(split(path, '/'), -1) AS file_name",
         "path AS file_path",
-        f"if({kind} = 1, repeat('0', 64), sha2(content, 256)) AS file_hash",
+        f"if({kind} = 1, repeat('0', 64), {files.content_digest('content', 'length')}) AS file_hash",
         "bigint(length) AS file_size_bytes",
         f"CASE {kind} WHEN 2 THEN 'failed' WHEN 3 THEN 'pending' ELSE 'loaded' END AS status",
         "1L AS rows_loaded",
@@ -157,6 +157,23 @@ def file_fingerprint(f):
     return files.fingerprint(_documents(f))
 
 
+@query("file_fingerprint_large")
+def file_fingerprint_large(f):
+    """Digests of text files with a hundred documents each, read in pieces by many tasks."""
+    folder = scratch_path(f.spark, "bundles")
+    bundled = f.table("documents").selectExpr(
+        f"doc_id div {BUNDLE} AS bundle", "doc_id", "coalesce(text, '') AS value"
+    )
+    bundled.repartition("bundle").sortWithinPartitions("bundle", "doc_id").drop("doc_id").write.partitionBy(
+        "bundle"
+    ).option("lineSep", "\n").text(folder)
+    found = files.list_files(f.spark, folder, "*.txt", recursive=True)
+    prints = files.fingerprint_large(found, lambda lines: f.store("lines", lines), BUNDLE_LINES)
+    return prints.selectExpr(
+        r"int(regexp_extract(file_path, 'bundle=([0-9]+)', 1)) AS bundle", "file_hash", "file_size_bytes"
+    )
+
+
 query("file_decision")(_decided)
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,7 +29,7 @@ def list_files(
 ) -> DataFrame:
     """path, modificationTime, length, content of the matching files directly in the folder.
 
-    ``content`` is only read if a query uses it.
+    ``content`` is only read if a query uses it. Empty files hold nothing to load and are not listed.
     """
     files = (
         spark.read.format("binaryFile")
@@ -38,41 +40,83 @@ def list_files(
     return files.withColumn("path", plain_path(F.col("_metadata.file_path")))
 
 
-# Files from this size on are not held in one row; binary content ends at 2 GiB anyway.
-LARGE = 1 << 30
+# One digest rule for files of any size. Lines end at line feeds. SHA-256 of each line, in blocks of so many
+# lines; SHA-256 of a block's hex digests in their order; SHA-256 of "size|lines|digests of the blocks".
+BLOCK_LINES = 65_536
+# Files from this size on are read by many tasks; the digest is the same.
+LARGE = 16 << 20
+
+
+def content_digest(content: str, length: str, block_lines: int = BLOCK_LINES) -> str:
+    """SQL for the digest of a file that is one binary value."""
+    # Latin-1 stands for the bytes as they are, of whatever encoding. Like Spark's line reader, it takes a
+    # byte-order mark of UTF-8 off, and no line begins after the last line feed.
+    text = f"regexp_replace(decode({content}, 'ISO-8859-1'), '^\u00ef\u00bb\u00bf', '')"
+    cut = f"split({text}, '\n', -1)"
+    lines = f"if(endswith({text}, '\n') OR {text} = '', slice({cut}, 1, size({cut}) - 1), {cut})"
+    digests = f"transform({lines}, line -> sha2(encode(line, 'ISO-8859-1'), 256))"
+    numbered = f"struct({digests} AS d)"
+    blocks = (
+        f"transform(array({numbered}), x -> named_struct('n', size(x.d), 'b', if(size(x.d) = 0, array(''), "
+        f"transform(sequence(0, (size(x.d) - 1) div {block_lines}), "
+        f"i -> sha2(concat_ws('', slice(x.d, int(i * {block_lines} + 1), {block_lines})), 256)))))[0]"
+    )
+    return (
+        f"transform(array({blocks}), f -> sha2(concat_ws('|', {length}, f.n, concat_ws('', f.b)), 256))[0]"
+    )
 
 
-def fingerprint(files: DataFrame) -> DataFrame:
-    """SHA-256 and byte length of each file."""
+def fingerprint(files: DataFrame, block_lines: int = BLOCK_LINES) -> DataFrame:
+    """Digest and byte length of files whose content is one value."""
     return files.select(
         F.col("path").alias("file_path"),
-        F.sha2("content", 256).alias("file_hash"),
+        F.expr(content_digest("content", "length", block_lines)).alias("file_hash"),
         F.col("length").cast("long").alias("file_size_bytes"),
     )
 
 
-def fingerprint_large(files: DataFrame) -> DataFrame:
-    """The same for large text files, read in blocks by many tasks.
+def fingerprint_large(
+    files: DataFrame, keep: Callable[[DataFrame], DataFrame] | None = None, block_lines: int = BLOCK_LINES
+) -> DataFrame:
+    """The same, each file read by many tasks.
 
-    The hash stands for the number of lines and two sums of line hashes, so it does not depend on
-    how the file is cut. It does not tell files apart that have the same lines in another order.
+    Lines are numbered from counts per piece of a file. Only digests are moved, to one task per block
+    of lines. ``keep`` stores them, else files are read once more for the counts. A line has to fit a row.
     """
     spark = files.sparkSession
     paths = [r.path for r in files.select("path").collect()]  # one short path per LARGE bytes
     sizes = files.select(F.col("path").alias("file_path"), F.col("length").cast("long").alias("file_size_bytes"))
     if not paths:
         return sizes.selectExpr("file_path", "cast(NULL AS string) AS file_hash", "file_size_bytes")
-    lines = spark.read.option("lineSep", "\n").text(paths)
-    lines = lines.select(plain_path(F.col("_metadata.file_path")).alias("file_path"), "value")
-    sums = lines.groupBy("file_path").agg(
-        F.count("*").alias("n"), F.sum(F.xxhash64("value").cast("decimal(20,0)")).alias("plain"),
-        F.bit_xor(F.xxhash64("value", F.lit(1))).alias("mixed"),
+    lines = spark.read.option("lineSep", "\n").text(paths).select(
+        plain_path(F.col("_metadata.file_path")).alias("file_path"),
+        F.col("_metadata.file_block_start").alias("piece"), F.monotonically_increasing_id().alias("row"),
+        F.sha2(F.col("value").cast("binary"), 256).alias("digest"),
+    )
+    lines = keep(lines) if keep else lines
+    pieces = lines.groupBy("file_path", "piece").agg(F.min("row").alias("first"), F.count("*").alias("n"))
+    before = "sum(n) OVER (PARTITION BY file_path ORDER BY piece) - n AS before"
+    numbered = lines.join(pieces.selectExpr("file_path", "piece", "first", before), ["file_path", "piece"])
+    numbered = numbered.selectExpr("file_path", "digest", "before + row - first AS i")
+
+    def in_order(number: str) -> str:
+        pairs = f"sort_array(collect_list(struct({number} AS i, digest)))"
+        return f"concat_ws('', transform({pairs}, p -> p.digest))"
+
+    blocks = numbered.groupBy("file_path", F.expr(f"i div {block_lines}").alias("b")).agg(
+        F.expr(f"sha2({in_order('i')}, 256)").alias("digest"), F.count("*").alias("n")
+    )
+    whole = blocks.groupBy("file_path").agg(F.expr(in_order("b")).alias("blocks"), F.sum("n").alias("n"))
+    digest = F.concat_ws("|", "file_size_bytes", F.coalesce("n", F.lit(0)), F.coalesce("blocks", F.lit("")))
+    return sizes.join(whole, "file_path", "left").select(
+        "file_path", F.sha2(digest, 256).alias("file_hash"), "file_size_bytes"
     )
-    digest = F.sha2(F.concat_ws("|", F.coalesce("n", F.lit(0)), "plain", "mixed"), 256)
-    return sizes.join(sums, "file_path", "left").select("file_path", digest.alias("file_hash"), "file_size_bytes")
 
 
-def fingerprint_delivered(files: DataFrame, registry: DataFrame, large: int = LARGE) -> DataFrame:
+def fingerprint_delivered(
+    files: DataFrame, registry: DataFrame, large: int = LARGE,
+    keep: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
     """Fingerprints and modified_at of a listing, with as little reading as it takes.
 
     A file that was loaded with the same size and time of change keeps its stored hash unread.
@@ -85,7 +129,7 @@ def fingerprint_delivered(files: DataFrame, registry: DataFrame, large: int = LA
     seen = listed.join(known, ["path", "length", "modificationTime"])
     changed = files.join(seen.select("path"), "path", "left_anti")
     prints = fingerprint(changed.filter(F.col("length") < large)).unionByName(
-        fingerprint_large(changed.filter(F.col("length") >= large))
+        fingerprint_large(changed.filter(F.col("length") >= large), keep)
     ).unionByName(seen.selectExpr("path AS file_path", "known_hash AS file_hash", "length AS file_size_bytes"))
     times = listed.selectExpr("path AS file_path", "modificationTime AS modified_at")
     return prints.join(times, "file_path")

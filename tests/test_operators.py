@@ -377,6 +377,39 @@ def test_files_round_trip(spark, tmp_path):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
+def test_one_digest_for_files_of_any_size(spark, tmp_path):
+    """Whole or in pieces, whatever the bytes; and other orders of lines are other files."""
+    import hashlib
+
+    lines = [b"%d;" % i + b"x" * (i % 7) for i in range(3000)]
+    contents = {
+        "feed": b"\n", "feeds": b"\n\n\n", "open": b"a\n\nb", "closed": b"a\n\nb\n", "crlf": b"a\r\nb\r\n",
+        "wild": bytes(range(256)) * 40, "utf16": "a;Њ\nб\n".encode("utf-16"), "mark": b"\xef\xbb\xbfa\nb",
+        "lines": b"\n".join(lines), "turned": b"\n".join(lines[::-1]),
+    }
+    for name, content in contents.items():
+        (tmp_path / name).write_bytes(content)
+
+    def plain(content):
+        cut = content.removeprefix(b"\xef\xbb\xbf").split(b"\n")
+        cut = cut[:-1] if cut[-1] == b"" else cut
+        digests = [hashlib.sha256(line).hexdigest() for line in cut]
+        blocks = [hashlib.sha256("".join(digests[i : i + 64]).encode()).hexdigest() for i in range(0, len(digests), 64)]
+        return hashlib.sha256(f"{len(content)}|{len(digests)}|{''.join(blocks)}".encode()).hexdigest()
+
+    wanted = sorted((name, plain(content), len(content)) for name, content in contents.items())
+    assert len({digest for _, digest, _ in wanted}) == len(contents)
+    found = files.list_files(spark, f"file://{tmp_path}", "*")
+    for limit in ("1000", "1000000"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", limit)
+        try:
+            for prints in (files.fingerprint(found, 64), files.fingerprint_large(found, block_lines=64)):
+                got = sorted((r.file_path.rsplit("/", 1)[-1], r.file_hash, r.file_size_bytes) for r in prints.collect())
+                assert got == wanted
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_stale_outputs(spark, tmp_path):
     for name, stamp in (("in/a.dat", 100), ("in/b.dat", 300), ("in/c.dat", 100),
                         ("out/a.csv", 200), ("out/b.csv", 200)):
