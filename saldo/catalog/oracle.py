@@ -327,6 +327,9 @@ _PRICE_LINE = " || ';' || ".join(COLUMNS["prices"])
 oracle("export_delimited", f"""
   SELECT {_PRICE_LINE} AS line, count(*) AS n FROM raw_prices GROUP BY ALL
 """)
+oracle("scan_quoted", """
+  SELECT doc_id, sha256(nullif(text, '')) AS digest, length(nullif(text, '')) AS n_chars FROM documents
+""")
 oracle("staging_append", """
   SELECT count(*) AS n_rows, count(DISTINCT load_id) AS highest, 0 AS n_without_file,
          1 AS is_in_order FROM raw_turnover

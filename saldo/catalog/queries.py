@@ -58,6 +58,22 @@ for _feed in FEED_COLUMNS:
     query(f"scan_{_feed}")(_scan(_feed))
 
 
+@query("scan_quoted")
+def scan_quoted(f):
+    """Documents as cells with line breaks and quotes; the files are read in pieces."""
+    folder = scratch_path(f.spark, "quoted")
+    others = [f"cast(NULL AS string) AS {c}" for c in FEED_COLUMNS["warehouses"][:-2]]
+    cells = f.table("documents").selectExpr(*others, "string(doc_id) AS mol_id", "text AS mol_position")
+    delimited.export(cells, "warehouses", folder)
+    rows = delimited.scan(
+        f.spark, "warehouses", folder, quoted_breaks=True, keep=lambda lines: f.store("quoted-lines", lines)
+    )
+    return rows.selectExpr(
+        "bigint(mol_id) AS doc_id", "sha2(encode(mol_position, 'utf-8'), 256) AS digest",
+        "char_length(mol_position) AS n_chars",
+    )
+
+
 @query("export_delimited")
 def export_delimited(f):
     """What the written files hold, as plain text lines."""

@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..schemas import feed_columns, raw_schema
 from .files import plain_path
+from .quoted import PIECE, scan_quoted
+from .quoted import ROW as PLACE
 
 _FORM = {"sep": ";", "quote": '"', "escape": '"', "header": "true"}
 _KEEP_BLANKS = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
+_OPTIONS = {k: v for k, v in {**_FORM, **_KEEP_BLANKS}.items() if k != "header"}
+
 
 def scan(
     spark: SparkSession,
@@ -19,14 +25,21 @@ def scan(
     encoding: str = "UTF-16LE",
     splittable: bool = True,
     positions: bool = False,
+    quoted_breaks: bool = False,
+    keep: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """All columns as text, plus ``file_name``.
 
-    Large files are cut at line ends; that is for UTF-16LE, with or without a byte-order mark, and
-    no line breaks inside quotes. Other files need ``splittable=False`` and are read by one task
+    Large files are cut at line ends; that is for UTF-16LE, with or without a byte-order mark. If cells may
+    hold line breaks inside quotes, ``quoted_breaks`` finds out which line ends end a row; ``keep`` then
+    stores the lines on the way. Files in another byte order need ``splittable=False`` and are read by one task
     each; then ``encoding="UTF-16"`` follows the byte-order mark. ``positions`` adds the place of
     each row, for ``with_load_id``.
     """
+    if quoted_breaks and splittable:
+        rows = scan_quoted(spark, paths, raw_schema(feed).simpleString()[7:-1].replace(":", " "), _OPTIONS, keep)
+        place = [F.col(PIECE).alias(BLOCK), F.col(PLACE).cast("long").alias(ROW)]
+        return rows.select("file_name", *(place if positions else []), *feed_columns(feed))
     reader = spark.read.schema(raw_schema(feed)).options(
         **_FORM, **_KEEP_BLANKS, enforceSchema="true", mode="PERMISSIVE"
     )
