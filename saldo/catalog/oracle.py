@@ -707,6 +707,7 @@ for _block in _MART:
     BLOCKS[f"two_{_block}"] = re.sub(rf"\b({'|'.join(_MART)})\b", r"two_\1", _sql)
 MATERIALIZED |= {"two_monthly", "two_metrics_now"}
 oracle("nightly_two_loads", "SELECT * FROM two_metrics")
+oracle("stream_load", "SELECT * FROM metrics")
 oracle("nightly_counts", """
   SELECT 'ods' AS layer, 'turnover' AS feed, count(*) AS n_rows FROM ods_turnover
   UNION ALL SELECT 'ods', 'prices', count(*) FROM ods_prices

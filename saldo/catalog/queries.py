@@ -19,6 +19,7 @@ from ..session import scratch_path
 from ..sources import delimited, files
 from ..sources.keyindex import KeyIndex, Segment
 from ..sources.layers import Layers
+from ..streaming.landing import load_stream
 from .feeds import BUNDLE, BUNDLE_LINES, Feeds
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -634,6 +635,16 @@ def nightly_two_loads(f):
     return _two_loads(f).read("datamart/turnover_metrics").select(*marts.METRIC_COLUMNS)
 
 
+@query("stream_load")
+def stream_load(f):
+    """The mart after everything delivered was loaded by the file stream."""
+    landing, state = scratch_path(f.spark, "landing"), scratch_path(f.spark, "state")
+    for feed in FEED_ORDER:
+        delimited.export(getattr(f, feed), feed, f"{landing}/{feed}")
+    layers = load_stream(f.spark, landing, state, scratch_path(f.spark, "checkpoint"), Options(*f.bounds))
+    return layers.read("datamart/turnover_metrics").select(*marts.METRIC_COLUMNS)
+
+
 @query("nightly_counts")
 def nightly_counts(f):
     """Rows per layer as the second load reports them; they were counted while they were written."""

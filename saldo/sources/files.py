@@ -25,9 +25,9 @@ def plain_path(path: Column) -> Column:
 
 
 def list_files(
-    spark: SparkSession, folder: str, pattern: str = "*.csv", recursive: bool = False
+    spark: SparkSession, folder: str | list[str], pattern: str = "*.csv", recursive: bool = False
 ) -> DataFrame:
-    """path, modificationTime, length, content of the matching files directly in the folder.
+    """path, modificationTime, length, content of the matching files directly in the folder, or of files.
 
     ``content`` is only read if a query uses it. Empty files hold nothing to load and are not listed.
     """

@@ -9,6 +9,7 @@ from saldo.plans import nightly
 from saldo.plans.nightly import Options, run_nightly
 from saldo.sources.delimited import scan
 from saldo.sources import layers as layers_module
+from saldo.streaming import landing as stream
 from saldo.sources.layers import NEWEST, SUM, Layers, Merge
 
 HEADERS = {
@@ -323,6 +324,41 @@ def test_one_broken_file_of_three(spark, landing, state, monkeypatch):
     assert layers.written("staging/turnover") == 1
 
 
+def test_stream_loads_each_file_once(spark, landing, state, tmp_path, monkeypatch):
+    """One load per micro-batch; runs die before and after the commit of a load."""
+    first_delivery(landing)
+    landing.put("turnover", "t2.csv", f"01.06.2024;{MAY};0101;90;кг;15;0;-3;12")
+    (landing.root / "turnover" / "note.txt").write_text("x")
+    place = (spark, f"file://{landing.root}", state, f"file://{tmp_path}/checkpoint")
+
+    def dies(before):
+        def run(*args):
+            if not before:
+                run_nightly(*args)
+            raise ValueError("died")
+
+        with monkeypatch.context() as patch:
+            patch.setattr(stream, "run_nightly", run)
+            with pytest.raises(Exception, match="died"):
+                stream.load_stream(*place)
+
+    dies(before=True)
+    assert Layers(spark, state).batch == 0
+    dies(before=False)
+    layers = stream.load_stream(*place)
+    assert rows(layers.read("elt/file_registry"), "file_name", "status", "rows_loaded") == [
+        ("p.csv", "loaded", 2), ("registry.csv", "loaded", 2), ("t.csv", "loaded", 5), ("t2.csv", "loaded", 1)]
+    assert layers.read("staging/turnover").count() == 6
+    done = layers.batch
+    assert stream.load_stream(*place).batch == done  # nothing new
+    landing.put("turnover", "t3.csv", f"01.06.2024;{MAY};0102;91;шт;15;0;-3;12")
+    layers = stream.load_stream(*place)
+    assert layers.batch > done
+    assert layers.read("staging/turnover").count() == 7
+    steps = {r.step for r in layers.read("elt/run_steps").collect()}
+    assert "take turnover" in steps and not any(s.startswith("decide") for s in steps)
+
+
 def test_a_failing_step_is_recorded(spark, landing, state, monkeypatch):
     first_delivery(landing)
 
