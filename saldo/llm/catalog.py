@@ -17,7 +17,7 @@ from saldo.llm.jaccard import near_duplicates
 from saldo.llm.mihash import top_k, with_code
 from saldo.llm.mixing import mix
 from saldo.llm.pii import pseudonymise
-from saldo.llm.quality import quality
+from saldo.llm.quality import learn, quality
 from saldo.llm.repeats import without_repeats
 from saldo.llm.tokencount import token_counts
 from saldo.llm.urlfilter import ALLOW, BLOCK, SOFT, STRICT, judge_urls
@@ -36,7 +36,8 @@ def query(function):
 
 @query
 def op1_compression_bands(spark: SparkSession, folder: str) -> DataFrame:
-    return quality(documents(spark, folder).select("doc_id", "text")).drop("text")
+    docs = documents(spark, folder).select("doc_id", "text")
+    return quality(docs, bands=learn(docs)).drop("text")
 
 
 @query

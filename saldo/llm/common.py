@@ -34,6 +34,29 @@ def free_name(frame: DataFrame, wanted: str) -> str:
     return wanted
 
 
+def set_aside(
+    frame: DataFrame, names: list[str], work: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
+    """work(frame) without its columns of these names, and with those that the frame itself had by them.
+
+    For an operator whose results are needed only inside ``work``: what it adds goes, and a column of the
+    frame that has such a name, whatever its case, stays.
+    """
+    wanted = {n.lower() for n in names}
+    hidden = {}
+    hiding = frame
+    for column in frame.columns:
+        if column.lower() in wanted:
+            hidden[column] = free_name(hiding, "aside_" + column)
+            hiding = hiding.withColumnRenamed(column, hidden[column])
+    done = work(hiding)
+    left = [c for c in done.columns if c.lower() not in wanted]
+    back = {new: old for old, new in hidden.items()}
+    order = {c: i for i, c in enumerate(frame.columns)}
+    left.sort(key=lambda c: order.get(back.get(c, c), len(order)))
+    return done.select(*[F.col(f"`{c}`").alias(back.get(c, c)) for c in left])
+
+
 def n_words(text) -> F.Column:
     """Words of a text; 0 for null."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

@@ -28,6 +28,7 @@ SENT_ROWS = 4_000_000
 #: Characters handled at once, which bounds a task's memory.
 AT_ONCE = 1 << 20
 _BITS, _PAIR = 21, 1 << 42
+FOREIGN = "a document is not part of the background"
 
 
 def trigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -112,9 +113,9 @@ def score(docs: DataFrame, model: DataFrame, text: str = "text", sent_rows: int
     """docs with n_tokens (characters), target_loss, background_loss and score, means per character.
 
     Null and empty texts have 0 tokens and null losses and score. All rows and columns stay; columns
-    named like a result are replaced by it. A trigram that the model lacks is an error in the
-    first way and counts as loss 0 for both models in the second; neither occurs for documents of
-    the background.
+    named like a result are replaced by it. The size of the model decides whether it is sent or joined, the
+    result is the same: a trigram that the model lacks is an error in both ways, as the document is no
+    part of the background then.
     """
     model = stored(model, "losses")
     if model.count() <= sent_rows:
@@ -150,7 +151,7 @@ def _score_sent(docs: DataFrame, model: DataFrame, text: str) -> DataFrame:
                 own, place = np.unique(grams, return_inverse=True)
                 at = np.searchsorted(known, own)
                 if at.max() >= len(known) or not (known[at] == own).all():
-                    raise ValueError("a document is not part of the background")
+                    raise ValueError(FOREIGN)
                 full = sizes > 0
                 starts = (np.cumsum(sizes) - sizes)[full]
                 sums[full] = np.add.reduceat(loss[at][place], starts, axis=0)
@@ -181,7 +182,10 @@ def _score_joined(docs: DataFrame, model: DataFrame, text: str) -> DataFrame:
                 )
 
     each = rows.select("lm_row", F.col(f"`{text}`").alias("text")).mapInArrow(run, "lm_row bigint, gram bigint, n bigint")
-    sums = each.join(model, "gram", "left").groupBy("lm_row").agg(
+    known = each.join(model, "gram", "left").withColumn(
+        "target_loss", F.coalesce("target_loss", F.raise_error(F.lit(FOREIGN)).cast("double"))
+    )
+    sums = known.groupBy("lm_row").agg(
         F.sum("n").alias("n_tokens"), F.sum(F.col("n") * F.col("target_loss")).alias("target_loss"),
         F.sum(F.col("n") * F.col("background_loss")).alias("background_loss"),
     )

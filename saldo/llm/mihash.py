@@ -27,13 +27,16 @@ CODE_BLOCK, QUERY_BLOCK = 16_384, 1_024
 def with_code(frame: DataFrame, vector: str, code: str = "code") -> DataFrame:
     """code: bit i is set if element i of the vector is positive; of CODE_BITS elements at most.
 
-    A null vector has a null code; a null or missing element gives no bit.
+    A null vector has a null code; a null or missing element gives no bit. A longer vector is an error: a code
+    of its first elements would not be its code.
     """
     bits = [
         F.when(F.get(F.col(f"`{vector}`"), F.lit(i)) > 0, F.shiftleft(F.lit(1).cast("long"), i)).otherwise(0)
         for i in range(CODE_BITS)
     ]
-    return frame.withColumn(code, F.when(F.col(f"`{vector}`").isNotNull(), sum(bits[1:], bits[0])))
+    wide = F.raise_error(F.concat(F.lit(f"a vector of more than {CODE_BITS} elements: "), F.size(f"`{vector}`")))
+    made = F.when(F.size(f"`{vector}`") > CODE_BITS, wide.cast("long")).otherwise(sum(bits[1:], bits[0]))
+    return frame.withColumn(code, F.when(F.col(f"`{vector}`").isNotNull(), made))
 
 
 class MultiIndex:

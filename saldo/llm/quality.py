@@ -2,7 +2,11 @@
 
 A text that zstandard shrinks far more than prose of its length repeats itself; one that it hardly
 shrinks is noise. Both the whole text and its fixed chunks are compressed. Short texts compress
-worse, so each length has its own band.
+worse, and so do alphabets of shorter characters, so each length and kind of script has its own band.
+
+The bands are learnt from the corpus itself: ``learn`` counts the ratios of all its texts and puts the
+limits a fixed number of deviations around the median of each length and script. The deviation comes
+from the quartiles, so what a corpus holds of junk, up to a fourth on either side, does not move it.
 """
 
 from __future__ import annotations
@@ -11,9 +15,11 @@ import re
 from collections import Counter
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from saldo.llm.common import WORD, map_columns
 
@@ -66,11 +72,30 @@ class Bands:
         (50_000, 0.395, 0.45),
         (float("inf"), 0.38, 0.55),
     )
+    #: Limits (whole, chunk) by script; the ones above and below where a script is not named.
+    scripts: tuple[tuple[int, tuple[tuple[float, float, float], ...], tuple[float, float]], ...] = ()
     chunk_bytes: int = 2_048
     chunk: tuple[float, float] = (0.455, 0.56)
     max_bad_chunks: float = 0.2
     level: int = 3
 
+    def limits(self, script: int) -> tuple[tuple[tuple[float, float, float], ...], tuple[float, float]]:
+        """Bands of whole texts by length, and of chunks."""
+        return next(((whole, chunk) for s, whole, chunk in self.scripts if s == script), (self.whole, self.chunk))
+
+
+def script_of(text: str, raw: bytes) -> int:
+    """1, 2 or 3: how many bytes most characters take, as in Latin, Cyrillic, or Han texts."""
+    return min(3, max(1, round(len(raw) / len(text)))) if text else 1
+
+
+def chunks_of(raw: bytes, size: int) -> list[bytes]:
+    """Fixed chunks; the last one is the last so many bytes, as one of another size would need another
+    band. A text of a single chunk has none: it is the whole text."""
+    if len(raw) <= size:
+        return []
+    return [raw[i : i + size] for i in range(0, len(raw) - size, size)] + [raw[-size:]]
+
 
 def word_counts(text: str | None) -> tuple[int, int, int, int, int]:
     """Words, their characters, symbols, repeated lines, words in repeated 3-word windows."""
@@ -108,18 +133,90 @@ class Compression:
 
     def judge(self, text: str | None) -> tuple[float, float, bool]:
         """Ratio of the whole text, share of chunks outside the band, verdict."""
-        raw = (text or "").encode()
+        raw = (text or "").encode("utf-8", "replace")
         whole = self.ratio(raw)
-        size, (low, high) = self.bands.chunk_bytes, self.bands.chunk
-        # The last chunk is the last so many bytes: one of another size would need another band.
-        chunks = [raw[i : i + size] for i in range(0, len(raw) - size, size)] + [raw[-size:]]
-        bad = 0.0
-        if len(chunks) > 1:  # a single chunk is the whole text, which has its own band
-            bad = sum(not low <= self.ratio(c) <= high for c in chunks) / len(chunks)
-        _, least, most = next(b for b in self.bands.whole if len(raw) <= b[0])
+        bands, (low, high) = self.bands.limits(script_of(text or "", raw))
+        chunks = chunks_of(raw, self.bands.chunk_bytes)
+        bad = sum(not low <= self.ratio(c) <= high for c in chunks) / len(chunks) if chunks else 0.0
+        _, least, most = next(b for b in bands if len(raw) <= b[0])
         return whole, bad, least <= whole <= most and bad <= self.bands.max_bad_chunks
 
 
+#: Ratios are counted in steps of this size. Texts of a length and script that are enough for a band; with
+#: fewer, those of the next lengths count too, and with fewer of a script in all, those of all scripts.
+STEP, ENOUGH = 0.0025, 50
+#: Limits lie so many deviations from the median, and at least so far for whole texts and for chunks.
+DEVIATIONS, LEAST_WHOLE, LEAST_CHUNK = 4.0, 0.04, 0.05
+#: Texts under this size cannot pass the base rules and are not counted.
+SHORTEST = 99
+_CHUNK = -1
+
+
+def _histogram(docs: DataFrame, text: str, bands: Bands) -> DataFrame:
+    """How many texts (by length) and chunks (length _CHUNK) of each script have each ratio."""
+    edges = [edge for edge, _, _ in bands.whole]
+
+    def run(batches):
+        compression, found = Compression(bands), Counter()
+        for batch in batches:
+            for value in batch.column(0).to_pylist():
+                raw = (value or "").encode("utf-8", "replace")
+                if len(raw) < SHORTEST:
+                    continue
+                script = script_of(value, raw)
+                length = next(i for i, edge in enumerate(edges) if len(raw) <= edge)
+                found[script, length, int(compression.ratio(raw) / STEP)] += 1
+                for chunk in chunks_of(raw, bands.chunk_bytes):
+                    found[script, _CHUNK, int(compression.ratio(chunk) / STEP)] += 1
+        keys = list(zip(*found)) if found else [(), (), ()]
+        yield pa.RecordBatch.from_arrays(
+            [*[pa.array(k, pa.int32()) for k in keys], pa.array(list(found.values()), pa.int64())],
+            names=["script", "length", "step", "n"],
+        )
+
+    each = docs.select(F.col(f"`{text}`").alias("text")).mapInArrow(run, "script int, length int, step int, n bigint")
+    return each.groupBy("script", "length", "step").agg(F.sum("n").alias("n"))
+
+
+def _limits(counts: np.ndarray, least: float) -> tuple[float, float]:
+    """Limits around the median of counted ratios."""
+    share = np.cumsum(counts) / counts.sum()
+    first, middle, third = (STEP * (np.searchsorted(share, q) + 0.5) for q in (0.25, 0.5, 0.75))
+    below, above = (max(least, DEVIATIONS * gap / 0.6745) for gap in (middle - first, third - middle))
+    return float(max(0.0, middle - below)), float(middle + above)
+
+
+def learn(docs: DataFrame, text: str = "text", bands: Bands = Bands()) -> Bands:
+    """Bands for this corpus, from the ratios of all its texts of 99 bytes or more.
+
+    Collected are counts per script, length and step of the ratio, some thousands however large the
+    corpus is. Null texts are not counted; repeated rows count each time. A script of which the corpus has
+    hardly any text, such as the mixture that noise makes of another one, has the limits of all texts
+    together. A corpus with fewer than ENOUGH texts has no limits, so that all of them are kept.
+    """
+    n_steps = int(4 / STEP)
+    counts = np.zeros((4, len(bands.whole) + 1, n_steps), np.int64)  # the last length: chunks
+    for r in _histogram(docs, text, bands).collect():
+        counts[r.script, r.length, min(r.step, n_steps - 1)] += r.n
+    scripts = []
+    for script in (1, 2, 3):
+        own = counts[script] if counts[script, :-1].sum() >= ENOUGH else counts.sum(axis=0)
+        by_length, of_chunks = own[:-1], own[_CHUNK]
+        whole = []
+        for i, (edge, _, _) in enumerate(bands.whole):
+            reach = 0
+            while reach < len(bands.whole) and by_length[max(0, i - reach) : i + reach + 1].sum() < ENOUGH:
+                reach += 1
+            near = by_length[max(0, i - reach) : i + reach + 1].sum(axis=0)
+            whole.append((edge, *(_limits(near, LEAST_WHOLE) if near.sum() >= ENOUGH else (0.0, 9.0))))
+        chunk = _limits(of_chunks, LEAST_CHUNK) if of_chunks.sum() >= ENOUGH else (0.0, 9.0)
+        scripts.append((script, tuple(whole), chunk))
+    return Bands(
+        whole=bands.whole, scripts=tuple(scripts), chunk_bytes=bands.chunk_bytes, chunk=bands.chunk,
+        max_bad_chunks=bands.max_bad_chunks, level=bands.level,
+    )
+
+
 def quality(docs: DataFrame, text: str = "text", bands: Bands = Bands()) -> DataFrame:
     """All rows and columns of docs, with the counts, the ratios and the verdict of each text.
 
@@ -127,7 +224,8 @@ def quality(docs: DataFrame, text: str = "text", bands: Bands = Bands()) -> Data
     50 words, or over half of the words in repeated windows. zstd_ratio, bad_chunks: see
     Compression. kept: not base_failed and inside the bands. Null and empty texts have zeros, fail
     the base rules and are not kept. Rows are judged one by one, so order, ties and repeated rows do
-    not matter; columns of docs named like a result are replaced by it.
+    not matter; columns of docs named like a result are replaced by it. ``bands`` should be learnt from
+    the corpus; the default ones are those of one corpus of Latin prose.
     """
 
     def make(texts: pa.Array) -> dict[str, pa.Array]:

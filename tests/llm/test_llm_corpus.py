@@ -50,6 +50,9 @@ def test_sign_codes(spark):
     rows = [(1, [0.5, -1.0, 0.0, 2.0]), (2, None), (3, [None, 1.0]), (4, [-1.0] * 63 + [1.0])]
     frame = with_code(spark.createDataFrame(rows, "id long, v array<float>"), "v")
     assert [r.code for r in frame.orderBy("id").collect()] == [9, None, 2, -(1 << 63)]
+    wide = spark.createDataFrame([(1, [1.0] * 65)], "id long, v array<float>")
+    with pytest.raises(Exception, match="more than 64 elements: 65"):
+        with_code(wide, "v").collect()
 
 
 # --- n-gram Jaccard ----------------------------------------------------------------------------
@@ -128,7 +131,7 @@ def test_null_ids_are_kept_apart(spark):
     assert found == {(None, 4, 1, False), (4, 4, 1, True), (None, None, 0, True)}
 
 
-def test_prefixes_are_shortened_to_the_recall():
+def test_level_follows_from_the_recall():
     levels = [floor_level(recall=r) for r in (0.5, 0.9, 0.99, 0.9999, 0.9999999999)]
     assert levels == sorted(levels, reverse=True) and levels[0] > levels[-1]
     assert 1 - (1 - 0.8 ** levels[3]) ** 16 >= 0.9999
@@ -309,6 +312,11 @@ def test_losses_and_both_ways_of_scoring(spark):
     assert mean([r for r in ways[0] if r.doc_id < 10]) < mean([r for r in ways[0] if 10 <= r.doc_id < 90])
     empty = lmscore.losses(frame, frame.limit(0))
     assert lmscore.score(frame.limit(0), empty).count() == 0
+    # A document from elsewhere is an error however large the model is.
+    foreign = spark.createDataFrame([(1, "wholly новое")], DOC)
+    for n in (10**6, 0):
+        with pytest.raises(Exception, match=lmscore.FOREIGN):
+            lmscore.score(foreign, model, sent_rows=n).collect()
 
 
 # --- languages ---------------------------------------------------------------------------------

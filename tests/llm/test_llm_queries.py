@@ -5,6 +5,7 @@ import os
 import sys
 
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.abspath(__file__)), "..", "..", "tools"))
@@ -13,7 +14,7 @@ import __spark_entry__ as contract
 import corpus_pipeline
 from compare import database, difference
 from saldo.llm.catalog import BYTE_BPE, ORACLE, QUERIES
-from saldo.llm.quality import Bands, Compression, word_counts
+from saldo.llm.quality import NAMES, Compression, learn, word_counts
 
 
 def test_all_are_registered():
@@ -53,7 +54,7 @@ def test_stages_take_effect(spark, tables):
         if name != "BPE encoding and decoding":
             assert kept.columns == columns
     judged, single, masked, mixed, coded = results
-    compression = Compression(Bands())
+    compression = Compression(learn(docs))
 
     def good(text):
         counts = word_counts(text)
@@ -70,3 +71,23 @@ def test_stages_take_effect(spark, tables):
     assert abs(sum(len(r.text.split()) for r in mixed) - 1.5 * words) <= 20
     assert len(coded) == len(mixed) and all(r.round_trip and r.token_ids for r in coded)
     assert all(r.n_chars == len(r.text) for r in coded)
+
+
+def test_stages_keep_columns_of_any_name(spark, tables):
+    """Columns named like results of an operator go through as they are; nulls and empty tables too."""
+    docs = spark.read.parquet(f"{tables}/documents.parquet").limit(60)
+    more = {n: F.lit(f"own {n}") for n in [*NAMES, "n_replaced", "Stay_Id"]}
+    frame = docs.drop("n_chars").withColumns(more).unionByName(
+        spark.createDataFrame([(None, None, None, None)], "doc_id long, text string, lang string, source string")
+        .withColumns(more)
+    )
+    for rows in (frame, frame.limit(0)):
+        kept = rows
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            kept = corpus_pipeline.stored(stage(spark, kept, tables), "clash")
+            assert kept.columns == frame.columns, name
+        found = kept.collect()
+        assert bool(found) == (rows is frame)
+        assert all(r[n] == f"own {n}" for r in found for n in more)
+    coded = corpus_pipeline.STAGES[-1][1](spark, kept, tables)
+    assert coded.count() == 0 and set(frame.columns) <= set(coded.columns)

@@ -14,7 +14,7 @@ from tokenizers import Tokenizer
 
 from saldo.llm.bpe import Bpe, decode, encode, round_trip
 from saldo.llm.pii import Pseudonyms, pseudonymise
-from saldo.llm.quality import Bands, Compression, quality
+from saldo.llm.quality import Bands, Compression, learn, quality
 from saldo.llm.tokencount import LibraryCounts, encode_counts, token_counts
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -106,6 +106,87 @@ def test_no_part_of_a_text_is_left_unjudged(tables):
         assert compression.judge(text + tail)[1] == 0.5 and not compression.judge(text + tail)[2]
 
 
+def plain_verdict(text, corpus, bands=Bands()):
+    """Inside the learnt bands or not, by sorting the ratios of all texts."""
+    import zstandard
+
+    squeeze = zstandard.ZstdCompressor(level=3)
+
+    def ratio(raw):
+        return len(squeeze.compress(raw)) / len(raw)
+
+    def chunks(raw):
+        return [raw[i : i + 2048] for i in range(0, len(raw) - 2048, 2048)] + [raw[-2048:]] if len(raw) > 2048 else []
+
+    def place(raw):
+        return next(i for i, (edge, _, _) in enumerate(bands.whole) if len(raw) <= edge)
+
+    def limits(ratios, least):
+        if len(ratios) < 50:
+            return 0.0, 9.0
+        ordered = sorted(int(r / 0.0025) for r in ratios)
+        q = [0.0025 * (ordered[-(-len(ordered) * k // 4) - 1] + 0.5) for k in (1, 2, 3)]
+        return max(0.0, q[1] - max(least, 4 * (q[1] - q[0]) / 0.6745)), q[1] + max(least, 4 * (q[2] - q[1]) / 0.6745)
+
+    raw = text.encode()
+    script = round(len(raw) / len(text))
+    same = [c.encode() for c in corpus if len(c.encode()) >= 99 and round(len(c.encode()) / len(c)) == script]
+    same = same if len(same) >= 50 else [c.encode() for c in corpus if len(c.encode()) >= 99]
+    for reach in range(len(bands.whole) + 1):
+        near = [c for c in same if abs(place(c) - place(raw)) <= reach]
+        if len(near) >= 50:
+            break
+    low, high = limits([ratio(c) for c in near], 0.04)
+    if not low <= ratio(raw) <= high:
+        return False
+    low, high = limits([ratio(x) for c in same for x in chunks(c)], 0.05)
+    bad = [not low <= ratio(x) <= high for x in chunks(raw)]
+    return not bad or sum(bad) <= 0.2 * len(bad)
+
+
+def test_verdict_equals_plain_reading(spark, tables):
+    from saldo.llm.catalog import QUERIES
+
+    texts = {r["doc_id"]: r["text"] for r in pq.read_table(f"{tables}/documents.parquet").to_pylist()}
+    rows = QUERIES["op1_compression_bands"](spark, tables).collect()
+    assert len(rows) == len(texts) and {r.kept for r in rows} == {True, False}
+    corpus = [t for t in texts.values() if t]
+    for r in rows[::3]:
+        sound = bool(texts[r.doc_id]) and naive_base(texts[r.doc_id])
+        assert r.base_failed != sound
+        assert r.kept == (sound and plain_verdict(texts[r.doc_id], corpus)), r.doc_id
+
+
+CYRILLIC = str.maketrans("abcdefghijklmnopqrstuvwxyz", "абцдефгхижклмнопярстувшхыз")
+
+
+def test_limits_are_those_of_the_corpus(spark, tables):
+    """Manuals in real English, and prose in Cyrillic letters: kept; mixed with noise: rejected."""
+    import pydoc_data.topics
+
+    manuals = [t for t in pydoc_data.topics.topics.values() if naive_base(t)]
+    docs = pq.read_table(f"{tables}/documents.parquet").to_pylist()
+    good = {r["doc_id"] for r in pq.read_table(f"{tables}/labels.parquet").to_pylist() if r["quality"] == 1}
+    prose = [d["text"] for d in docs if d["doc_id"] in good and naive_base(d["text"])]
+    pick = random.Random(21)
+    for texts in (manuals, [t.lower().translate(CYRILLIC) for t in prose]):
+        assert len(texts) >= 50
+        frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(-1, None), (-2, "")], DOC)
+        bands = learn(frame)
+        compression = Compression(bands)
+        assert sum(compression.judge(t)[2] for t in texts) > 0.95 * len(texts)
+        kept = quality(frame, bands=bands).where("kept").count()
+        assert kept > 0.95 * len(texts)
+        long = [t for t in texts if len(t.encode()) > 4_000][:20]
+        caught = 0
+        for text in long:
+            extra = len(text.encode())
+            caught += not compression.judge(text + base64.b64encode(pick.randbytes(extra)).decode()[:extra])[2]
+            caught += not compression.judge(text + "\n" + (text[:60].replace("\n", " ") + "\n") * (extra // 60))[2]
+        assert len(long) > 5 and caught >= 0.9 * 2 * len(long)
+    assert learn(frame.limit(0)).limits(1)[0][3][1:] == (0.0, 9.0)
+
+
 def naive_base(text):
     counts = naive_counts(text)
     return counts[0] >= 50 and 100 * counts[4] <= 50 * counts[0]
