@@ -7,11 +7,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from saldo.llm.bpe import round_trip
-from saldo.llm.common import documents, stored
+from saldo.llm.common import documents, set_aside, stored
 from saldo.llm.jaccard import without_near_duplicates
 from saldo.llm.mixing import mixed
 from saldo.llm.pii import pseudonymise
-from saldo.llm.quality import NAMES, quality
+from saldo.llm.quality import NAMES, learn, quality
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 #: Stands in for the secret key of a real run.
@@ -19,8 +19,9 @@ DEMO_KEY = "saldo demonstration key"
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the compression bands and the base rules keep."""
-    return quality(docs).where("kept").drop(*NAMES)
+    """Documents that the compression bands and the base rules keep; the bands are learnt from docs."""
+    bands = learn(docs)
+    return set_aside(docs, NAMES, lambda rows: quality(rows, bands=bands).where("kept"))
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,7 +31,9 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, personal numbers replaced by pseudonyms."""
-    masked = pseudonymise(docs, DEMO_KEY).drop("n_replaced")
+    masked = set_aside(docs, ["n_replaced"], lambda rows: pseudonymise(rows, DEMO_KEY))
+    if "n_chars" not in masked.columns:
+        return masked
     return masked.withColumn("n_chars", F.length("text").cast("long"))
 
 
