@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from saldo.llm.common import WORD, held, small_batches, stored
+from saldo.llm.common import WORD, held, set_aside, small_batches, stored
 
 GRAM = 5
 SIMILARITY = 0.8
@@ -295,6 +295,11 @@ def near_duplicates(
 
 def without_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """docs with one row of each class; of repeated rows one stays. Texts without a word all stay."""
+    names = ["stay_id", "stay_hash", "stay_nth"]
+    return set_aside(docs, names, lambda rows: _staying(rows, doc_id, text, options))
+
+
+def _staying(docs: DataFrame, doc_id: str, text: str, options: dict) -> DataFrame:
     found = near_duplicates(docs, doc_id, text, **options).where("stays").select("doc_id", "text_hash").distinct()
     found = stored(found, "staying").select(F.col("doc_id").alias("stay_id"), F.col("text_hash").alias("stay_hash"))
     hashed = F.xxhash64(F.col(f"`{text}`"))
@@ -303,5 +308,4 @@ def without_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str =
     )
     worded = F.coalesce(F.regexp_like(F.col(f"`{text}`"), F.lit(WORD)), F.lit(False))
     same = Window.partitionBy("stay_id", "stay_hash").orderBy(F.lit(0))
-    work = work.withColumn("stay_nth", F.row_number().over(same)).where((F.col("stay_nth") == 1) | ~worded)
-    return work.drop("stay_id", "stay_hash", "stay_nth")
+    return work.withColumn("stay_nth", F.row_number().over(same)).where((F.col("stay_nth") == 1) | ~worded)
