@@ -17,6 +17,7 @@ from ..plans.nightly import FEED_ORDER, Options, run_nightly
 from ..schemas import BUSINESS_KEYS, FEED_COLUMNS, MONEY, QUANTITIES, WAREHOUSE_ATTRIBUTES
 from ..session import scratch_path
 from ..sources import delimited, files
+from ..sources.clustered import Clustered
 from ..sources.keyindex import KeyIndex, Segment
 from ..sources.layers import Layers
 from ..streaming.landing import load_stream
@@ -599,6 +600,20 @@ def role_views(f):
     return views
 
 
+@query("role_views_clustered")
+def role_views_clustered(f):
+    """The same views of the mart laid out by level and zone; each reads the files of its zones."""
+    table = Clustered(scratch_path(f.spark, "by-zone"), scratch_path(f.spark, "ranges"), ("agg_level", "zone"))
+    marts.publish_by_zone(f.store("metrics", _metrics(f)), table, rows_per_file=1000)
+    views = None
+    for role, zone in ROLE_ZONES.items():
+        view = marts.published_slice(f.spark, table, role, zone).select(
+            F.lit(role).alias("role"), "month_key", "agg_level", "agg_key", "stock_value", "mom_stock_value",
+        )
+        views = view if views is None else views.unionByName(view)
+    return views
+
+
 # --- the nightly load --------------------------------------------------------------------------
 
 

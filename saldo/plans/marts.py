@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import month_key, previous_month_key, safe_ratio
 from ..operators.facts import INVENTORY_KEYS, PRICE_KEYS
 from ..operators.warehouse import UNKNOWN_DIRECTORATE, UNKNOWN_SHOP, UNKNOWN_TYPE
 from ..schemas import MONEY, QUANTITIES
+from ..sources.clustered import ROWS_PER_FILE, Clustered, read_slice, write_clustered
 
 MONTHLY_COLUMNS = [
     "month_key", "year_num", "month_num", "warehouse_code", "directorate", "shop_code",
@@ -404,17 +405,33 @@ def role_slice(metrics: DataFrame, role: str, zone: list[str] | None = None) ->
     return rows.filter(F.col(column).isin(zone or []))
 
 
+def with_zone(metrics: DataFrame) -> DataFrame:
+    """The zone whose readers see a row; null where the whole level is one zone."""
+    return metrics.selectExpr(
+        "*", f"CASE agg_level WHEN '{DIRECTORATE}' THEN directorate WHEN '{SHOP}' THEN shop_code "
+        f"WHEN '{WAREHOUSE}' THEN warehouse_code END AS zone"
+    )
+
+
+def publish_by_zone(metrics: DataFrame, table: Clustered, rows_per_file: int = ROWS_PER_FILE) -> None:
+    """The mart in the order in which roles read it: level, zone, month. ``metrics`` is a stored table."""
+    write_clustered(with_zone(metrics), table, ["month_key"], rows_per_file)
+
+
+def published_slice(spark: SparkSession, table: Clustered, role: str, zone: list[str] | None = None) -> DataFrame:
+    """What one reader sees, from the files of the own level and zone only."""
+    level, column = ROLE_LEVELS[role]
+    wanted = [(level, None)] if column is None else [(level, z) for z in zone or []]
+    return read_slice(spark, table, wanted).select(*METRIC_COLUMNS)
+
+
 def entitled_slices(metrics: DataFrame, entitlements: DataFrame) -> DataFrame:
     """What every reader of a (reader, agg_level, zone) table sees of the own zone.
 
     Who sees a whole level has no zone and reads the mart through ``whole_level``; a copy of the
     level for each of them is not made.
     """
-    own_zone = (
-        f"CASE agg_level WHEN '{DIRECTORATE}' THEN directorate WHEN '{SHOP}' THEN shop_code "
-        f"WHEN '{WAREHOUSE}' THEN warehouse_code END"
-    )
-    zoned = metrics.selectExpr("*", f"{own_zone} AS zone")
+    zoned = with_zone(metrics)
     readers = entitlements.selectExpr(
         "reader", "agg_level AS reader_level", "zone AS reader_zone"
     ).distinct()
