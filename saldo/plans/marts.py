@@ -11,6 +11,7 @@ from ..operators.warehouse import UNKNOWN_DIRECTORATE, UNKNOWN_SHOP, UNKNOWN_TYP
 from ..schemas import MONEY, QUANTITIES
 from ..sources.clustered import ROWS_PER_FILE, Clustered, read_slice, write_clustered
 
+# Columns of the two marts as their readers know them.
 MONTHLY_COLUMNS = [
     "month_key", "year_num", "month_num", "warehouse_code", "directorate", "shop_code",
     "warehouse_type", "material_id", "unit", "balance_start", "income_qty", "expense_qty",

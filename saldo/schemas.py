@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+# Columns of the delivered feeds.
 TURNOVER_COLUMNS = [
     "date", "start_date", "end_date", "warehouse_code", "material_id", "unit",
     "balance_start", "income_qty", "expense_qty", "balance_end",
