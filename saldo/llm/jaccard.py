@@ -1,12 +1,14 @@
-"""Join of texts by the Jaccard similarity of their word 5-grams: MinHash bands, verified exactly.
+"""Join of texts by the Jaccard similarity of their word 5-grams: MinHash LSH forest, verified exactly.
 
 Equal sets of n-grams are one node, however many documents have them. A node's signature is cut into
-trees, and two nodes meet in the subtree of a common prefix of its values. No forest is searched:
-fixed bands replace it. A forest would shorten prefixes per query until it has enough candidates; a
-join needs all pairs at the threshold, so every prefix would be shortened to the one level at which
-the chance that such a pair shares it in some tree reaches the target recall. That level is computed
-beforehand, and a signature has only the values up to it. Pairs that meet are verified on their whole
-sets, in the first tree in which they meet.
+trees; a tree is the prefix trie of its values, and two nodes meet in the subtree of a common prefix. A
+subtree is a group of equal prefixes, its branches are the next values. Prefixes are taken at full
+depth first, and pairs that meet are verified on their whole sets of n-grams. Then the recall of each node's
+links is estimated from those found: a pair of similarity s shares a prefix of this length in some tree
+with a known chance p, so a link found stands for 1 / p links. Nodes that miss the target are open: their prefixes are shortened by one value, and what they meet now for the first time is verified. So a
+node with many close copies is done soon, and its group is not compared again; one with few or none goes
+on, at most to the floor, at which even a pair at the threshold meets with the target's chance. Nodes that
+meet no other one at the floor are left out from the beginning.
 
 A subtree with many nodes is cut into blocks, and every two blocks are verified by one task, which
 returns sums per node and a spanning star instead of pairs. Linked nodes are joined to classes by
@@ -19,6 +21,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,10 +31,13 @@ from saldo.llm.common import WORD, held, set_aside, small_batches, stored
 GRAM = 5
 SIMILARITY = 0.8
 RECALL = 0.9999
-#: Bands, and the most values of one.
-TREES, DEPTH = 16, 6
-#: Nodes of a subtree that are verified against each other at once, and rows of one task's portion.
+#: Trees, and the values of a whole prefix.
+TREES, DEPTH = 16, 5
+#: Nodes of a subtree that are verified against each other at once, and rows handled at once; and the bytes of their texts.
 BLOCK, PORTION = 512, 1_024
+BLOCK_BYTES, PORTION_BYTES = 8 << 20, 16 << 20
+#: Portions of one task, and pairs whose signatures are compared at once.
+OF_A_TASK, AT_ONCE = 4, 8_192
 #: Words whose hash is remembered per Python worker before the memory is emptied.
 REMEMBERED = 250_000
 
@@ -64,15 +70,30 @@ def shingles(text: str | None, gram: int = GRAM) -> np.ndarray:
     return np.unique(value)
 
 
+def chance(similarity, level: int, trees: int = TREES):
+    """How likely a pair of this similarity shares a prefix of so many values in some tree."""
+    return 1 - (1 - similarity**level) ** trees
+
+
 def floor_level(trees: int = TREES, depth: int = DEPTH, similarity: float = SIMILARITY, recall: float = RECALL) -> int:
     """The longest prefix at which pairs at the threshold meet often enough; 1 at least."""
     for level in range(depth, 1, -1):
-        if 1 - (1 - similarity**level) ** trees >= recall:
+        if chance(similarity, level, trees) >= recall:
             return level
     return 1
 
 
-def _seeds(level: int) -> tuple[np.ndarray, np.ndarray]:
+def covered(pairs, missed, level: int, similarity: float = SIMILARITY, recall: float = RECALL):
+    """Whether prefixes of this length are enough for a node, given its pairs found and how many more they stand for.
+
+    The chance that it lacks a pair like those must be 1 - recall at most, and so must be the part that it lacks
+    if one further pair at the threshold is supposed: few pairs or none are no proof.
+    """
+    unseen = 1 / chance(similarity, level) - 1
+    return (missed <= 1 - recall) & (missed + unseen <= (1 - recall) * (pairs + 1))
+
+
+def _seeds(level: int = DEPTH) -> tuple[np.ndarray, np.ndarray]:
     dealt = np.random.default_rng(20_240_501)
     odd = dealt.integers(1, 1 << 63, TREES * DEPTH, dtype=np.uint64) << np.uint64(1) | np.uint64(1)
     plus = dealt.integers(0, 1 << 63, TREES * DEPTH, dtype=np.uint64)
@@ -80,7 +101,7 @@ def _seeds(level: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def signature(grams: np.ndarray, seeds: tuple[np.ndarray, np.ndarray]) -> bytes:
-    """TREES * level minima of 32 bits."""
+    """TREES times as many minima of 32 bits as seeds are given for a tree."""
     times, plus = seeds
     least = np.full(len(times), np.iinfo(np.uint32).max, np.uint32)
     for begin in range(0, len(grams), 4_096):
@@ -90,9 +111,9 @@ def signature(grams: np.ndarray, seeds: tuple[np.ndarray, np.ndarray]) -> bytes:
     return least.astype(">u4").tobytes()
 
 
-def _signed(docs: DataFrame, gram: int, level: int) -> DataFrame:
-    """docs (doc_id, text) -> doc_id, text_hash, digest, signature; both null without words."""
-    seeds = _seeds(level)
+def _signed(docs: DataFrame, gram: int) -> DataFrame:
+    """docs (doc_id, text) -> doc_id, text_hash, n_bytes, digest, signature; the last two null without words."""
+    seeds = _seeds()
 
     def run(batches):
         for batch in small_batches(batches):
@@ -101,21 +122,37 @@ def _signed(docs: DataFrame, gram: int, level: int) -> DataFrame:
                 grams = shingles(text, gram)
                 digests.append(xxhash.xxh3_128_digest(grams.tobytes()) if len(grams) else None)
                 signatures.append(signature(grams, seeds) if len(grams) else None)
+            n_bytes = pc.binary_length(batch.column(2)).cast(pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(digests, pa.binary()), pa.array(signatures, pa.binary())],
-                names=["doc_id", "text_hash", "digest", "signature"],
+                [*batch.columns[:2], n_bytes, pa.array(digests, pa.binary()), pa.array(signatures, pa.binary())],
+                names=["doc_id", "text_hash", "n_bytes", "digest", "signature"],
             )
 
     rows = docs.select("doc_id", "text_hash", "text")
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, text_hash bigint, digest binary, signature binary")
+    return rows.mapInArrow(run, f"doc_id {kind}, text_hash bigint, n_bytes bigint, digest binary, signature binary")
+
 
+def _first_meetings(values: np.ndarray, left: np.ndarray, right: np.ndarray, tree: int, level: int) -> np.ndarray:
+    """Which of the pairs share this tree's prefix, none of an earlier tree, and no longer one of any tree."""
+    out = np.zeros(len(left), bool)
+    for begin in range(0, len(left), AT_ONCE):
+        part = slice(begin, begin + AT_ONCE)
+        equal = values[left[part]] == values[right[part]]
+        shared = equal[:, :, :level].all(axis=2)
+        first = shared[:, tree] & ~shared[:, :tree].any(axis=1)
+        if level < DEPTH:
+            first &= ~(shared & equal[:, :, level]).any(axis=1)
+        out[part] = first
+    return out
 
-def verify(rows: list[tuple[int, int, bytes, np.ndarray]], tree: int, level: int, similarity: float, sides: np.ndarray):
-    """rows (nid, n_docs, signature, grams) of one subtree -> root and links per row, zero if none.
 
-    Only pairs that first meet in this tree are linked. sides: the block of each row; if there are
-    two, pairs inside a block are left to others.
+def verify(rows: list[tuple[int, int, bytes, np.ndarray]], tree: int, level: int, similarity: float, sides=None):
+    """rows (nid, n_docs, signature, grams) of one subtree -> root, links, pairs and missed per row.
+
+    Only pairs that meet here for the first time are linked. sides: the block of each row if there are to be
+    two; pairs inside a block are left to others then. links counts documents, pairs nodes; missed tells how many
+    more pairs these stand for at prefix lengths from 1 to DEPTH.
     """
     sizes = np.array([len(r[3]) for r in rows])
     every, place = np.unique(np.concatenate([r[3] for r in rows]), return_inverse=True)
@@ -136,30 +173,38 @@ def verify(rows: list[tuple[int, int, bytes, np.ndarray]], tree: int, level: int
     union = sizes[:, None] + sizes[None, :] - common
     near = common >= similarity * union - 1e-6
     np.fill_diagonal(near, False)
-    if len(np.unique(sides)) > 1:
+    if sides is not None:
         near &= sides[:, None] != sides[None, :]
     left, right = np.nonzero(np.triu(near))
     if len(left):
-        values = np.frombuffer(b"".join(r[2] for r in rows), ">u4").reshape(len(rows), TREES, level)
-        met = np.zeros(len(left), bool)
-        for earlier in range(tree):
-            met |= (values[left, earlier] == values[right, earlier]).all(axis=1)
-        left, right = left[~met], right[~met]
+        values = np.frombuffer(b"".join(r[2] for r in rows), ">u4").reshape(len(rows), TREES, DEPTH)
+        new = _first_meetings(values, left, right, tree, level)
+        left, right = left[new], right[new]
     weights = np.array([r[1] for r in rows], np.int64)
     links = np.zeros(len(rows), np.int64)
     np.add.at(links, left, weights[right])
     np.add.at(links, right, weights[left])
+    pairs = np.zeros(len(rows), np.int64)
+    missed = np.zeros((len(rows), DEPTH))
+    alike = (common[left, right] / union[left, right]).astype(float)
+    more = np.stack([1 / chance(alike, k) - 1 for k in range(1, DEPTH + 1)], axis=1)
+    for end in (left, right):
+        np.add.at(pairs, end, 1)
+        np.add.at(missed, end, more)
     root = np.array([r[0] for r in rows], np.int64)
     while True:  # the smallest id reached over links
         before = root.copy()
         np.minimum.at(root, left, root[right])
         np.minimum.at(root, right, root[left])
         if (root == before).all():
-            return root, links
+            return root, links, pairs, missed
+
+
+FOUND = "nid bigint, root bigint, links bigint, pairs bigint, missed array<double>"
 
 
 def _links(members: DataFrame, level: int, similarity: float, gram: int) -> DataFrame:
-    """members (portion, tree, prefix, low, high, block, nid, n_docs, signature, text) -> nid, root, links."""
+    """members (portion, tree, prefix, low, high, block, nid, n_docs, signature, text) -> FOUND."""
 
     def run(table: pa.Table) -> pa.Table:
         frame = table.drop_columns(["portion"]).to_pylist()
@@ -169,15 +214,80 @@ def _links(members: DataFrame, level: int, similarity: float, gram: int) -> Data
             if row["nid"] not in grams:
                 grams[row["nid"]] = shingles(row["text"], gram)
             groups.setdefault((row["tree"], row["prefix"], row["low"], row["high"]), []).append(row)
-        out: list[tuple[int, int, int]] = []
-        for (tree, _, _, _), found in groups.items():
+        out: list[tuple] = []
+        for (tree, _, low, high), found in groups.items():
             rows = [(r["nid"], r["n_docs"], r["signature"], grams[r["nid"]]) for r in found]
-            root, links = verify(rows, tree, level, similarity, np.array([r["block"] for r in found]))
-            out += [(row[0], int(a), int(n)) for row, a, n in zip(rows, root, links) if n]
-        columns = list(zip(*out)) if out else [(), (), ()]
-        return pa.table({n: pa.array(c, pa.int64()) for n, c in zip(("nid", "root", "links"), columns)})
+            sides = np.array([r["block"] for r in found]) if low != high else None
+            each = zip(rows, *verify(rows, tree, level, similarity, sides))
+            out += [(r[0], int(of), int(n), int(k), more.tolist()) for r, of, n, k, more in each if n]
+        kinds = [pa.int64()] * 4 + [pa.list_(pa.float64())]
+        columns = list(zip(*out)) if out else [()] * len(kinds)
+        names = [f.split()[0] for f in FOUND.split(", ")]
+        return pa.table({n: pa.array(c, kind) for n, c, kind in zip(names, columns, kinds)})
+
+    return members.groupBy("portion").applyInArrow(run, FOUND)
+
+
+def _in_trees(nodes: DataFrame, level: int) -> DataFrame:
+    """nodes -> their columns, tree, prefix and branch for each tree, without the signature.
+
+    prefix is a hash of the tree's first values; verification looks at the values themselves. branch is a hash of
+    the next value, the same for all at full depth.
+    """
+    each = nodes.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))))
+    begin = F.col("tree") * (4 * DEPTH) + 1
+    prefix = F.xxhash64("tree", F.col("signature").substr(begin, F.lit(4 * level)))
+    branch = F.xxhash64(F.col("signature").substr(begin + 4 * level, F.lit(4)) if level < DEPTH else F.lit(0))
+    return each.withColumn("prefix", prefix).withColumn("branch", branch).drop("signature")
+
+
+def _blocks(n: str, n_bytes: str):
+    """Blocks for so many nodes; none for none."""
+    return F.ceil(F.greatest(F.col(n) / BLOCK, F.least(F.col(n), F.col(n_bytes) / BLOCK_BYTES))).cast("int")
+
 
-    return members.groupBy("portion").applyInArrow(run, "nid bigint, root bigint, links bigint")
+def _met_at(candidates: DataFrame, texts: DataFrame, level: int, similarity: float, gram: int) -> DataFrame:
+    """FOUND for the pairs that meet at prefixes of this length, at no longer ones, and have an open node.
+
+    candidates (nid, n_bytes, signature, open). Pairs without an open node may be found as well.
+    """
+    in_trees = _in_trees(candidates, level)
+    is_open, open_bytes = F.col("open").cast("long"), F.when(F.col("open"), F.col("n_bytes")).otherwise(0)
+    sizes = in_trees.groupBy("tree", "prefix").agg(
+        F.count("*").alias("n"), F.sum("n_bytes").alias("all_bytes"), F.sum(is_open).alias("n_open"),
+        F.sum(open_bytes).alias("open_bytes"), F.min("branch").alias("a"), F.max("branch").alias("b"),
+    )
+    sizes = sizes.withColumn("n_done", F.col("n") - F.col("n_open"))
+    sizes = sizes.withColumn("done_bytes", F.col("all_bytes") - F.col("open_bytes"))
+    # With one branch only, all its pairs have met at a longer prefix.
+    several = F.col("n") > 1 if level == DEPTH else F.col("a") != F.col("b")
+    # Open nodes have the first blocks; a subtree of one block has all nodes in it.
+    small = _blocks("n", "all_bytes") <= 1
+    subtrees = sizes.where(several & (F.col("n_open") > 0)).select(
+        "tree", "prefix", small.alias("small"),
+        F.when(small, 1).otherwise(_blocks("n_open", "open_bytes")).alias("opens"),
+        F.when(small, 0).otherwise(_blocks("n_done", "done_bytes")).alias("dones"),
+    )
+    subtrees = stored(subtrees, "subtrees")
+    # Every open block meets every block: one group each.
+    early = F.col("small") | F.col("open")
+    hashed = F.xxhash64("nid")
+    block = F.when(early, F.pmod(hashed, "opens")).otherwise(F.col("opens") + F.pmod(hashed, F.greatest("dones", F.lit(1))))
+    others = F.when(early, F.col("opens") + F.col("dones")).otherwise(F.col("opens"))
+    paired = stored(
+        in_trees.join(subtrees, ["tree", "prefix"]).withColumn("block", block.cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), others - 1))).select(
+            "tree", "prefix", "nid", "n_bytes", "block",
+            F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
+        ),
+        "paired",
+    )
+    weight = paired.agg(F.count("*").alias("n"), F.sum("n_bytes").alias("n_bytes")).first()
+    portions = max(1, -(-weight["n"] // PORTION), -(-(weight["n_bytes"] or 0) // PORTION_BYTES))
+    portion = F.pmod(F.xxhash64("tree", "prefix", "low", "high"), F.lit(portions))
+    members = paired.drop("n_bytes").withColumn("portion", portion).join(texts, "nid")
+    members = members.repartition(-(-portions // OF_A_TASK), "portion")
+    return stored(_links(members, level, similarity, gram), "links")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -217,34 +327,28 @@ def near_duplicates(
     their own. Equal rows get equal results. Null ids are the largest. Texts with fewer words than
     an n-gram are one n-gram. Other columns of docs are not read.
     """
-    level = floor_level(similarity=similarity, recall=recall)
+    floor = floor_level(similarity=similarity, recall=recall)
     docs = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     docs = docs.withColumn("text_hash", F.xxhash64("text"))
-    rows = stored(_signed(docs, gram, level), "signed")
+    rows = stored(_signed(docs, gram), "signed")
     sound = rows.where("digest IS NOT NULL").withColumn("teller", F.xxhash64("doc_id", "text_hash"))
     sets = sound.groupBy("digest").agg(
         F.count("*").alias("n_docs"), F.min("doc_id").alias("least_id"), F.min("teller").alias("teller")
     )
     nodes = stored(
-        sound.select("digest", "teller", "doc_id", "text_hash", "signature").join(sets, ["digest", "teller"]).distinct(),
+        sound.select("digest", "teller", "doc_id", "text_hash", "n_bytes", "signature").join(sets, ["digest", "teller"]).distinct(),
         "sets",
     )
     nodes = stored(nodes.withColumn("nid", F.monotonically_increasing_id()), "nodes")
-    trees = F.explode(F.transform(
-        F.sequence(F.lit(0), F.lit(TREES - 1)),
-        lambda t: F.struct(
-            t.alias("tree"),
-            F.col("signature").substr(t * (4 * level) + 1, F.lit(4 * level)).alias("prefix"),
-        ),
-    ))
-    in_trees = nodes.select("nid", trees.alias("at")).select("nid", "at.tree", "at.prefix")
+    # What meets another node at the floor, and the texts of that.
+    lowest = _in_trees(nodes.select("nid", "signature"), floor).drop("branch")
     subtrees = stored(
-        in_trees.groupBy("tree", "prefix").agg(F.count("*").alias("n")).where("n > 1"), "subtrees"
+        lowest.groupBy("tree", "prefix").agg(F.count("*").alias("n")).where("n > 1").drop("n"), "floor"
     )
-    met = stored(in_trees.join(subtrees, ["tree", "prefix"]), "met")
-    # The texts of nodes that met another one.
-    needed = met.select("nid").distinct().join(nodes.drop("digest", "teller", "least_id"), "nid")
-    needed = stored(needed.withColumnRenamed("doc_id", "of"), "needed")
+    candidates = lowest.join(subtrees, ["tree", "prefix"]).select("nid").distinct()
+    needed = stored(candidates.join(nodes.drop("digest", "teller", "least_id"), "nid"), "candidates")
+    candidates = needed.select("nid", "n_bytes", "signature", F.lit(True).alias("open"))
+    needed = needed.withColumnRenamed("doc_id", "of").drop("n_bytes")
     texts = stored(
         docs.join(
             needed.hint("shuffle_hash"),
@@ -252,19 +356,19 @@ def near_duplicates(
         ).select("nid", "n_docs", "signature", "text"),
         "texts",
     ).dropDuplicates(["nid"])
-    # Blocks of large subtrees: every two of them are one group.
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    block = F.pmod(F.xxhash64("nid"), blocks).cast("int")
-    other = F.explode(F.sequence(F.lit(0), blocks - 1))
-    paired = met.withColumn("block", block).withColumn("other", other).select(
-        "tree", "prefix", "nid", "block",
-        F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
-    )
-    paired = stored(paired, "paired")
-    portions = max(1, -(-paired.count() // PORTION))
-    portion = F.pmod(F.xxhash64("tree", "prefix", "low", "high"), F.lit(portions))
-    members = paired.withColumn("portion", portion).join(texts, "nid")
-    found = stored(_links(members, level, similarity, gram), "links")
+    found = None
+    for level in range(DEPTH, floor - 1, -1):
+        new = _met_at(candidates, texts, level, similarity, gram)
+        found = new if found is None else found.union(new)
+        if level == floor:
+            break
+        sums = found.groupBy("nid").agg(F.sum("pairs").alias("pairs"), F.sum(F.col("missed")[level - 1]).alias("missed"))
+        known = F.coalesce("pairs", F.lit(0)), F.coalesce("missed", F.lit(0.0))
+        done = covered(*known, level, similarity, recall)
+        candidates = candidates.drop("open").join(sums, "nid", "left").withColumn("open", ~done)
+        candidates = stored(candidates.drop("pairs", "missed"), "open")
+        if candidates.where("open").isEmpty():
+            break
     roots = components(found.select(F.col("nid").alias("u"), F.col("root").alias("v")))
     links = found.groupBy("nid").agg(F.sum("links").alias("links"))
     joined = (
