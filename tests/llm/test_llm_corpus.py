@@ -137,7 +137,49 @@ def test_level_follows_from_the_recall():
     assert 1 - (1 - 0.8 ** levels[3]) ** 16 >= 0.9999
 
 
-def test_signatures_hold_only_what_is_read():
+def test_prefixes_are_shortened_until_the_recall_is_covered():
+    near = 1 / jaccard.chance(0.98, jaccard.DEPTH) - 1
+    floor = floor_level()
+    assert floor < jaccard.DEPTH
+    # Many close copies suffice at full depth; none, few or distant ones do not.
+    assert jaccard.covered(100, 100 * near, jaccard.DEPTH)
+    assert not jaccard.covered(0, 0.0, jaccard.DEPTH) and not jaccard.covered(2, 2 * near, jaccard.DEPTH)
+    distant = 1 / jaccard.chance(0.82, jaccard.DEPTH) - 1
+    assert not jaccard.covered(100, 100 * distant, jaccard.DEPTH)
+    assert jaccard.covered(0, 0.0, floor)
+
+
+def test_small_blocks_lose_no_link_and_count_none_twice(spark, monkeypatch):
+    """Open and done nodes of one subtree in many blocks, some of them empty."""
+    pick = random.Random(21)
+    rows = []
+    for words, copies, changes in ((400, 40, 1), (120, 12, 3), (60, 6, 1), (80, 3, 2)):
+        base = sentence(pick, words).split()
+        for i in range(copies):
+            copy = list(base)
+            for j in range(changes):
+                copy[pick.randrange(words)] = f"v{i}x{j}"
+            rows.append(" ".join(copy))
+    rows = list(enumerate(rows + [sentence(pick, 50) for _ in range(20)]))
+    wanted = {(d, *c) for (d, _), c in zip(rows, brute_classes(rows))}
+    levels = []
+    met_at = jaccard._met_at
+
+    def counted(candidates, texts, level, *rest):
+        levels.append((level, candidates.where("open").count(), candidates.count()))
+        return met_at(candidates, texts, level, *rest)
+
+    monkeypatch.setattr(jaccard, "_met_at", counted)
+    monkeypatch.setattr(jaccard, "BLOCK", 9)
+    monkeypatch.setattr(jaccard, "BLOCK_BYTES", 6_000)
+    monkeypatch.setattr(jaccard, "PORTION", 50)
+    found = near_duplicates(spark.createDataFrame(rows, DOC))
+    assert {(r.doc_id, r.class_id, r.n_links) for r in found.collect()} == wanted
+    assert [x[0] for x in levels] == list(range(jaccard.DEPTH, floor_level() - 1, -1))
+    assert levels[0][1] == levels[0][2] and 0 < levels[1][1] < levels[1][2]  # the largest group is done at full depth
+
+
+def test_short_signatures_are_prefixes_of_whole_ones():
     grams = jaccard.shingles(sentence(random.Random(1), 80))
     whole = np.frombuffer(jaccard.signature(grams, jaccard._seeds(jaccard.DEPTH)), ">u4").reshape(jaccard.TREES, -1)
     level = floor_level()
