@@ -8,7 +8,8 @@ links is estimated from those found: a pair of similarity s shares a prefix of t
 with a known chance p, so a link found stands for 1 / p links. Nodes that miss the target are open: their prefixes are shortened by one value, and what they meet now for the first time is verified. So a
 node with many close copies is done soon, and its group is not compared again; one with few or none goes
 on, at most to the floor, at which even a pair at the threshold meets with the target's chance. Nodes that
-meet no other one at the floor are left out from the beginning.
+meet no other one at the floor are left out from the beginning. Signatures tell which nodes of a subtree meet
+for the first time; only these are sent to it with their texts.
 
 A subtree with many nodes is cut into blocks, and every two blocks are verified by one task, which
 returns sums per node and a spanning star instead of pairs. Linked nodes are joined to classes by
@@ -200,6 +201,38 @@ def verify(rows: list[tuple[int, int, bytes, np.ndarray]], tree: int, level: int
             return root, links, pairs, missed
 
 
+PAIRED = "tree int, prefix bigint, nid bigint, n_bytes bigint, open boolean, block int, low int, high int"
+
+
+def _meeting(paired: DataFrame, level: int) -> DataFrame:
+    """PAIRED with portion and signature -> PAIRED: rows that meet another one of their group for the first time.
+
+    Signatures tell that, so only such rows need their texts. Of two nodes one must be open.
+    """
+    names = [f.split()[0] for f in PAIRED.split(", ")]
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by([(n, "ascending") for n in ("tree", "prefix", "low", "high")])
+        tree, prefix, low, high, block, is_open = (
+            table.column(n).to_numpy() for n in ("tree", "prefix", "low", "high", "block", "open")
+        )
+        values = np.frombuffer(b"".join(table.column("signature").to_pylist()), ">u4").reshape(-1, TREES, DEPTH)
+        changes = [x[1:] != x[:-1] for x in (tree, prefix, low, high)]
+        borders = np.flatnonzero(np.logical_or.reduce(changes)) + 1
+        kept = np.zeros(len(tree), bool)
+        for begin, end in zip([0, *borders], [*borders, len(tree)]):
+            left, right = (x + begin for x in np.triu_indices(end - begin, 1))
+            wanted = is_open[left] | is_open[right]
+            if low[begin] != high[begin]:
+                wanted &= block[left] != block[right]
+            left, right = left[wanted], right[wanted]
+            new = _first_meetings(values, left, right, tree[begin], level)
+            kept[left[new]] = kept[right[new]] = True
+        return table.select(names).filter(pa.array(kept))
+
+    return paired.groupBy("portion").applyInArrow(run, PAIRED)
+
+
 FOUND = "nid bigint, root bigint, links bigint, pairs bigint, missed array<double>"
 
 
@@ -277,15 +310,18 @@ def _met_at(candidates: DataFrame, texts: DataFrame, level: int, similarity: flo
     paired = stored(
         in_trees.join(subtrees, ["tree", "prefix"]).withColumn("block", block.cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), others - 1))).select(
-            "tree", "prefix", "nid", "n_bytes", "block",
+            "tree", "prefix", "nid", "n_bytes", "open", "block",
             F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
         ),
         "paired",
     )
+    group = F.xxhash64("tree", "prefix", "low", "high")
+    portions = max(1, -(-paired.count() // (8 * PORTION)))
+    signed = paired.join(candidates.select("nid", "signature"), "nid").withColumn("portion", F.pmod(group, F.lit(portions)))
+    paired = stored(_meeting(signed.repartition(portions, "portion"), level), "meeting")
     weight = paired.agg(F.count("*").alias("n"), F.sum("n_bytes").alias("n_bytes")).first()
     portions = max(1, -(-weight["n"] // PORTION), -(-(weight["n_bytes"] or 0) // PORTION_BYTES))
-    portion = F.pmod(F.xxhash64("tree", "prefix", "low", "high"), F.lit(portions))
-    members = paired.drop("n_bytes").withColumn("portion", portion).join(texts, "nid")
+    members = paired.drop("n_bytes", "open").withColumn("portion", F.pmod(group, F.lit(portions))).join(texts, "nid")
     members = members.repartition(-(-portions // OF_A_TASK), "portion")
     return stored(_links(members, level, similarity, gram), "links")
 
