@@ -2,6 +2,7 @@
 
 import os
 import random
+import re
 from datetime import date, timedelta
 from decimal import Decimal
 
@@ -421,3 +422,17 @@ def test_stale_outputs(spark, tmp_path):
     stale = files.stale_outputs(files.list_files(spark, source, "*.dat"),
                                 files.list_files(spark, target), source, target)
     assert rows(stale, "stem") == [("b",), ("c",)]
+
+
+@pytest.mark.parametrize("feed", ["turnover", "prices", "warehouses"])
+def test_conversion_stays_small_enough_to_be_compiled(spark, tmp_path, feed):
+    """The JVM interprets methods of more than 8000 bytes, which costs several times as much per row."""
+    staged = spark.createDataFrame(
+        [(1, "f.csv", *["1"] * len(FEED_COLUMNS[feed]))],
+        f"load_id long, file_name string, {', '.join(f'{c} string' for c in FEED_COLUMNS[feed])}",
+    )
+    staged.write.parquet(f"{tmp_path}/staged")
+    clean(spark.read.parquet(f"{tmp_path}/staged"), feed).createOrReplaceTempView("cleaned")
+    plan = spark.sql("EXPLAIN CODEGEN SELECT * FROM cleaned").first()[0]
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", plan)]
+    assert sizes and max(sizes) < 8000
