@@ -48,6 +48,20 @@ def with_month(facts: DataFrame, calendar: DataFrame) -> DataFrame:
     return facts.join(F.broadcast(days), "date_key_start")  # one row per day
 
 
+def with_month_price(dated: DataFrame, prices: DataFrame, calendar: DataFrame) -> DataFrame:
+    """The same as ``with_price`` for facts with year and month, in partitions by month and material.
+
+    Sums by month, warehouse and material need no other shuffle then. The period is compared as a difference:
+    as an equality it would become part of the partitioning, and facts of one month be torn apart again.
+    """
+    by = ["year_num", "month_num", "material_sk"]
+    known = with_month(prices.select(*PRICE_KEYS, "price"), calendar).selectExpr(
+        *[f"{c} AS _{c}" for c in [*by, "date_key_start", "date_key_end"]], "price"
+    )
+    same = [f"{c} = _{c}" for c in by] + [f"{c} - _{c} = 0" for c in ("date_key_start", "date_key_end")]
+    return dated.join(known, F.expr(" AND ".join(same)), "left").select(*dated.columns, "price")
+
+
 def labelled(versions: DataFrame) -> DataFrame:
     """Versions with their attributes, unknown ones labelled."""
     return versions.selectExpr(
@@ -149,9 +163,9 @@ def present_effects(facts: DataFrame) -> DataFrame:
 def _grouped(
     effects: DataFrame, prices: DataFrame, calendar: DataFrame, versions: DataFrame, lists: DataFrame
 ) -> DataFrame:
-    dated = with_month(with_price(effects, prices), calendar)
-    located = with_attribute_places(dated, versions, lists)
-    return located.groupBy(*MONTHLY_GROUP).agg(
+    # The warehouse comes first: its join must not undo the partitions by month and material.
+    located = with_attribute_places(with_month(effects, calendar), versions, lists)
+    return with_month_price(located, prices, calendar).groupBy(*MONTHLY_GROUP).agg(
         *[F.expr(e) for e in EFFECT_SUMS], *[F.max(a).alias(a) for a in GREATEST]
     )
 

@@ -3,6 +3,7 @@
 import os
 import random
 import re
+import time
 from datetime import date, timedelta
 from decimal import Decimal
 
@@ -17,7 +18,9 @@ from saldo.operators.cleaning import clean
 from saldo.operators.material import merge_materials
 from saldo.plans import marts, reports
 from saldo.schemas import FEED_COLUMNS, REGISTRY_SCHEMA, feed_columns, raw_schema
+from saldo.session import BRIEF_SHUFFLES, brief_shuffles
 from saldo.sources import delimited, files
+from saldo.sources.layers import Layers
 
 D = Decimal
 APRIL = (date(2024, 4, 1), date(2024, 4, 30))
@@ -436,3 +439,51 @@ def test_conversion_stays_small_enough_to_be_compiled(spark, tmp_path, feed):
     plan = spark.sql("EXPLAIN CODEGEN SELECT * FROM cleaned").first()[0]
     sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", plan)]
     assert sizes and max(sizes) < 8000
+
+
+def test_month_price_equals_period_price_without_another_shuffle(spark, tmp_path):
+    """Several periods begin in a month; some facts have no price, some no date of the calendar."""
+    calendar = dim_date(spark, date(2024, 1, 1), date(2024, 2, 29))
+    periods = [(20240101, 20240131), (20240101, 20240115), (20240116, 20240131), (20240201, 20240229), (20230101, None)]
+    facts_of = [(s, e, m, f"w{w}", w) for s, e in periods for m in (1, 2, None) for w in range(3)]
+    facts_of = spark.createDataFrame(
+        facts_of, "date_key_start int, date_key_end int, material_sk long, warehouse_code string, n int"
+    )
+    prices = spark.createDataFrame(
+        [(s, e, m, D(s % 1000 + (e or 0) % 100 + m)) for s, e in periods[1:] for m in (1, 3)],
+        "date_key_start int, date_key_end int, material_sk long, price decimal(18,2)",
+    )
+    dated = marts.with_month(facts_of, calendar)
+    found = marts.with_month_price(dated, prices, calendar)
+    expected = marts.with_price(dated, prices).select(*found.columns)
+    assert sorted(map(str, found.collect())) == sorted(map(str, expected.collect()))
+    assert found.filter("price IS NOT NULL").count() == 9
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        summed = found.groupBy(*marts.MONTHLY_GROUP).agg(F.max("price"))
+        plan = summed._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert "SortMergeJoin" in plan and plan.count("Exchange hashpartitioning") == 2
+
+
+def test_steps_leave_neither_shuffles_nor_work_folders(spark, tmp_path):
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffles() -> set[str]:
+        files_now = manager.getAllFiles()
+        names = (files_now.apply(i).getName() for i in range(files_now.size()))
+        return {n for n in names if n.startswith("shuffle_")}
+
+    layers, before = Layers(spark, f"{tmp_path}/state"), shuffles()
+    with brief_shuffles(spark):
+        layers.stage("counted", spark.range(1000).selectExpr("id % 7 AS k").groupBy("k").count())
+        for _ in range(50):
+            if not shuffles() - before:
+                break
+            time.sleep(0.2)
+        assert not shuffles() - before
+    assert spark.conf.get(BRIEF_SHUFFLES) == "false"
+    layers.unstage("counted", "never_written")
+    assert not os.path.exists(f"{tmp_path}/state/work/counted/batch=1")
