@@ -23,7 +23,7 @@ from ..operators import warehouse as wh
 from ..operators.calendar import dim_date
 from ..plans import marts
 from ..schemas import MONEY, QTY, feed_columns
-from ..session import scratch_path
+from ..session import brief_shuffles, remove_folder, scratch_path
 
 # The calendar of lost_rows ends so many days early, so that some rows lie outside.
 CUT_DAYS = 184
@@ -88,6 +88,7 @@ class Feeds:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
+        self._stored: dict[str, str] = {}
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
@@ -288,12 +289,23 @@ class Feeds:
         """Write a layer and read it back, as the nightly load does between its steps.
 
         What several later steps need is then computed once, and Spark knows its size when it
-        chooses a join.
+        chooses a join. What was shuffled for it is removed.
         """
-        folder = scratch_path(self.spark, name)
-        rows.write.parquet(folder)
+        folder = self._stored[name] = scratch_path(self.spark, name)
+        with brief_shuffles(self.spark):
+            rows.write.parquet(folder)
         return self.spark.read.schema(rows.schema).parquet(folder)
 
+    def release(self, *names: str) -> None:
+        """Remove what was stored last under these names; nothing that is still to run may read it.
+
+        A layer that is asked for again is built again.
+        """
+        for name in names:
+            if name in self._stored:
+                remove_folder(self.spark, self._stored.pop(name))
+            self.__dict__.pop(name.replace("-", "_"), None)
+
     @cached_property
     def bounds(self) -> tuple[date, date]:
         """First and last day of the years in which orders or shipments fall."""
@@ -348,9 +360,10 @@ class Feeds:
 
     @cached_property
     def monthly(self) -> DataFrame:
-        return marts.inventory_monthly(
-            self.inventory, self.price_facts, self.calendar, self.materials, self.versions
-        )
+        layers = self.inventory, self.price_facts, self.calendar, self.materials, self.versions
+        # Facts and dimensions are stored; nothing lazy is left above the clean layer.
+        self.release("ods-turnover", "ods-prices")
+        return marts.inventory_monthly(*layers)
 
     @cached_property
     def daily_changes(self) -> DataFrame:

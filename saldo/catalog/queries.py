@@ -524,7 +524,9 @@ def inventory_monthly(f):
 
 
 def _metrics(f: Feeds, levels: list[str] | None = None) -> DataFrame:
-    return marts.turnover_metrics(f.monthly, f.calendar, levels)
+    return marts.turnover_metrics(
+        f.monthly, f.calendar, levels, lambda sums: f.store("warehouse-sums", sums)
+    )
 
 
 query("turnover_metrics")(_metrics)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -175,17 +177,19 @@ def _valued(summed: DataFrame, lists: DataFrame, materials: DataFrame) -> DataFr
     averaged = summed.selectExpr(
         "*", f"cast((balance_start + balance_end) * 0.5 AS {MONEY}) AS avg_qty"
     )
-    named = averaged.join(lists, "warehouse_code").selectExpr(
-        *averaged.columns, *[f"{a}_list[{a}_place - 1] AS {a}" for a in ATTRIBUTES]
-    )
-    valued = named.selectExpr(
+    valued = averaged.selectExpr(
         "*",
         f"{month_key('year_num', 'month_num')} AS month_key",
         f"cast(balance_end * price AS {MONEY}) AS stock_value",
         f"cast(avg_qty * price AS {MONEY}) AS avg_stock_value",
         f"cast(consumed * price AS {MONEY}) AS expense_value",
     )
-    return with_material(valued, materials).select(*STATE_COLUMNS)
+    known = with_material(valued, materials)
+    # The warehouse comes last: sums by warehouse find its rows together then, and text is not moved.
+    named = known.join(lists, "warehouse_code").selectExpr(
+        *known.columns, *[f"{a}_list[{a}_place - 1] AS {a}" for a in ATTRIBUTES]
+    )
+    return named.select(*STATE_COLUMNS)
 
 
 def inventory_monthly(
@@ -355,10 +359,15 @@ def with_mom(metrics: DataFrame) -> DataFrame:
 
 
 def turnover_metrics(
-    monthly: DataFrame, calendar: DataFrame, levels: list[str] | None = None
+    monthly: DataFrame, calendar: DataFrame, levels: list[str] | None = None,
+    keep: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
-    """All levels with ratios and month-over-month change."""
-    return metrics_of(_pre_aggregate(monthly), calendar, levels)
+    """All levels with ratios and month-over-month change.
+
+    ``keep`` stores the pre-aggregate, so that what was moved for the detail mart goes before levels are formed.
+    """
+    aggregated = _pre_aggregate(monthly)
+    return metrics_of(keep(aggregated) if keep else aggregated, calendar, levels)
 
 
 def metrics_of(

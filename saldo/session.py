@@ -32,6 +32,8 @@ def build_session(app: str = "saldo", master: str | None = None, **conf: str) ->
 
 # Shuffle files are removed when the query that wrote them has ended, not when the driver next collects garbage.
 BRIEF_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+# A hot key's partition of a join is split even where the rows have to be moved once more afterwards.
+SPLIT_ALWAYS = "spark.sql.adaptive.forceOptimizeSkewedJoin"
 
 
 @contextmanager
@@ -40,15 +42,23 @@ def brief_shuffles(spark: SparkSession) -> Iterator[None]:
 
     A job of many steps would else hold the shuffles of all of them at once.
     """
-    before = spark.conf.get(BRIEF_SHUFFLES, None)
-    spark.conf.set(BRIEF_SHUFFLES, "true")
+    before = {name: spark.conf.get(name, None) for name in (BRIEF_SHUFFLES, SPLIT_ALWAYS)}
+    for name in before:
+        spark.conf.set(name, "true")
     try:
         yield
     finally:
-        if before is None:
-            spark.conf.unset(BRIEF_SHUFFLES)
-        else:
-            spark.conf.set(BRIEF_SHUFFLES, before)
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder that no later step reads, before the process ends."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

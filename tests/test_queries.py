@@ -12,6 +12,7 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.abspath(__file__)), ".."
 
 import __spark_entry__ as contract
 from compare import database, difference
+from saldo import session
 from saldo.catalog.feeds import Feeds
 from saldo.catalog.oracle import ORACLE
 from saldo.catalog.queries import QUERIES
@@ -80,3 +81,59 @@ def test_plans(spark, tables, name, capsys):
     assert "NestedLoop" not in plan and "CartesianProduct" not in plan
     assert "SinglePartition" not in plan
     assert "PythonUDF" not in plan and "InPandas" not in plan
+
+
+def _scratch(spark):
+    """Names of the folders that queries keep in the shared folder."""
+    root = spark.conf.get("spark.checkpoint.dir").removeprefix("file://")
+    return set(os.listdir(root)) if os.path.isdir(root) else set()
+
+
+@pytest.fixture
+def sent_nothing(spark):
+    """Without any broadcast by size, as with large dimensions."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_marts_drop_the_clean_layer(spark, tables):
+    """Once facts and dimensions are stored, the rows they were made of take no disk."""
+    before = _scratch(spark)
+    contract.queries()["turnover_metrics"](spark, tables).count()
+    left = {name.rsplit("-", 1)[0] for name in _scratch(spark) - before}
+    assert "saldo-fact-inventory" in left and "saldo-warehouse-sums" in left
+    assert not left & {"saldo-ods-turnover", "saldo-ods-prices"}
+
+
+def test_a_released_layer_is_built_again(spark, tables):
+    feeds = Feeds(spark, tables)
+    n = feeds.ods_prices.count()
+    feeds.release("ods-prices")
+    assert feeds.ods_prices.count() == n
+
+
+def test_stored_layers_leave_no_shuffles(spark, tables):
+    """What was moved for a stored layer goes when it is written."""
+    feeds, seen = Feeds(spark, tables), []
+    names = [session.BRIEF_SHUFFLES, session.SPLIT_ALWAYS]
+    before = [spark.conf.get(n, None) for n in names]
+    rows = spark.range(10).groupBy("id").count()
+    write = type(rows.write).parquet
+
+    def noted(self, *args, **options):
+        seen.append([spark.conf.get(n) for n in names])
+        return write(self, *args, **options)
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(type(rows.write), "parquet", noted)
+        assert feeds.store("brief", rows).count() == 10
+    assert seen == [["true", "true"]] and [spark.conf.get(n, None) for n in names] == before
+
+
+def test_sums_need_no_shuffle_of_the_mart(spark, tables, sent_nothing, capsys):
+    """Above the join with the warehouses' attributes rows lie by warehouse already."""
+    feeds = Feeds(spark, tables)
+    monthly, sums = _plan(feeds.monthly, capsys), _plan(marts._pre_aggregate(feeds.monthly), capsys)
+    trees = [plan[: plan.index("\n\n\n")] for plan in (monthly, sums)]
+    assert trees[1].count("Exchange") <= trees[0].count("Exchange")
