@@ -5,7 +5,8 @@ from decimal import Decimal
 
 import pytest
 
-from saldo.plans import nightly
+from saldo.operators.calendar import dim_date
+from saldo.plans import marts, nightly
 from saldo.plans.nightly import Options, run_nightly
 from saldo.sources.delimited import scan
 from saldo.sources import layers as layers_module
@@ -422,3 +423,58 @@ def test_merged_table(spark, tmp_path, monkeypatch):
 
 def as_text(frame, columns):
     return sorted(str(tuple(r)) for r in frame.select(*columns).collect())
+
+
+def test_first_rows_of_a_month_meet_nothing(spark, tmp_path):
+    """Only in months of earlier loads clean rows are looked up for the batch; the same rows either way."""
+    form = "start_date date, end_date date, material_id int, price int, start_month int"
+    group = ["start_date", "end_date", "material_id"]
+
+    def bring(day, *rows):
+        layers = Layers(spark, f"file://{tmp_path}/state")
+        layers.begin()
+        batch = layers.append_parts(
+            "ods/prices", spark.createDataFrame([(date(2024, m, day), date(2024, m, 28), i, p, 202400 + m)
+                                                 for m, i, p in rows], form), "start_month")
+        found = nightly._touched(layers, "ods/prices", batch, group)
+        layers.commit()
+        joins = found._jdf.queryExecution().optimizedPlan().toString().count("Join")
+        return joins, sorted((r.start_date.month, r.material_id, r.price) for r in found.collect())
+
+    assert bring(1, (4, 1, 10), (4, 1, 11), (5, 2, 20)) == (0, [(4, 1, 10), (4, 1, 11), (5, 2, 20)])
+    assert bring(1, (5, 2, 21), (5, 3, 30), (6, 1, 40)) == (
+        1, [(5, 2, 20), (5, 2, 21), (5, 3, 30), (6, 1, 40)])
+
+
+def test_changes_of_the_mart_meet_each_table_once(spark):
+    """Groups with a replaced price forget the old one, others keep the greatest; no join back to the groups."""
+    calendar = dim_date(spark, date(2024, 4, 1), date(2024, 4, 30))
+    versions = spark.createDataFrame(
+        [(1, "w", "N", "S", "M")],
+        "warehouse_sk long, warehouse_code string, directorate string, shop_code string, warehouse_type string")
+    materials = spark.createDataFrame([(m, m, "u") for m in (7, 8, 9)], nightly.MATERIAL_SCHEMA)
+    prices = spark.createDataFrame(
+        [(20240401, 20240430, m, Decimal(3)) for m in (7, 8, 9)], nightly.PRICE_SCHEMA)
+    change = ", ".join(f"{q}: decimal(18,2)" for q in marts.QUANTITIES)
+    new = (Decimal(4), Decimal(2), Decimal(0), Decimal(6))
+    facts = spark.createDataFrame(
+        [(20240401, 20240430, 1, m, None, new) for m in (7, 9)],
+        f"date_key_start int, date_key_end int, warehouse_sk long, material_sk long, old struct<{change}>, "
+        f"new struct<{change}>")
+    keys = spark.createDataFrame(
+        [(20240401, 20240430, 1, 8)] * 2,
+        "date_key_start int, date_key_end int, warehouse_sk long, material_sk long")
+    effects = marts.change_effects(facts).unionByName(marts.present_effects(keys))
+    added = marts.added_monthly(effects, prices, calendar, versions)
+    first = marts.changed_monthly(added, None, materials, versions)
+    assert rows(first, "material_id", "n_facts", "price", "_was_stored") == [
+        (7, 1, Decimal(3), False), (8, 0, Decimal(3), False), (9, 1, Decimal(3), False)]
+    joins = first._jdf.queryExecution().optimizedPlan().toString()
+    # The calendar twice, versions and their lists, facts and versions, prices, materials, lists.
+    assert joins.count("Join") == 7
+    stored = first.filter("material_id < 9").selectExpr(
+        *[c if c != "price" else "cast(5 AS decimal(18,2)) AS price" for c in marts.STATE_COLUMNS])
+    changed = marts.changed_monthly(added, stored, materials, versions)
+    assert rows(changed, "material_id", "n_facts", "price", "stock_value", "_was_stored") == [
+        (7, 2, Decimal(5), Decimal(60), True), (8, 0, Decimal(3), Decimal(0), True),
+        (9, 1, Decimal(3), Decimal(18), False)]
