@@ -15,7 +15,7 @@ from ..operators.cleaning import clean
 from ..plans import marts, reports
 from ..plans.nightly import FEED_ORDER, Options, run_nightly
 from ..schemas import BUSINESS_KEYS, FEED_COLUMNS, MONEY, QUANTITIES, WAREHOUSE_ATTRIBUTES
-from ..session import scratch_path
+from ..session import remove_folder, scratch_path
 from ..sources import delimited, files
 from ..sources.clustered import Clustered
 from ..sources.keyindex import KeyIndex, Segment
@@ -90,8 +90,11 @@ def export_delimited(f):
 def staging_append(f):
     """Load numbers of a second load: above those of the first, without gaps, file after file."""
     previous = 10**12
-    rows = delimited.scan(f.spark, "turnover", _export(f, "turnover"), positions=True)
-    numbered = f.store("numbered", delimited.with_load_id(f.store("staged", rows), previous))
+    folder = _export(f, "turnover")
+    staged = f.store("staged", delimited.scan(f.spark, "turnover", folder, positions=True))
+    remove_folder(f.spark, folder)  # its rows are staged
+    numbered = f.store("numbered", delimited.with_load_id(staged, previous))
+    f.release("staged")
     by_file = numbered.groupBy("file_name").agg(
         F.min("load_id").alias("low"), F.max("load_id").alias("high"), F.count("*").alias("n")
     ).selectExpr("*", "lag(high) OVER (ORDER BY file_name) AS before")

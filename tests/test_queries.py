@@ -18,6 +18,7 @@ from saldo.catalog.oracle import ORACLE
 from saldo.catalog.queries import QUERIES
 from saldo.operators import material
 from saldo.plans import marts
+from saldo.sources import delimited
 
 SOME = ["scan_warehouses", "file_decision", "validate_turnover", "dedup_prices", "ods_new",
         "scd2_close", "scd2_fallback", "upsert_prices", "turnover_metrics", "check_scd2"]
@@ -137,3 +138,21 @@ def test_sums_need_no_shuffle_of_the_mart(spark, tables, sent_nothing, capsys):
     monthly, sums = _plan(feeds.monthly, capsys), _plan(marts._pre_aggregate(feeds.monthly), capsys)
     trees = [plan[: plan.index("\n\n\n")] for plan in (monthly, sums)]
     assert trees[1].count("Exchange") <= trees[0].count("Exchange")
+
+
+def test_staging_keeps_only_the_numbered_rows(spark, tables):
+    """The export goes once its rows are staged, those once they are numbered."""
+    before = _scratch(spark)
+    contract.queries()["staging_append"](spark, tables).collect()
+    left = {name.rsplit("-", 1)[0] for name in _scratch(spark) - before}
+    assert left == {"saldo-numbered"}
+
+
+def test_numbering_does_not_move_rows(spark, sent_nothing, tmp_path):
+    """Blocks of files are few and go to the rows, whatever Spark takes their size for."""
+    spark.createDataFrame(
+        [("f", 0, i, "x") for i in range(3)], f"file_name string, {delimited.BLOCK} long, {delimited.ROW} long, c string"
+    ).write.parquet(f"{tmp_path}/staged")
+    numbered = delimited.with_load_id(spark.read.parquet(f"{tmp_path}/staged"), 9)
+    assert "SortMergeJoin" not in numbered._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r.load_id for r in numbered.collect()) == [10, 11, 12]
