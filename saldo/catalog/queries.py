@@ -276,8 +276,14 @@ def _checked(f: Feeds, feed: str, needed: list[str] = ()) -> DataFrame:
     return f.store(f"checked-{feed}", _reasoned(f, feed).select(*columns))
 
 
+def _flag(f: Feeds, feed: str, checked: DataFrame) -> DataFrame:
+    return dedup.flag_duplicates(
+        checked, feed, keep_losing=lambda losing: f.store(f"losing-{feed}", losing)
+    )
+
+
 def _flagged(f: Feeds, feed: str = "turnover", needed: list[str] = ()) -> DataFrame:
-    return dedup.flag_duplicates(_checked(f, feed, needed), feed)
+    return _flag(f, feed, _checked(f, feed, needed))
 
 
 def _clean(feed: str):

@@ -54,8 +54,11 @@ def mark_duplicates(checked: DataFrame, feed: str, losing: DataFrame) -> DataFra
 def flag_duplicates(
     checked: DataFrame, feed: str, known_keys: Callable[[DataFrame], DataFrame] | None = None,
     keep: Callable[[DataFrame], DataFrame] | None = None,
+    keep_losing: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
-    return mark_duplicates(checked, feed, losing_keys(checked, feed, known_keys, keep))
+    """``keep_losing`` stores the losing keys: what was moved to find them goes before whole rows are moved."""
+    losing = losing_keys(checked, feed, known_keys, keep)
+    return mark_duplicates(checked, feed, keep_losing(losing) if keep_losing else losing)
 
 
 def unseen(rows: DataFrame, stored: DataFrame, keys: list[str]) -> DataFrame:

@@ -156,3 +156,8 @@ def test_numbering_does_not_move_rows(spark, sent_nothing, tmp_path):
     numbered = delimited.with_load_id(spark.read.parquet(f"{tmp_path}/staged"), 9)
     assert "SortMergeJoin" not in numbered._jdf.queryExecution().executedPlan().toString()
     assert sorted(r.load_id for r in numbered.collect()) == [10, 11, 12]
+
+
+def test_quarantine_finds_duplicates_before_rows_move(spark, tables, capsys):
+    """What was moved to find repeated keys is gone when whole rows meet them."""
+    assert "Aggregate" not in _plan(contract.queries()["route_quarantine"](spark, tables), capsys)
