@@ -161,3 +161,12 @@ def test_numbering_does_not_move_rows(spark, sent_nothing, tmp_path):
 def test_quarantine_finds_duplicates_before_rows_move(spark, tables, capsys):
     """What was moved to find repeated keys is gone when whole rows meet them."""
     assert "Aggregate" not in _plan(contract.queries()["route_quarantine"](spark, tables), capsys)
+
+
+def test_layers_are_counted_from_one_pass(spark, tables):
+    """Each feed is parsed, and its duplicates are found, once for all its layers."""
+    frame = contract.queries()["layer_counts"](spark, tables)
+    given = {os.path.basename(f) for f in frame.inputFiles() if "saldo-" not in f}
+    assert given <= {"documents.parquet"}
+    plan = frame._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("_mark") == 0
